@@ -7,3 +7,14 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
     """,
 }
+
+ORACLES["op10_substring_dedup"] = r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    win AS (SELECT doc_id, i, ws[i:i + 19] AS g FROM w, unnest(range(1, len(ws) - 18)) AS u(i) WHERE len(ws) >= 20),
+    f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM win),
+    gone AS (SELECT DISTINCT doc_id, j FROM f, unnest(range(i, i + 20)) AS u(j) WHERE r > 1),
+    kept AS (SELECT w.doc_id, count(g.j) AS n_removed, string_agg(CASE WHEN g.j IS NULL THEN w.ws[p.j] END, ' ' ORDER BY p.j) AS t
+        FROM w, unnest(range(1, len(w.ws) + 1)) AS p(j) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.j = p.j GROUP BY w.doc_id)
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+"""
