@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, substring_dedup, url_filter
+from . import exact_dedup, minhash_dedup, substring_dedup, url_filter
 from ._spark import table
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest").withColumnRenamed("id", "doc_id")
 
@@ -24,6 +28,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filter": op7_url_filter,
     "op10_substring_dedup": op10_substring_dedup,
