@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+import gc
+import shutil
 import tempfile
+import time
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once, so that they need no installation of it."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        out = tempfile.mkdtemp(prefix="waymark-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{out}/waymark", "zip", root, "waymark"))
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the tables, by a path that only Spark needs to understand."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +44,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files that only lie behind checkpoints.
+
+    Spark removes them once the driver's collectors find that nothing refers to
+    them, which may otherwise take as long as the job.
+    """
+    for _ in range(3):  # what one pass frees lets go of more in the next
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,7 +24,6 @@ A word is removed if a verified path covers it.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import _scan
 from ._scan import U64
-from ._spark import cut, partitions
+from ._spark import cut, partitions, release
 
 K = 20
 GROUP_BYTES = 12 << 20
@@ -199,11 +198,7 @@ def paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     bits = min(16, max(8, (4 * partitions(spark)).bit_length()))
     edges = docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_scan_edges(bits, k), _EDGES)
     answers = edges.groupBy("bucket").applyInArrow(_resolve(bits), "grp long, doc binary, pos binary, sdoc binary, spos binary")
-    out = cut(answers.groupBy("grp").applyInArrow(_compact, _PATHS))
-    del edges, answers
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files behind the checkpoint before the texts are shuffled
-    return out
+    return cut(answers.groupBy("grp").applyInArrow(_compact, _PATHS))
 
 
 def _span_words(spans: pa.Array, w: _scan.Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,6 +293,7 @@ def _texts(k: int):
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(id, text, spans): documents with the verified paths that cover them."""
     path = paths(docs, id_col, text_col, k)
+    release(docs.sparkSession)  # the edges' shuffle files go before the texts are shuffled
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(_NO_ID))).alias("id"), F.col(text_col).alias("text"))
     wanted = path.select("src", "src_start", "edges").distinct().groupBy("src").agg(F.collect_list(F.struct("src_start", "edges")).alias("spans"))
     checks = texts.join(wanted, F.col("id") == F.col("src")).select("id", "text", "spans").mapInArrow(_span_hashes(k), "src long, src_start int, edges int, check long")
