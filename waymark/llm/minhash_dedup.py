@@ -11,14 +11,15 @@ a coordinate is its signature value. A set stops when all coordinates have one,
 so large sets touch few darts per element. Two sets agree on a coordinate
 with the probability of their weighted Jaccard similarity.
 
-*Joining.* Equal sets collapse to one representative first. Representatives
-meet in buckets of equal bands; in a bucket all are compared with its smallest
-member only (rows grow with the bucket, not with its square), by exact Jaccard
-similarity of their shingle sets. Buckets whose members aren't in one
-component after that go another round, each with a new leader per unsettled
-component, and only pairs in different components are compared; rounds end when
-no bucket has an untested pair of two components. So each two texts of a
-bucket that are similar end in one component.
+*Joining.* Equal sets collapse to one representative first. In a bucket of
+equal bands each representative is joined to the smallest one only, so rows
+grow with a bucket and not with its square. The components of these
+candidate links are families: all representatives that share a bucket are in
+one. Families get their shingle sets from the texts and are cut into blocks of
+bounded size; a task takes two blocks of a family and finds all intersections at
+once as products of incidence matrices over the shingles that occur twice or
+more, so every pair of a family is compared exactly and no pair becomes a row.
+A task returns only a spanning star of each component it finds.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ from . import _scan
 from ._scan import U64
 from ._spark import components, cut
 
-SHINGLE, BANDS, ROWS, SIMILARITY = 5, 24, 5, 0.8
+SHINGLE, BANDS, ROWS, SIMILARITY = 5, 32, 8, 0.8
+#: A block of a family has about so many documents and shingles at most.
+BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2_000_000
 #: The first cell's width in rank; later ones double up to the last, then repeat it.
 FIRST_RANK, LAST_RANK, LAST_WEIGHT = 2.0**-5, 32.0, 16.0
 
@@ -155,36 +158,64 @@ def _sets(k: int, counts: bool):
         for batch in batches:
             for c in _scan.chunks(batch.column(1)):
                 doc, h, times = shingle_sets(c, k)
+                if counts:  # a shingle that occurs n times becomes n elements
+                    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                    doc, h = np.repeat(doc, times), _scan.mix(np.repeat(h, times) + nth.astype(U64))
                 ends = np.searchsorted(doc, np.arange(c.last - c.first + 1)).tolist()
-                blobs = [h[a:b].tobytes() + (times[a:b].astype("u4").tobytes() if counts else b"") for a, b in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[c.first : c.last], pa.array(blobs, pa.binary())], names=["id", "shingles"])
+                blobs = [h[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+                own = slice(c.first, c.last)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[own], pa.array(blobs, pa.binary()), batch.column(2)[own], batch.column(3)[own]], names=["id", "shingles", "family", "blocks"])
 
     return run
 
 
-def similarity(a: bytes, b: bytes, counts: bool = False) -> float:
-    """Jaccard similarity of two packed shingle sets; weighted by counts on demand."""
-    item = 12 if counts else 8
-    x, y = (np.frombuffer(s, U64, len(s) // item) for s in (a, b))
-    if not len(x) or not len(y):
-        return 0.0
-    if not counts:
-        at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-        both = int((x[at] == y).sum())
-        return both / (len(x) + len(y) - both)
-    wx, wy = (np.frombuffer(s, "u4", offset=8 * len(v)).astype(np.int64) for s, v in ((a, x), (b, y)))
-    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-    both = int(np.minimum(wx[at], wy)[x[at] == y].sum())
-    return both / int(wx.sum() + wy.sum() - both)
-
-
-def _compare(least: float, counts: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            left, right = t.column(2), t.column(3)
-            hit = [similarity(x.as_buffer(), y.as_buffer(), counts) >= least for x, y in zip(left, right, strict=True)]
-            mask = pa.array(hit, pa.bool_())
-            yield pa.RecordBatch.from_arrays([t.column(0).filter(mask), t.column(1).filter(mask)], names=["a", "b"])
+def linked(left: list[np.ndarray], right: list[np.ndarray], least: float, slab: int = 1024) -> np.ndarray:
+    """Which pairs of the two lists of sets have a Jaccard similarity of ``least`` or more."""
+    sets = left + right
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    _, col, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    again = times > 1
+    at = (np.cumsum(again) - 1)[col]
+    ok = again[col]
+    row, at = row[ok], at[ok]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(again.sum()), slab):
+        s = slice(*np.searchsorted(at, [low, low + slab]))
+        m = np.zeros((len(sets), slab), np.float32)
+        m[row[s], at[s] - low] = 1
+        both += m[: len(left)] @ m[len(left) :].T
+    return both / (size[: len(left), None] + size[None, len(left) :] - both.astype(np.float64)) >= least
+
+
+def stars(ids: np.ndarray, adjacent: np.ndarray) -> list[tuple[int, int]]:
+    """(smallest id, id) for each other member of each component."""
+    out, open_ = [], np.ones(len(ids), bool)
+    for i in np.argsort(ids).tolist():
+        if open_[i]:
+            front = np.array([i])
+            open_[i] = False
+            while len(front):
+                front = np.flatnonzero(adjacent[front].any(0) & open_)
+                open_[front] = False
+                out += [(int(ids[i]), int(ids[j])) for j in front]
+    return out
+
+
+def _family(least: float):
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        ids, block = np.asarray(table["id"]), np.asarray(table["block"])
+        sets = [np.frombuffer(x, U64) for x in table["shingles"].to_pylist()]
+        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        hit = linked([sets[x] for x in a], [sets[x] for x in b], least) if len(a) and len(b) else np.zeros((len(a), len(b)), bool)
+        adjacent = np.zeros((len(ids), len(ids)), bool)
+        adjacent[np.ix_(a, b)] = hit
+        adjacent |= adjacent.T
+        found = stars(ids, adjacent)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return run
 
@@ -210,34 +241,19 @@ def near_duplicates(
     member = sketch.drop("bands").join(classes, ["n_shingles", "d1", "d2"], "left")
     heads = sketch.join(classes.where("class_id is not null").select(F.col("class_id").alias("id"), "n_shingles", "d1", "d2"), ["id", "n_shingles", "d1", "d2"], "left_semi")
     entries = heads.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    # the smallest member leads a bucket; size bounds a similarity, so hopeless pairs go at once
+    # the smallest member leads its bucket
     leaders = entries.groupBy("band", "key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("band", "key", "a")
-    bucket = cut(entries.join(leaders, ["band", "key"]).select("band", "key", "a", F.col("id").alias("b"), "n_shingles").distinct())
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    involved = bucket.select(F.col("b").alias("id")).distinct()
-    sets = cut(texts.join(involved, "id", "left_semi").mapInArrow(_sets(shingle, counts), "id long, shingles binary"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        right = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-        both = right.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a").select("a", "b", "left", "right")
-        return both.mapInArrow(_compare(least, counts), "a long, b long")
-
-    pairs = bucket.where("a <> b").select("a", "b").distinct()
-    tested = cut(pairs.join(cut(verify(pairs)).withColumn("link", F.lit(True)), ["a", "b"], "left").select("a", "b", F.coalesce("link", F.lit(False)).alias("link")))
-    while True:
-        of = components(tested.where("link").select("a", "b"))
-        now = bucket.select("band", "key", "b").join(of.withColumnRenamed("node", "b"), "b", "left").select("band", "key", "b", F.coalesce("component", "b").alias("c"))
-        # of each bucket that isn't one component: its members against one member of another component
-        mixed = now.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band", "key")
-        left = cut(now.join(mixed, ["band", "key"]))
-        if left.isEmpty():
-            break
-        other = left.select("band", "key", F.col("b").alias("a"), F.col("c").alias("ca"))
-        todo = left.join(other, ["band", "key"]).where("a < b and c <> ca").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = cut(verify(todo).withColumn("link", F.lit(True)))
-        if fresh.isEmpty():
-            break
-        tested = cut(tested.union(fresh))
+    candidates = entries.join(leaders, ["band", "key"]).where("id <> a").select("a", F.col("id").alias("b"))
+    family = components(candidates).select(F.col("node").alias("id"), F.col("component").alias("family"))
+    size = heads.select("id", "n_shingles").distinct().join(family, "id")
+    blocks = size.groupBy("family").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    wanted = size.join(blocks, "family").select("id", "family", "blocks")
+    sets = narrow.join(wanted, "id").select("id", "text", "family", "blocks").mapInArrow(_sets(shingle, counts), "id long, shingles binary, family long, blocks int")
+    sets = sets.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    meet = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    meet = meet.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "block", "shingles")
+    links = meet.groupBy("family", "i", "j").applyInArrow(_family(least), "a long, b long")
+    of = components(links)
     done = member.join(of.withColumnRenamed("node", "class_id"), "class_id", "left")
     component = F.coalesce("component", "class_id", "id")
     return done.select("id", F.coalesce("class_id", "id").alias("class_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "n_shingles")
