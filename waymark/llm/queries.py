@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash_dedup, substring_dedup, url_filter
+from . import bpe, exact_dedup, minhash_dedup, packing, substring_dedup, url_filter
 from ._spark import table
 
 
+def tokenizer_path() -> str:
+    """The public byte-level BPE vocabulary file that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -28,6 +43,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op4_bpe": op4_bpe,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filter": op7_url_filter,
