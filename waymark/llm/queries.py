@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash_dedup, packing, substring_dedup, url_filter
-from ._spark import table
+from . import bpe, exact_dedup, language_id, minhash_dedup, packing, quality, substring_dedup, toxicity, url_filter
+from ._spark import held_out, table
 
 
 def tokenizer_path() -> str:
@@ -22,6 +22,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.predict(docs, language_id.fit(docs, ~held_out()))
+    return out.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
 
@@ -38,15 +44,26 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_words(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_language_id": op3_language_id,
     "op4_bpe": op4_bpe,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
 }
