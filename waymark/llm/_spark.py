@@ -31,16 +31,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only where the session names none (tests) is a local one set."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
 
-    Spark removes the files when nothing refers to them any more. Only where
-    the session names no folder (tests) is a local one set.
+    Spark removes the files when nothing refers to them any more.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
