@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from . import _scan
 from ._scan import U64
+from ._spark import cut
 from .substring_dedup import gather
 
 LEXICON_WORDS = 1 << 16
@@ -413,6 +414,16 @@ def build(tokenizer: str, words: Iterable[bytes]) -> str:
     return save(t | compile_lexicon(ordered) | {"word_ids": ids, "word_offs": np.append(0, np.cumsum(count)), "json": np.frombuffer(text.encode(), np.uint8)})
 
 
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one of each distinct word, the place of each word's own among them), checked byte by byte."""
+    h = _scan.span_hash(data.astype(U64) + U64(1), starts, ends, _scan.BYTE_BASES[0])
+    _, rep, own = np.unique(h, return_index=True, return_inverse=True)
+    size = ends - starts
+    if (size == size[rep][own]).all() and (gather(data, starts, size) == gather(data, starts[rep][own], size)).all():
+        return rep, own
+    return np.arange(len(starts)), np.arange(len(starts))
+
+
 def encode(path: str, c: _scan.Chunk) -> tuple[np.ndarray, np.ndarray]:
     """(ids end to end, n + 1 offsets) of the chunk's documents."""
     t = load(path)
@@ -420,10 +431,11 @@ def encode(path: str, c: _scan.Chunk) -> tuple[np.ndarray, np.ndarray]:
     ends = np.append(starts[1:], len(c.data))
     known = walk(t, c.data, starts, ends)
     miss = np.flatnonzero(known < 0)
-    made, count = merge_words(t, c.data, starts[miss], (ends - starts)[miss])
+    rep, own = distinct_words(c.data, starts[miss], ends[miss])
+    made, count = merge_words(t, c.data, starts[miss[rep]], (ends - starts)[miss[rep]])
     offs = t["word_offs"]
     begin, size = offs[known], offs[known + 1] - offs[known]
-    begin[miss], size[miss] = len(t["word_ids"]) + np.cumsum(count) - count, count
+    begin[miss], size[miss] = (len(t["word_ids"]) + np.cumsum(count) - count)[own], count[own]
     ids = gather(np.append(t["word_ids"], made), begin, size)
     upto = np.append(0, np.cumsum(size))[first]
     if len(raw := t["special"]):
@@ -478,14 +490,24 @@ def _count_words(most: int, longest: int = 32, flush: int = 4 << 20):
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[bytes]:
-    """The ``most`` most frequent words of all documents, counted in every text.
+    """At most the ``most`` most frequent words of all documents, counted in every text.
 
     A task counts words that occur twice in about 4 MB of text and sends its
     own ``most`` top ones, so counts of rarer words may fall short; they only
     decide which words the automaton holds, never an id.
     """
-    counts = docs.select(text_col).mapInArrow(_count_words(most), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(most).select("word").collect()]
+    counts = cut(docs.select(text_col).mapInArrow(_count_words(most), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    # the least count that no more than ``most`` words reach, from a histogram in sixteenths of a doubling
+    step = F.floor(F.log2("n") * 16).cast("int")
+    total, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        total += r["count"]
+        if total > most:
+            break
+        least = r["step"]
+    if least is None:
+        return []
+    return [bytes(r["word"]) for r in counts.where(step >= least).select("word").collect()]
 
 
 def shipped(spark: SparkSession, path: str) -> str:
