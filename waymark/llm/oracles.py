@@ -18,3 +18,17 @@ ORACLES["op10_substring_dedup"] = r"""
     SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
     FROM w LEFT JOIN kept USING (doc_id)
 """
+
+ORACLES["op2_pq_dedup"] = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm
+        FROM embeddings),
+    l AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+        WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+    c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1),
+    n AS (SELECT a, count(*) AS n_links FROM l GROUP BY 1)
+    SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+    FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, minhash_dedup, packing, quality, substring_dedup, toxicity, url_filter
+from . import bpe, exact_dedup, language_id, minhash_dedup, packing, pq_dedup, quality, substring_dedup, toxicity, url_filter
 from ._spark import held_out, table
 
 
@@ -22,6 +22,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
 
 
+def op2_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = language_id.predict(docs, language_id.fit(docs, ~held_out()))
@@ -58,6 +62,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_pq_dedup": op2_pq_dedup,
     "op3_language_id": op3_language_id,
     "op4_bpe": op4_bpe,
     "op5_minhash_dedup": op5_minhash_dedup,
