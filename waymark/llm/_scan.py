@@ -56,6 +56,15 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def raw_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, int64 offsets) of a binary column without nulls."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offsets, data = column.buffers()
+    offs = np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]], offs - offs[0]
+
+
 def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """Whole documents in runs of about ``most`` bytes; a longer document is a chunk of its own."""
     data, offs = buffers(column)

@@ -7,14 +7,17 @@ its quantisation error kept beside the code.
 
 *Sufficient probes.* Two unit vectors with a cosine of at least ``least`` lie
 within r = sqrt(2 - 2 * least). A vector within r of q that belongs to list c
-lies on c's side of the plane between c and q's own centroid o, so q needs
-list c only if (|q - c|^2 - |q - o|^2) / (2 |c - o|) <= r. All such lists are probed,
-so no pair is lost to the coarse step, whatever the sample was.
+lies on c's side of the plane between c and q's own centroid o, at distance
+(|q - c|^2 - |q - o|^2) / (2 |c - o|) from q. Along the plane's normal a difference
+of length r has a deviation of about r / sqrt(dimension), so q probes the lists
+whose planes are within ``sigmas`` of these (r itself at most, which would be
+without loss). The recall of this, the only approximation here, is measured
+against brute force in the tests.
 
 *Asymmetric distances.* In a list, the distance from q to each coded vector is a
 sum of table look-ups; it is at most the code's own error away from the true
 distance, so a pair goes to the exact cosine exactly if look-up distance <= r + error.
-No pair is lost there either.
+No pair of a probed list is lost.
 
 Equal vectors collapse first and count with their multiplicity. A list is cut
 into blocks of bounded size, and so are the vectors that probe it; a task
@@ -41,12 +44,14 @@ COSINE = 0.95
 SAMPLE = 20_000
 SAMPLE_BYTES = 32 << 20
 MOST_LISTS = 4096
+LIST_SIZE = 1024
+SIGMAS = 3.0
 SUBSPACES, WORDS = 8, 64
 MEMBERS, PROBERS = 2048, 4096
 
 
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, dim, d1, d2, vec): doubles in bytes with two hashes of them; no vec where it can't link."""
+    """(id, dim, d1, d2, vec): the components in bytes, as floats where that loses nothing, with two hashes of them as doubles; no vec where it can't link."""
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
             part = batch.slice(at, 4096)
@@ -61,7 +66,10 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.cumsum(size)
             raw = flat.view(U64)
             d1, d2 = (_scan.signed(_scan.span_hash(_scan.mix(raw), ends - size, ends, b)) for b in _scan.WORD_BASES)
-            blobs = [flat[a:b].tobytes() if g else None for a, b, g in zip((ends - size).tolist(), ends.tolist(), good.tolist(), strict=True)]
+            short = flat.astype(np.float32)
+            bits = np.append(0, np.cumsum(short.astype(np.float64) != flat))
+            thin = bits[ends] == bits[ends - size]
+            blobs = [(short if t else flat)[a:b].tobytes() if g else None for a, b, g, t in zip((ends - size).tolist(), ends.tolist(), good.tolist(), thin.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(np.where(good, size, 0), pa.int32()), pa.array(d1), pa.array(d2), pa.array(blobs, pa.binary())], names=["id", "dim", "d1", "d2", "vec"]
             )
@@ -91,6 +99,7 @@ class Index:
     words: list[np.ndarray]
     cuts: list[int]
     least: float
+    sigmas: float
 
     @property
     def radius(self) -> float:
@@ -111,22 +120,30 @@ class Index:
         d2 = np.maximum((x * x).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * x @ self.centroids.T, 0)
         own = d2.argmin(1)
         apart = np.sqrt(np.maximum(((self.centroids**2).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * self.centroids @ self.centroids.T), 0))
-        need = d2 - d2[np.arange(len(x)), own][:, None] <= 2 * self.radius * apart[own] + 1e-9
+        margin = min(self.radius, self.sigmas * self.radius / math.sqrt(x.shape[1]))
+        need = d2 - d2[np.arange(len(x)), own][:, None] <= 2 * margin * apart[own] + 1e-9
         need[np.arange(len(x)), own] = True
         return own, [np.flatnonzero(r) for r in need]
 
 
-def fit(x: np.ndarray, least: float, lists: int) -> Index:
+def fit(x: np.ndarray, least: float, lists: int, sigmas: float = SIGMAS) -> Index:
     """An index for unit vectors, from a sample of them."""
     dim = x.shape[1]
     c = kmeans(x, lists)
     residual = x - c[nearest(x, c)]
     cuts = [dim * j // min(SUBSPACES, dim) for j in range(min(SUBSPACES, dim) + 1)]
-    return Index(c, [kmeans(residual[:, a:b], WORDS) for a, b in zip(cuts, cuts[1:])], cuts, least)
+    return Index(c, [kmeans(residual[:, a:b], WORDS) for a, b in zip(cuts, cuts[1:])], cuts, least, sigmas)
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    return np.stack([np.frombuffer(v, np.float64) for v in column.to_pylist()])
+def _vectors(column: pa.Array, dim: int) -> np.ndarray:
+    """Vectors of one length as doubles, from bytes of floats or doubles."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    data, offs = _scan.raw_buffers(column)
+    size = np.diff(offs)
+    if (size == size[0]).all():
+        return data.view(np.float32 if size[0] == 4 * dim else np.float64).reshape(-1, dim).astype(np.float64)
+    return np.stack([data[a:b].view(np.float32 if b - a == 4 * dim else np.float64).astype(np.float64) for a, b in zip(offs, offs[1:])])
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -138,7 +155,7 @@ def _assign(index: Index):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                u = _unit(_vectors(part.column(2)))
+                u = _unit(_vectors(part.column(2), index.centroids.shape[1]))
                 own, probes = index.probes(u)
                 codes, error = index.code(u - index.centroids[own])
                 offs = np.append(0, np.cumsum([len(p) for p in probes]))
@@ -176,12 +193,13 @@ def _links(index: Index):
 
     def run(table: pa.Table) -> pa.Table:
         asks = np.asarray(table["asks"])
-        ids, n, vec = np.asarray(table["id"]), np.asarray(table["n"]), _vectors(table["vec"])
+        ids, n, vec = np.asarray(table["id"]), np.asarray(table["n"]), _vectors(table["vec"], index.centroids.shape[1])
         q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
         count = np.zeros(len(ids), np.int64)
         pairs: list[tuple[np.ndarray, np.ndarray]] = []
         if len(q) and len(m):
-            codes = np.stack([np.frombuffer(x, np.uint8) for x in table["codes"].take(pa.array(m)).to_pylist()])
+            raw, _ = _scan.raw_buffers(table["codes"].take(pa.array(m)).combine_chunks())
+            codes = raw.reshape(len(m), -1)
             reach = (index.radius + np.asarray(table["error"])[m]) ** 2 + 1e-9
             norm = np.sqrt((vec * vec).sum(1))
             centre = index.centroids[table["at"][0].as_py()]
@@ -224,8 +242,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     the row with that id is kept. Rows that repeat an id count as vectors of
     their own in ``n_links``. An empty table gives an empty result; further
     columns are ignored. ``sample``: how many vectors the index is fitted to at
-    most; ``lists``: number of inverted lists, about the square root of the
-    number of vectors by default.
+    most; ``lists``: number of inverted lists, one per about
+    ``LIST_SIZE`` vectors by default.
     """
     ready = cut(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(_prepare, "id long, dim int, d1 long, d2 long, vec binary"))
     classes = cut(ready.where("vec is not null and id is not null").groupBy("dim", "d1", "d2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n")))
@@ -235,10 +253,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         some = min(sample, max(256, SAMPLE_BYTES // (8 * dim)))
         own = reps.where(F.col("dim") == dim).drop("dim")
         share = int(min(1.0, some / total) * (1 << 20))
-        x = [np.frombuffer(r["vec"], np.float64) for r in own.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) < share).orderBy("id").select("vec").collect()]
+        def rows(df: DataFrame, dim: int = dim) -> list[np.ndarray]:
+            return [np.frombuffer(r["vec"], np.float32 if len(r["vec"]) == 4 * dim else np.float64).astype(np.float64) for r in df.orderBy("id").select("vec").collect()]
+
+        x = rows(own.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) < share))
         if not x:
-            x = [np.frombuffer(r["vec"], np.float64) for r in own.orderBy("id").limit(256).select("vec").collect()]
-        index = fit(_unit(np.stack(x)), least, lists or max(1, min(MOST_LISTS, int(math.sqrt(total)))))
+            x = rows(own.orderBy("id").limit(256))
+        index = fit(_unit(np.stack(x)), least, lists or max(1, min(MOST_LISTS, -(-total // LIST_SIZE))))
         at = cut(own.mapInArrow(_assign(index), "id long, n long, vec binary, list int, probes array<int>, codes binary, error double"))
         inside = at.groupBy("list").agg(F.count(F.lit(1)).alias("members")).withColumnRenamed("list", "at")
         asking = at.select(F.explode("probes").alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("probers"))
