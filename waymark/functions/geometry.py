@@ -117,11 +117,11 @@ def road_bearings(segs: DataFrame, step: float = 2.5, line_key: str = "pfi") ->
     return p.select(line_key, entry.alias("entry_bearing"), leave.alias("exit_bearing")).withColumns({"entry_bearing_flip": flip(F.col("exit_bearing")), "exit_bearing_flip": flip(F.col("entry_bearing"))})
 
 
-def side_of_line(x: Column, y: Column, p0: tuple, p1: tuple, p2: tuple) -> Column:
-    """GE-11: 'L' if the ring p0, p1, p2, point is counter-clockwise, else 'R'."""
+def side_of_line(x: Column, y: Column, p0: tuple, p1: tuple, p2: tuple, digits: int = 9) -> Column:
+    """GE-11: 'L' if the ring p0, p1, p2, point is counter-clockwise, else 'R'; areas that round to 0 are on the line, 'R'."""
     ring = [p0, p1, p2, (x, y)]
     area = sum((cross(a[0], a[1], b[0], b[1]) for a, b in zip(ring[1:], ring[2:] + ring[:1])), cross(ring[0][0], ring[0][1], ring[1][0], ring[1][1]))
-    return F.when(area > 0, "L").otherwise("R")
+    return F.when(F.round(area, digits) > 0, "L").otherwise("R")
 
 
 def side_samples(along: Column, total: Column) -> tuple[Column, Column, Column]:

@@ -82,37 +82,39 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
     else the walk goes on along the best continuation. It ends where no road
     connects (ROAD_END), or after step ``last_step``.
 
-    All walks advance together, a round of joins per step, over tables made once:
-    successors per (road, node), and candidates ranked per (road, node). The
-    frontier is checkpointed, and rounds end when it is empty.
+    All walks advance together, one equi-join per step with a table made once:
+    per (road, node) its degree, its successor, and its usable candidates in order
+    with their names, of which the walk takes the first without the base road's.
+    Roads at a node are few, so these arrays are short. The frontier is
+    checkpointed, and steps end when it is empty.
     """
     primary = _primary(aliases)
-    unnamed = aliases.where(F.col("road_name_id") == UNNAMED_ID).select("pfi").distinct()
+    place, who = ["traversal_pfi", "traversal_ufi"], ["pfi", "node_type"]
+    unnamed = aliases.where(F.col("road_name_id") == UNNAMED_ID).select("pfi")
     tunnel = roads.where("feature_type_code = 'TUNNEL'").select("pfi")
-    degree = turns.groupBy(F.col("from_pfi").alias("traversal_pfi"), F.col("ufi").alias("traversal_ufi")).agg(F.count(F.lit(1)).alias("conn_count"))
-    usable = turns.select(F.col("from_pfi").alias("traversal_pfi"), F.col("ufi").alias("traversal_ufi"), F.col("to_pfi").alias("xpfi"), F.abs("angle").alias("off"))
-    usable = usable.join(unnamed.union(tunnel).distinct().withColumnRenamed("pfi", "xpfi"), "xpfi", "left_anti")
-    names = aliases.select(F.col("pfi").alias("xpfi"), F.col("road_name_id").alias("base_rnid")).distinct().withColumn("own", F.lit(True))
+    at_node = turns.select(F.col("from_pfi").alias("traversal_pfi"), F.col("ufi").alias("traversal_ufi"), F.col("to_pfi").alias("xpfi"), F.abs("angle").alias("off"))
+    names = aliases.groupBy(F.col("pfi").alias("xpfi")).agg(F.collect_set("road_name_id").alias("names"))
+    usable = at_node.join(unnamed.union(tunnel).distinct().withColumnRenamed("pfi", "xpfi"), "xpfi", "left_anti").join(names, "xpfi", "left")
+    order = F.array_sort(F.collect_list(F.struct("off", F.col("xpfi").cast("string").alias("txt"), "xpfi", "names"))).alias("cands")
+    degree = at_node.groupBy(*place).agg(F.count(F.lit(1)).alias("conn_count"))
     follow = best_continuation(turns, aliases, roads).select(F.col("pfi").alias("traversal_pfi"), F.col("ufi").alias("traversal_ufi"), "next_pfi", "next_ufi", F.col("how").alias("next_how"))
-    degree, usable, follow = checkpoint(degree), checkpoint(usable), checkpoint(follow)
+    table = checkpoint(degree.join(usable.groupBy(*place).agg(order), place, "left").join(follow, place, "left"))
     ends = F.explode(F.array(F.struct(F.lit("FROM").alias("node_type"), F.col("from_ufi").alias("u")), F.struct(F.lit("TO").alias("node_type"), F.col("to_ufi").alias("u")))).alias("e")
-    at = roads.join(primary, "pfi", "left").select("pfi", F.col("rnid").alias("base_rnid"), ends).select(
+    at = roads.select("pfi", "from_ufi", "to_ufi").join(primary, "pfi", "left").select("pfi", F.col("rnid").alias("base_rnid"), ends).select(
         "pfi", "base_rnid", "e.node_type", F.col("pfi").alias("traversal_pfi"), F.col("e.u").alias("traversal_ufi"), F.lit("BEGIN").alias("how")
     )
-    place, who = ["traversal_pfi", "traversal_ufi"], ["pfi", "node_type"]
-    columns = [*who, "step", *place, "conn_count", "how"]
+    first = F.get(F.filter("cands", lambda c: ~F.coalesce(F.array_contains(c["names"], F.col("base_rnid")), F.lit(False))), F.lit(0))["xpfi"]
     out = None
     for step in range(last_step + 1):
-        here = checkpoint(at.join(degree, place, "left").withColumns({"step": F.lit(step), "conn_count": F.coalesce("conn_count", F.lit(0))}))
+        here = at.join(table, place, "left").select(*at.columns, F.lit(step).alias("step"), F.coalesce("conn_count", F.lit(0)).alias("conn_count"), first.alias("xpfi"), "next_pfi", "next_ufi", "next_how")
+        here = checkpoint(here)
         if here.isEmpty():
             break
-        near = here.select(*who, "base_rnid", *place).join(usable, place).join(names, ["xpfi", "base_rnid"], "left").where("own is null")
-        pick = checkpoint(near.groupBy(*who).agg(F.min(F.struct("off", F.col("xpfi").cast("string").alias("txt"), "xpfi")).alias("x")))
-        found = here.join(pick, who).select(*who, "step", *place, "conn_count", F.lit("XSTREET").alias("how"), F.col("x.xpfi").alias("xstreet_pfi"))
-        rows = here.select(*columns).withColumn("xstreet_pfi", F.lit(None).cast(found.schema["xstreet_pfi"].dataType)).union(found)
+        row = [*who, "step", *place, "conn_count"]
+        found = here.where("xpfi is not null").select(*row, F.lit("XSTREET").alias("how"), F.col("xpfi").alias("xstreet_pfi"))
+        rows = here.select(*row, "how", F.lit(None).cast(found.schema["xstreet_pfi"].dataType).alias("xstreet_pfi")).union(found)
         out = rows if out is None else out.union(rows)
-        moved = here.where("conn_count > 0").join(pick, who, "left_anti").join(follow, place)
-        at = moved.select("pfi", "base_rnid", "node_type", F.col("next_pfi").alias("traversal_pfi"), F.col("next_ufi").alias("traversal_ufi"), F.col("next_how").alias("how"))
+        at = here.where("xpfi is null and next_pfi is not null").select("pfi", "base_rnid", "node_type", F.col("next_pfi").alias("traversal_pfi"), F.col("next_ufi").alias("traversal_ufi"), F.col("next_how").alias("how"))
     return out if out is not None else at.select(*who, F.lit(0).alias("step"), *place, F.lit(0).cast("long").alias("conn_count"), "how", F.col("pfi").alias("xstreet_pfi"))
 
 

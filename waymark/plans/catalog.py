@@ -383,3 +383,437 @@ def address_components(spark: SparkSession, sf: str) -> DataFrame:
     locality_name || '_' || road_name || '_' || road_type || '_' || coalesce(road_suffix, '') || '_' || (CAST(house_number_1 AS STRING) || coalesce(house_suffix_1, '')) || '_' AS address_string FROM a""")
 def address_components_second_source(spark: SparkSession, sf: str) -> DataFrame:
     return resolution.components(p.read(spark, sf, p.ADDRESS), second_source=True)
+
+
+# --- geometry --------------------------------------------------------------------------------
+
+L = cte(l=p.LINE_POINTS)
+_BEAR = "(90 - degrees(atan2({y2} - {y1}, {x2} - {x1})) + 720) % 360"
+
+
+@query(f"""WITH {L}, b AS (SELECT pfi, {_BEAR.format(x1="px", y1="py", x2="qx", y2="qy")} AS e, {_BEAR.format(x1="qx", y1="qy", x2="rx", y2="ry")} AS o FROM l)
+    SELECT pfi, round(e, 4) AS entry_bearing, round(o, 4) AS exit_bearing, round((o + 180) % 360, 4) AS entry_bearing_flip, round((e + 180) % 360, 4) AS exit_bearing_flip FROM b""")
+def bearing_flip(spark: SparkSession, sf: str) -> DataFrame:
+    l = p.read(spark, sf, p.LINE_POINTS)  # noqa: E741
+    e, o = g.bearing(*(F.col(c) for c in ("px", "py", "qx", "qy"))), g.bearing(*(F.col(c) for c in ("qx", "qy", "rx", "ry")))
+    return l.select("pfi", F.round(e, 4).alias("entry_bearing"), F.round(o, 4).alias("exit_bearing"), F.round(g.flip(o), 4).alias("entry_bearing_flip"), F.round(g.flip(e), 4).alias("exit_bearing_flip"))
+
+
+@query("""SELECT c_custkey, CASE WHEN d > 180 THEN d - 360 WHEN d < -180 THEN d + 360 ELSE d END AS angle FROM (SELECT c_custkey, CAST(c_custkey * 37 % 360 - c_custkey * 91 % 360 AS DOUBLE) AS d FROM customer) t""")
+def turn_angle(spark: SparkSession, sf: str) -> DataFrame:
+    b = lambda n: F.expr(f"cast(c_custkey * {n} % 360 as double)")
+    return spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", g.turn_angle(b(37), b(91)).alias("angle"))
+
+
+_LENS = "sqrt((qx - px) * (qx - px) + (qy - py) * (qy - py)) + sqrt((rx - qx) * (rx - qx) + (ry - qy) * (ry - qy))"
+
+
+@query(f"WITH {L} SELECT pfi, round({_LENS}, 6) AS length, CAST(2 AS INT) AS segments FROM l")
+def line_measure(spark: SparkSession, sf: str) -> DataFrame:
+    pts = F.array(*[F.struct(F.col(f"{c}x").alias("x"), F.col(f"{c}y").alias("y")) for c in "pqr"])
+    return g.line_measures(p.read(spark, sf, p.LINE_POINTS).select("pfi", pts.alias("pts"))).select("pfi", F.round("length", 6).alias("length"), "segments")
+
+
+#: Each line at its start, half-way and beyond its end.
+_SPOTS = "SELECT pfi, pfi * 10 + 1 AS addr_pfi, px + 3 AS x, py - 4 AS y FROM ({l}) AS a UNION ALL SELECT pfi, pfi * 10 + 2, (qx + rx) / 2 - 7, (qy + ry) / 2 + 2 FROM ({l}) AS b UNION ALL SELECT pfi, pfi * 10 + 3, rx + 50, ry + 20 FROM ({l}) AS c".replace("{l}", p.LINE_POINTS)
+_S = cte(s=p.SEGMENT)
+_T1 = "greatest(0, least(1, coalesce(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1), 0), 0)))"
+_PROJ = f"""sp AS ({_SPOTS}), pr AS (SELECT addr_pfi, s.pfi, seq, cum_len, len, x1, y1, x2, y2, x, y, {_T1} AS t FROM sp JOIN s ON s.pfi = sp.pfi),
+    dd AS (SELECT *, x1 + t * (x2 - x1) AS nx, y1 + t * (y2 - y1) AS ny, sqrt((x1 + t * (x2 - x1) - x) * (x1 + t * (x2 - x1) - x) + (y1 + t * (y2 - y1) - y) * (y1 + t * (y2 - y1) - y)) AS d FROM pr),
+    rk AS (SELECT *, row_number() OVER (PARTITION BY addr_pfi ORDER BY d, seq) AS r FROM dd)"""
+
+
+@query(f"WITH {_S}, {_PROJ} SELECT addr_pfi, pfi, round(d, 5) AS dist, round(cum_len + t * len, 5) AS along, round(nx, 5) AS nx, round(ny, 5) AS ny FROM rk WHERE r = 1")
+def point_segment_project(spark: SparkSession, sf: str) -> DataFrame:
+    out = g.project(p.read(spark, sf, _SPOTS), p.read(spark, sf, p.SEGMENT), "addr_pfi")
+    return out.select("addr_pfi", "pfi", *[F.round(c, 5).alias(c) for c in ("dist", "along", "nx", "ny")])
+
+
+_AT = "x1 + CASE WHEN len > 0 THEN (least(greatest({d}, cum_len), cum_len + len) - cum_len) / len ELSE 0 END"
+
+
+@query(f"""WITH {_S}, {_PROJ}, ln AS (SELECT pfi, sum(len) AS total FROM s GROUP BY 1), al AS (SELECT addr_pfi, rk.pfi, x, y, cum_len + t * len AS along, total FROM rk JOIN ln ON ln.pfi = rk.pfi WHERE r = 1),
+    ds AS (SELECT addr_pfi, pfi, x, y, total, i, greatest(0, least(total, CASE WHEN along < 1 THEN 0 WHEN along > total - 1 THEN total - 2 ELSE along - 1 END + i)) AS d FROM al, (VALUES (0), (1), (2)) v(i)),
+    pt AS (SELECT addr_pfi, i, ds.x, ds.y, x1 + (d - cum_len) / len * (x2 - x1) AS ix, y1 + (d - cum_len) / len * (y2 - y1) AS iy, row_number() OVER (PARTITION BY addr_pfi, i ORDER BY seq) AS r
+        FROM ds JOIN s ON s.pfi = ds.pfi AND d >= cum_len AND d <= cum_len + len WHERE len > 0),
+    w AS (SELECT addr_pfi, max(x) AS x, max(y) AS y, {", ".join(f"max(CASE WHEN i = {i} THEN i{c} END) AS {c}{i}" for i in range(3) for c in "xy")} FROM pt WHERE r = 1 GROUP BY 1)
+    SELECT addr_pfi, CASE WHEN round((x0 * y1 - y0 * x1) + (x1 * y2 - y1 * x2) + (x2 * y - y2 * x) + (x * y0 - y * x0), 4) > 0 THEN 'L' ELSE 'R' END AS side FROM w""")
+def side_of_line(spark: SparkSession, sf: str) -> DataFrame:
+    segs = p.read(spark, sf, p.SEGMENT)
+    spots = p.read(spark, sf, _SPOTS)
+    foot = g.project(spots, segs, "addr_pfi").join(segs.groupBy("pfi").agg(F.sum("len").alias("total")), "pfi")
+    low = g.side_samples(F.col("along"), F.col("total"))
+    at = foot.select(F.struct("addr_pfi", "pfi").alias("k"), "pfi", "addr_pfi", F.explode(F.array(*[F.struct(F.lit(i).alias("tag"), d.alias("d")) for i, d in enumerate(low)])).alias("s"))
+    each = at.select("addr_pfi", "pfi", F.col("s.tag").alias("i"), F.col("s.d").alias("d")).withColumn("tag", F.struct("addr_pfi", "i"))
+    pts = g.interpolate(segs, each.select("pfi", "tag", "d")).select("tag.addr_pfi", "tag.i", "x", "y")
+    three = pts.groupBy("addr_pfi").agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in range(3) for c in "xy"])
+    side = g.side_of_line(F.col("x"), F.col("y"), *[(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(3)], digits=4)
+    return three.join(spots.select("addr_pfi", "x", "y"), "addr_pfi").select("addr_pfi", side.alias("side"))
+
+
+_CR = "(x1 * y2 - y1 * x2)"
+
+
+@query(f"""WITH e AS ({p.EDGE}) SELECT pfi, count(DISTINCT ring) AS ring_count, count(*) AS segment_count, round(abs(sum({_CR}) / 2), 4) AS area_size, round(sum(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))), 4) AS perimeter_size,
+    round(sum((x1 + x2) * {_CR}) / (3 * sum({_CR})), 4) AS centroid_x, round(sum((y1 + y2) * {_CR}) / (3 * sum({_CR})), 4) AS centroid_y, min(x1) AS min_x, min(y1) AS min_y, max(x1) AS max_x, max(y1) AS max_y FROM e GROUP BY 1""")
+def ring_area_centroid(spark: SparkSession, sf: str) -> DataFrame:
+    m = g.ring_measures(p.read(spark, sf, p.EDGE))
+    return m.withColumns({c: F.round(c, 4) for c in ("area_size", "perimeter_size", "centroid_x", "centroid_y")})
+
+
+_O = "sign(({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax}))"
+
+
+def _cross_sql(a: tuple[str, ...], b: tuple[str, ...]) -> str:
+    a, b = (tuple(f"({v})" for v in t) for t in (a, b))
+    o = lambda s, x, y: _O.format(ax=s[0], ay=s[1], bx=s[2], by=s[3], cx=x, cy=y)
+    return f"({o(a, b[0], b[1])} * {o(a, b[2], b[3])} < 0 AND {o(b, a[0], a[1])} * {o(b, a[2], a[3])} < 0)"
+
+
+@query(f"WITH {L} SELECT a.pfi, {_cross_sql(('a.px', 'a.py', 'a.qx', 'a.qy'), ('b.px', 'b.py', 'b.rx', 'b.ry'))} AS crosses, {_cross_sql(('a.px', 'a.py', 'a.rx', 'a.ry'), ('a.px - 5', 'a.ry', 'a.rx + 9', 'a.py'))} AS crosses_own FROM l a JOIN l b ON b.pfi = a.pfi + 1")
+def segments_cross(spark: SparkSession, sf: str) -> DataFrame:
+    l = p.read(spark, sf, p.LINE_POINTS)  # noqa: E741
+    b = l.select((F.col("pfi") - 1).alias("pfi"), F.col("px").alias("bpx"), F.col("py").alias("bpy"), F.col("rx").alias("brx"), F.col("ry").alias("bry"))
+    c = F.col
+    return l.join(b, "pfi").select(
+        "pfi", g.segments_cross((c("px"), c("py"), c("qx"), c("qy")), (c("bpx"), c("bpy"), c("brx"), c("bry"))).alias("crosses"),
+        g.segments_cross((c("px"), c("py"), c("rx"), c("ry")), (c("px") - 5, c("ry"), c("rx") + 9, c("py"))).alias("crosses_own"),
+    )
+
+
+@query("""SELECT c_custkey, round(6378137.0 * big * pow(t, n) * sin(theta) + 2500000, 3) AS x, round(2500000 + 6378137.0 * big * pow(t0, n) - 6378137.0 * big * pow(t, n) * cos(theta), 3) AS y FROM (
+    SELECT *, m1 / (n * pow(t1, n)) AS big, (lon - 145) * radians(1.0) * n AS theta FROM (SELECT *, (ln(m1) - ln(m2)) / (ln(t1) - ln(t2)) AS n FROM (SELECT c_custkey, lon,
+        """ + ", ".join(f"tan(pi() / 4 - radians({v}) / 2) / pow((1 - e * sin(radians({v}))) / (1 + e * sin(radians({v}))), e / 2) AS {t}" for v, t in (("lat", "t"), ("-37.0", "t0"), ("-36.0", "t1"), ("-38.0", "t2")))
+    + ", " + ", ".join(f"cos(radians({v})) / sqrt(1 - pow(e * sin(radians({v})), 2)) AS {m}" for v, m in (("-36.0", "m1"), ("-38.0", "m2"))) + """
+        FROM (SELECT c_custkey, 141 + c_custkey % 900 / 100.0 AS lon, -39 + c_custkey % 500 / 100.0 AS lat, sqrt(2 / 298.257222101 - pow(1 / 298.257222101, 2)) AS e FROM customer) a) b) c) d""")
+def lambert_project(spark: SparkSession, sf: str) -> DataFrame:
+    x, y = g.lambert(F.expr("141 + cast(c_custkey % 900 as double) / 100"), F.expr("-39 + cast(c_custkey % 500 as double) / 100"))
+    return spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+
+
+@query(f"""WITH {L}, d AS (SELECT *, sqrt((qx - px) * (qx - px) + (qy - py) * (qy - py)) / 1000 AS len FROM l) SELECT pfi, round(CASE WHEN len < 0.05 THEN px + (qx - px) / 1000.0 + 0.1 * ((qx - px) / 1000.0) / CASE WHEN len = 0 THEN 1 ELSE len END ELSE px + (qx - px) / 1000.0 END, 5) AS x,
+    round(CASE WHEN len < 0.05 THEN py + (qy - py) / 1000.0 + 0.1 * ((qy - py) / 1000.0) / CASE WHEN len = 0 THEN 1 ELSE len END ELSE py + (qy - py) / 1000.0 END, 5) AS y FROM d""")
+def connector_extension(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    x, y = g.extend_short(c("px"), c("py"), c("px") + (c("qx") - c("px")) / 1000, c("py") + (c("qy") - c("py")) / 1000, shortest=0.05)
+    return p.read(spark, sf, p.LINE_POINTS).select("pfi", F.round(x, 5).alias("x"), F.round(y, 5).alias("y"))
+
+
+# --- spatial joins -----------------------------------------------------------------------------
+
+_RAY = "((e.y1 > {p}.y) <> (e.y2 > {p}.y) AND {p}.x < (e.x2 - e.x1) * ({p}.y - e.y1) / CASE WHEN e.y2 <> e.y1 THEN e.y2 - e.y1 ELSE 1 END + e.x1)"
+_ONE = "((e.x2 - e.x1) * ({p}.y - e.y1) - (e.y2 - e.y1) * ({p}.x - e.x1) = 0 AND {p}.x BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND {p}.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))"
+
+
+def _pip_sql(points: str, key: str, closed: bool = False) -> str:
+    sums = f"SELECT p.{key}, e.pfi AS polygon, sum(CASE WHEN {_RAY.format(p='p')} THEN 1 ELSE 0 END) AS hits, max(CASE WHEN {_ONE.format(p='p')} THEN 1 ELSE 0 END) AS on_edge FROM {points} p, e GROUP BY 1, 2"
+    return f"SELECT {key}, polygon FROM ({sums}) q WHERE " + ("hits % 2 = 1 OR on_edge = 1" if closed else "hits % 2 = 1 AND on_edge = 0")
+
+
+_PE = cte(pt=p.POINT, e=p.EDGE)
+CELL = 500.0
+
+
+@query(f"WITH {_PE} {_pip_sql('pt', 'pfi')}")
+def pip_join(spark: SparkSession, sf: str) -> DataFrame:
+    edges = p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon")
+    return spatial.point_in_polygon(p.read(spark, sf, p.POINT), edges, "pfi", "polygon", CELL)
+
+
+@query(f"WITH {_PE}, h AS ({_pip_sql('pt', 'pfi')}) SELECT pt.pfi, coalesce(min(n_name), 'UNKNOWN') AS name, CASE WHEN min(n_name) IS NULL THEN 0.0 ELSE 100.0 END AS percent FROM pt LEFT JOIN h ON h.pfi = pt.pfi LEFT JOIN nation ON n_nationkey = h.polygon GROUP BY pt.pfi")
+def pip_tie_first(spark: SparkSession, sf: str) -> DataFrame:
+    edges = p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon")
+    names = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("polygon"), F.col("n_name").alias("name"))
+    return spatial.locate(p.read(spark, sf, p.POINT), edges, names, "pfi", "polygon", CELL, by_overlap=False)
+
+
+@query(f"""WITH {_PE}, h AS ({_pip_sql('pt', 'pfi')}), c AS (SELECT pfi, count(*) AS n FROM h GROUP BY 1), d AS (SELECT * FROM (VALUES {", ".join(f"({i}, CAST({dx!r} AS DOUBLE), CAST({dy!r} AS DOUBLE))" for i, (dx, dy) in enumerate(g.disc_samples()))}) v(i, dx, dy)),
+    sp AS (SELECT pt.pfi * 1000 + i AS k, x + dx AS x, y + dy AS y FROM pt JOIN c ON c.pfi = pt.pfi AND n > 1, d), sh AS ({_pip_sql('sp', 'k')}),
+    sc AS (SELECT h.pfi, h.polygon, n_name AS name, count(sh.k) * 100.0 / {len(g.disc_samples())} AS percent FROM h JOIN c ON c.pfi = h.pfi AND n > 1 JOIN nation ON n_nationkey = h.polygon LEFT JOIN sh ON CAST(floor(sh.k / 1000) AS BIGINT) = h.pfi AND sh.polygon = h.polygon GROUP BY 1, 2, 3),
+    rk AS (SELECT *, row_number() OVER (PARTITION BY pfi ORDER BY percent DESC, name) AS r FROM sc),
+    one AS (SELECT pfi, name, percent FROM rk WHERE r = 1 UNION ALL SELECT h.pfi, n_name, 100.0 FROM h JOIN c ON c.pfi = h.pfi AND n = 1 JOIN nation ON n_nationkey = h.polygon)
+    SELECT pt.pfi, coalesce(name, 'UNKNOWN') AS name, CAST(round(coalesce(percent, 0), 6) AS DOUBLE) AS percent FROM pt LEFT JOIN one ON one.pfi = pt.pfi""")
+def pip_tie_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    edges = p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon")
+    names = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("polygon"), F.col("n_name").alias("name"))
+    return spatial.locate(p.read(spark, sf, p.POINT), edges, names, "pfi", "polygon", CELL).withColumn("percent", F.round("percent", 6))
+
+
+@query(f"WITH {_PE} SELECT DISTINCT pfi FROM ({_pip_sql('pt', 'pfi', closed=True)}) h")
+def border_filter(spark: SparkSession, sf: str) -> DataFrame:
+    edges = p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon")
+    return spatial.point_in_polygon(p.read(spark, sf, p.POINT), edges, "pfi", "polygon", CELL, closed=True).select("pfi").distinct()
+
+
+_PS = cte(pt=p.POINT, si=p.SITE)
+
+
+@query(f"WITH {_PS}, d AS (SELECT pfi, ufi, (si.x - pt.x) * (si.x - pt.x) + (si.y - pt.y) * (si.y - pt.y) AS d2 FROM pt, si) SELECT pfi, ufi, d2 FROM (SELECT *, row_number() OVER (PARTITION BY pfi ORDER BY d2, ufi) AS r FROM d) q WHERE r = 1")
+def knn_near(spark: SparkSession, sf: str) -> DataFrame:
+    return spatial.nearest(p.read(spark, sf, p.POINT), p.read(spark, sf, p.SITE), "pfi", "ufi")
+
+
+@query(f"""WITH {_PE}, ce AS (SELECT pfi AS polygon, sum((x1 + x2) * {_CR}) / (3 * sum({_CR})) AS cx, sum((y1 + y2) * {_CR}) / (3 * sum({_CR})) AS cy FROM e GROUP BY 1), h AS ({_pip_sql('pt', 'pfi')}),
+    d AS (SELECT h.polygon, h.pfi AS node, row_number() OVER (PARTITION BY h.polygon ORDER BY (x - cx) * (x - cx) + (y - cy) * (y - cy), h.pfi) AS r FROM h JOIN pt ON pt.pfi = h.pfi JOIN ce ON ce.polygon = h.polygon) SELECT polygon, node FROM d WHERE r = 1""")
+def nearest_contained(spark: SparkSession, sf: str) -> DataFrame:
+    edges = p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon")
+    return spatial.nearest_contained(p.read(spark, sf, p.POINT).withColumnRenamed("pfi", "node"), edges, g.ring_measures(edges, "polygon"), "polygon", "node", CELL)
+
+
+_DIST = f"""d0 AS (SELECT pt.pfi AS addr_pfi, pt.x, pt.y, s.*, {_T1} AS t FROM pt, s), d1 AS (SELECT *, x1 + t * (x2 - x1) AS nx, y1 + t * (y2 - y1) AS ny FROM d0),
+    d2 AS (SELECT *, (nx - x) * (nx - x) + (ny - y) * (ny - y) AS q FROM d1 WHERE (nx - x) * (nx - x) + (ny - y) * (ny - y) <= {{r2}}), d3 AS (SELECT *, row_number() OVER (PARTITION BY addr_pfi, pfi ORDER BY q, seq) AS r FROM d2)"""
+_PTS = cte(pt=p.POINT, s=p.SEGMENT)
+
+
+@query(f"WITH {_PTS}, {_DIST.format(r2=250 * 250)} SELECT addr_pfi, pfi, round(sqrt(q), 5) AS dist, round(cum_len + t * len, 5) AS along FROM d3 WHERE r = 1")
+def distance_join(spark: SparkSession, sf: str) -> DataFrame:
+    out = spatial.distance_join(p.read(spark, sf, p.POINT).withColumnRenamed("pfi", "addr_pfi"), p.read(spark, sf, p.SEGMENT), 250.0, "addr_pfi")
+    return out.select("addr_pfi", "pfi", F.round("dist", 5).alias("dist"), F.round("along", 5).alias("along"))
+
+
+_CROSS = _cross_sql(("c.x", "c.y", "c.nx", "c.ny"), ("s.x1", "s.y1", "s.x2", "s.y2"))
+
+
+@query(f"""WITH {_PTS}, {_DIST.format(r2=250 * 250)}, c AS (SELECT addr_pfi, pfi, x, y, nx, ny FROM d3 WHERE r = 1), x AS (SELECT DISTINCT c.addr_pfi, c.pfi, s.pfi AS other FROM c JOIN s ON s.pfi <> c.pfi AND {_CROSS})
+    SELECT addr_pfi, pfi, CAST(floor(sum(CASE WHEN other % 5 = 0 THEN 4 ELSE 10 END) / 10) AS INT) AS crossed, count(*) AS intersects FROM x GROUP BY 1, 2""")
+def crossing_count(spark: SparkSession, sf: str) -> DataFrame:
+    segs = p.read(spark, sf, p.SEGMENT)
+    links = spatial.distance_join(p.read(spark, sf, p.POINT).withColumnRenamed("pfi", "addr_pfi"), segs, 250.0, "addr_pfi").join(p.read(spark, sf, p.POINT).withColumnRenamed("pfi", "addr_pfi"), "addr_pfi")
+    names = segs.select("pfi", F.when(F.col("pfi") % 5 == 0, "UNNAMED").otherwise("NAMED").alias("road_name")).distinct()
+    return rules.weighted_crossings(spatial.crossings(links, segs, ["addr_pfi", "pfi"], 250.0, own="pfi"), names, ["addr_pfi", "pfi"])
+
+
+_EPT = "SELECT pfi * 10 + seq * 2 AS k, pfi AS road, x1 AS x, y1 AS y FROM s UNION ALL SELECT pfi * 10 + seq * 2 + 1, pfi, x2, y2 FROM s"
+
+
+@query(f"""WITH s AS ({p.SEGMENT}), e AS ({p.EDGE}), ep AS ({_EPT}), h AS ({_pip_sql('ep', 'k', closed=True)})
+    SELECT CAST(floor(k / 10) AS BIGINT) AS pfi, polygon FROM h UNION SELECT s.pfi, e.pfi FROM s, e WHERE {_cross_sql(("s.x1", "s.y1", "s.x2", "s.y2"), ("e.x1", "e.y1", "e.x2", "e.y2"))}""")
+def lines_in_polygons(spark: SparkSession, sf: str) -> DataFrame:
+    return spatial.lines_in_polygons(p.read(spark, sf, p.SEGMENT), p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon"), "polygon", CELL)
+
+
+# --- topology -----------------------------------------------------------------------------------
+
+_NET = cte(road=p.ROAD, bear=p.BEARING, node=p.NODE, alias=p.ALIAS)
+_INC = "inc AS (SELECT from_ufi AS ufi, pfi FROM road UNION SELECT to_ufi, pfi FROM road)"
+_ENDS = f"""{_INC}, en AS (SELECT i.ufi, i.pfi, CASE WHEN i.ufi = r.from_ufi THEN entry_bearing ELSE entry_bearing_flip END AS b, CASE WHEN lower(n.feature_type_code) = 'tunnel' THEN coalesce(i.pfi IN (n.conpfi1, n.conpfi2), false) END AS thru
+    FROM inc i JOIN road r ON r.pfi = i.pfi JOIN bear b ON b.pfi = i.pfi JOIN node n ON n.ufi = i.ufi)"""
+_TURN = f"""{_ENDS}, turn AS (SELECT a.ufi, a.pfi AS from_pfi, b.pfi AS to_pfi, CASE WHEN a.b - b.b > 180 THEN a.b - b.b - 360 WHEN a.b - b.b < -180 THEN a.b - b.b + 360 ELSE a.b - b.b END AS angle, a.b AS from_bearing, b.b AS to_bearing
+    FROM en a JOIN en b ON a.ufi = b.ufi AND a.pfi <> b.pfi WHERE NOT coalesce(a.thru <> b.thru, false))"""
+
+
+def _turns(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.turn_table(p.read(spark, sf, p.ROAD), p.read(spark, sf, p.BEARING), p.read(spark, sf, p.NODE))
+
+
+@query(f"WITH {_NET}, {_INC} SELECT ufi, pfi FROM inc")
+def incidence(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.incidence(p.read(spark, sf, p.ROAD))
+
+
+@query(f"WITH {_NET}, {_TURN} SELECT * FROM turn")
+def turn_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _turns(spark, sf)
+
+
+@query(f"WITH {_NET}, {_TURN} SELECT lower(n.feature_type_code) AS kind, count(*) AS n_turns FROM turn t JOIN node n ON n.ufi = t.ufi GROUP BY 1")
+def tunnel_filter(spark: SparkSession, sf: str) -> DataFrame:
+    kinds = p.read(spark, sf, p.NODE).select("ufi", F.lower("feature_type_code").alias("kind"))
+    return _turns(spark, sf).join(kinds, "ufi").groupBy("kind").agg(F.count(F.lit(1)).alias("n_turns"))
+
+
+_FOLLOW = f"""{_TURN}, prim AS (SELECT pfi, rnid FROM (SELECT pfi, road_name_id AS rnid, row_number() OVER (PARTITION BY pfi ORDER BY alias_number, road_name_id) AS r FROM alias) q WHERE r = 1),
+    cand AS (SELECT t.ufi, t.from_pfi AS pfi, t.to_pfi AS next_pfi, abs(180 - abs(angle)) AS off, CASE WHEN pr.rnid <> 1312 AND EXISTS (SELECT 1 FROM alias x WHERE x.pfi = t.to_pfi AND x.road_name_id = pr.rnid) THEN 0 ELSE 1 END AS other FROM turn t JOIN prim pr ON pr.pfi = t.from_pfi),
+    fol AS (SELECT q.pfi, q.ufi, next_pfi, CASE WHEN r.from_ufi = q.ufi THEN r.to_ufi ELSE r.from_ufi END AS next_ufi, CASE WHEN other = 1 THEN 'CLOSE_TO_180' ELSE 'SAME_RNID' END AS how
+        FROM (SELECT *, row_number() OVER (PARTITION BY pfi, ufi ORDER BY other, off, CAST(next_pfi AS STRING)) AS rk FROM cand) q JOIN road r ON r.pfi = next_pfi WHERE rk = 1)"""
+
+
+@query(f"WITH {_NET}, {_FOLLOW} SELECT * FROM fol")
+def best_continuation(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.best_continuation(_turns(spark, sf), p.read(spark, sf, p.ALIAS), p.read(spark, sf, p.ROAD))
+
+
+_WALK = f"""{_FOLLOW}, deg AS (SELECT from_pfi AS pfi, ufi, count(*) AS n FROM turn GROUP BY 1, 2),
+    usable AS (SELECT from_pfi AS pfi, ufi, to_pfi AS xpfi, abs(angle) AS off FROM turn t WHERE NOT EXISTS (SELECT 1 FROM alias x WHERE x.pfi = t.to_pfi AND x.road_name_id = 1312) AND NOT EXISTS (SELECT 1 FROM road r WHERE r.pfi = t.to_pfi AND r.feature_type_code = 'TUNNEL')),
+    pick AS (SELECT base, pfi, ufi, xpfi FROM (SELECT b.rnid AS base, u.pfi, u.ufi, u.xpfi, row_number() OVER (PARTITION BY b.rnid, u.pfi, u.ufi ORDER BY u.off, CAST(u.xpfi AS STRING)) AS r
+        FROM (SELECT DISTINCT rnid FROM prim) b, usable u WHERE NOT EXISTS (SELECT 1 FROM alias x WHERE x.pfi = u.xpfi AND x.road_name_id = b.rnid)) q WHERE r = 1),
+    walk AS (SELECT r.pfi, pr.rnid AS base, v.nt AS node_type, 0 AS step, r.pfi AS traversal_pfi, CASE WHEN v.nt = 'FROM' THEN from_ufi ELSE to_ufi END AS traversal_ufi, 'BEGIN' AS how FROM road r JOIN prim pr ON pr.pfi = r.pfi, (VALUES ('FROM'), ('TO')) v(nt)
+        UNION ALL SELECT w.pfi, w.base, w.node_type, w.step + 1, f.next_pfi, f.next_ufi, f.how FROM walk w JOIN fol f ON f.pfi = w.traversal_pfi AND f.ufi = w.traversal_ufi
+            LEFT JOIN pick k ON k.base = w.base AND k.pfi = w.traversal_pfi AND k.ufi = w.traversal_ufi WHERE k.xpfi IS NULL AND w.step < 51),
+    trav AS (SELECT w.pfi, node_type, step, traversal_pfi, traversal_ufi, coalesce(d.n, 0) AS conn_count, how, CAST(NULL AS BIGINT) AS xstreet_pfi FROM walk w LEFT JOIN deg d ON d.pfi = traversal_pfi AND d.ufi = traversal_ufi
+        UNION ALL SELECT w.pfi, node_type, step, traversal_pfi, traversal_ufi, coalesce(d.n, 0), 'XSTREET', k.xpfi FROM walk w JOIN pick k ON k.base = w.base AND k.pfi = traversal_pfi AND k.ufi = traversal_ufi LEFT JOIN deg d ON d.pfi = traversal_pfi AND d.ufi = traversal_ufi)"""
+
+
+def _walks(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.cross_street_walks(p.read(spark, sf, p.ROAD), _turns(spark, sf), p.read(spark, sf, p.ALIAS))
+
+
+@query(f"WITH RECURSIVE {_NET}, {_WALK} SELECT * FROM trav")
+def xstreet_traversal(spark: SparkSession, sf: str) -> DataFrame:
+    return _walks(spark, sf)
+
+
+@query(f"""WITH RECURSIVE {_NET}, {_WALK}, x AS (SELECT t.pfi, node_type, xstreet_pfi, rnid FROM trav t JOIN prim pr ON pr.pfi = xstreet_pfi WHERE how = 'XSTREET')
+    SELECT r.pfi, pr.rnid, r.from_ufi, coalesce(f.rnid, -1) AS from_xrnid, coalesce(f.xstreet_pfi, -1) AS from_xpfi, r.to_ufi, coalesce(t.rnid, -1) AS to_xrnid, coalesce(t.xstreet_pfi, -1) AS to_xpfi
+    FROM road r LEFT JOIN prim pr ON pr.pfi = r.pfi LEFT JOIN x f ON f.pfi = r.pfi AND f.node_type = 'FROM' LEFT JOIN x t ON t.pfi = r.pfi AND t.node_type = 'TO'""")
+def cross_streets(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.cross_streets(p.read(spark, sf, p.ROAD), _walks(spark, sf), p.read(spark, sf, p.ALIAS))
+
+
+@query(f"WITH RECURSIVE {_NET}, {_WALK} SELECT t.pfi, node_type, sum(CAST(traversal_pfi % 100 + 1 AS DOUBLE)) - max(CAST(t.pfi % 100 + 1 AS DOUBLE)) AS distance FROM trav t GROUP BY 1, 2")
+def walk_distance(spark: SparkSession, sf: str) -> DataFrame:
+    lengths = p.read(spark, sf, p.ROAD).select("pfi", F.expr("cast(pfi % 100 + 1 as double)").alias("length"))
+    return topology.walk_distances(_walks(spark, sf), lengths)
+
+
+def _edges(spark: SparkSession, sf: str) -> DataFrame:
+    return p.read(spark, sf, p.ROAD).select("pfi", F.col("from_ufi").alias("src"), F.col("to_ufi").alias("dst"))
+
+
+def _component_sql(edges: str) -> str:
+    return f"""ed AS ({edges}), adj AS (SELECT src AS a, dst AS b FROM ed UNION SELECT dst, src FROM ed), reach AS (SELECT CAST(1 AS BIGINT) AS n UNION SELECT b FROM reach JOIN adj ON a = n)
+        SELECT ed.pfi, CASE WHEN reach.n IS NULL THEN 'DISCONNECTED' ELSE 'NETWORKED' END AS status FROM ed LEFT JOIN reach ON reach.n = ed.src"""
+
+
+@query(f"WITH RECURSIVE road AS ({p.ROAD}), {_component_sql('SELECT pfi, from_ufi AS src, to_ufi AS dst FROM road')}")
+def component_of_seed(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.connectivity(_edges(spark, sf), 1)
+
+
+@query(f"WITH RECURSIVE road AS ({p.ROAD}), {_component_sql('SELECT pfi, from_ufi AS src, to_ufi AS dst FROM road UNION ALL SELECT CAST(-1 AS BIGINT), src, dst FROM (' + p.ROAD_PATCH + ') pa')}")
+def patched_component(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.connectivity(_edges(spark, sf), 1, p.read(spark, sf, p.ROAD_PATCH))
+
+
+@query(f"WITH RECURSIVE road AS ({p.ROAD}), adj AS (SELECT from_ufi AS a, to_ufi AS b FROM road UNION SELECT to_ufi, from_ufi FROM road), reach AS (SELECT a AS node, a AS n FROM adj UNION SELECT node, b FROM reach JOIN adj ON a = n) SELECT node, min(n) AS component FROM reach GROUP BY 1")
+def component_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.component_labels(_edges(spark, sf))
+
+
+@query(f"WITH {_S} SELECT pfi, seq, CAST(CAST(round(x1 / 0.01) AS BIGINT) AS STRING) || ':' || CAST(CAST(round(y1 / 0.01) AS BIGINT) AS STRING) AS src, CAST(CAST(round(x2 / 0.01) AS BIGINT) AS STRING) || ':' || CAST(CAST(round(y2 / 0.01) AS BIGINT) AS STRING) AS dst FROM s")
+def snap_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    segs = p.read(spark, sf, p.SEGMENT).withColumn("pfi", F.struct("pfi", "seq"))
+    return topology.snap(segs).select("pfi.pfi", "pfi.seq", "src", "dst")
+
+
+@query(f"""WITH road AS ({p.ROAD}) SELECT pfi, 'UNNAMED' AS split FROM road WHERE road_name = 'UNNAMED'
+    UNION ALL SELECT pfi, 'VIC' FROM road WHERE road_name <> 'UNNAMED' AND (left_locality NOT LIKE '%(NSW)%' OR right_locality NOT LIKE '%(NSW)%') AND (left_locality NOT LIKE '%(SA)%' OR right_locality NOT LIKE '%(SA)%')
+    UNION ALL SELECT pfi, 'INTERSTATE' FROM road WHERE road_name <> 'UNNAMED' AND (left_locality LIKE '%(NSW)%' OR right_locality LIKE '%(NSW)%' OR left_locality LIKE '%(SA)%' OR right_locality LIKE '%(SA)%')""")
+def disconnected_splits(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.disconnected_splits(p.read(spark, sf, p.ROAD))
+
+
+@query(f"WITH si AS ({p.SITE}) SELECT ufi, x, y, (x - 5000) * (x - 5000) + (y - 5000) * (y - 5000) AS d2 FROM si ORDER BY d2, ufi LIMIT 1")
+def start_node(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.nearest_to(p.read(spark, sf, p.SITE), 5000.0, 5000.0)
+
+
+# --- rules ------------------------------------------------------------------------------------------
+
+_SPLIT = "regexp_split_to_array({c}, '[- ]')"
+_STRIP = "CASE WHEN {c} LIKE '%S' THEN substr({c}, 1, length({c}) - 1) ELSE {c} END"
+_MATCH = {
+    "RoadNameID": "b_rnid = t_rnid", "RoadNameType": "b_name = t_name AND b_type = t_type", "RoadName": "b_name = t_name",
+    "NoSpace": "b_name <> t_name AND replace(replace(b_name, ' ', ''), '-', '') = replace(replace(t_name, ' ', ''), '-', '')",
+    "OldPrefix": "(b_name LIKE 'OLD %' OR t_name LIKE 'OLD %') AND replace(b_name, 'OLD ', '') = replace(t_name, 'OLD ', '')",
+    "SSuffix": f"(b_name LIKE '%S' OR t_name LIKE '%S') AND {_STRIP.format(c='b_name')} = {_STRIP.format(c='t_name')}",
+    "StartsWith": "starts_with(b_name, substr(t_name, 1, 5))",
+    "Partial": "(SELECT count(*) FROM pb, pt WHERE pb.id = m.id AND pt.id = m.id AND pb.w = pt.w) >= 0.3 * least(len(" + _SPLIT.format(c="b_name") + "), len(" + _SPLIT.format(c="t_name") + "))",
+    "Named": "b_name <> 'UNNAMED'", "None": "true",
+}
+
+
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    m = p.read(spark, sf, p.NAME_PAIR)
+    return m.withColumns({"b_soundex": k.soundex(F.col("b_name")), "t_soundex": k.soundex(F.col("t_name"))})
+
+
+def _register_matcher(name: str, sql: str | None) -> None:
+    def match(spark: SparkSession, sf: str) -> DataFrame:
+        sides = [{c: F.col(f"{s}_{c}") for c in ("name", "type", "rnid", "soundex")} for s in "bt"]
+        return _pairs(spark, sf).select("id", rules.attribute_match(F.lit(name), *sides).alias("valid"))
+
+    match.__name__ = "match_" + "".join("_" + ch.lower() if ch.isupper() and i else ch.lower() for i, ch in enumerate(name.replace("ID", "Id")))
+    words = f"pb AS (SELECT id, unnest({_SPLIT.format(c='b_name')}) AS w FROM m), pt AS (SELECT id, unnest({_SPLIT.format(c='t_name')}) AS w FROM m)"
+    query(sql and f"WITH m AS ({p.NAME_PAIR}), {words} SELECT id, ({sql}) AS valid FROM m")(match)
+
+
+for _name in ("RoadNameID", "RoadNameType", "RoadName", "NoSpace", "OldPrefix", "SSuffix", "StartsWith", "Partial", "Soundex", "Named", "None"):
+    _register_matcher(_name, _MATCH.get(_name))
+
+
+@query("""SELECT p_partkey, c.code, (c.code = 'F_N' OR (p_size * 3.0 < 100 AND (p_partkey % 5 <= 2 OR c.near = 'Nearest'))) AS valid FROM part, (VALUES ('F_N', 'Any'), ('N_1', 'Nearest'), ('A_1', 'Any')) c(code, near)""")
+def spatial_rule(spark: SparkSession, sf: str) -> DataFrame:
+    kinds = F.explode(F.array(*[F.struct(F.lit(c).alias("code"), F.lit(n).alias("near")) for c, n in (("F_N", "Any"), ("N_1", "Nearest"), ("A_1", "Any"))]))
+    rows = spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", "p_size", kinds.alias("k"))
+    ok = rules.spatial_match(F.col("k.code"), F.col("k.near"), F.col("p_size") * 3.0, F.col("p_partkey") % 5, F.lit(100), F.lit(2))
+    return rows.select("p_partkey", "k.code", ok.alias("valid"))
+
+
+_CATS = "SELECT * FROM (VALUES ('R', 'Road'), ('X', 'Other')) v(category_code, category_description)"
+RULES = [(1, "A_ID", 100, "RoadNameID", "Any", 2, 120), (2, "B_NT", 80, "RoadName", "Nearest", 1, 600), (3, "C_PA", 60, "Partial", "Any", 0, 300), (4, "D_NA", 40, "Named", "Nearest", 5, 250), (5, "F_N", 10, "None", "Nearest", 99, 700)]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(repr(r) for r in RULES) + ") v(test_order, code, score, match_attribute, match_spatial, max_intersects, max_distance)")
+def rules_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return _rules(spark)
+
+
+def _rules(spark: SparkSession) -> DataFrame:
+    cats = spark.createDataFrame([("R", "Road"), ("X", "Other")], "category_code string, category_description string")
+    order = spark.createDataFrame([("R", r[1], r[0]) for r in RULES] + [("X", "A_ID", 9)], "category_code string, rule_code string, test_order int")
+    table = spark.createDataFrame([r[1:] for r in RULES], "code string, score int, match_attribute string, match_spatial string, max_intersects int, max_distance int")
+    return rules.rules_in_order(cats, order, table, "R")
+
+
+_ADDR = "SELECT pfi AS addr_pfi, x, y, concat('NAME ', CAST(pfi % 40 AS STRING)) AS name, 'ROAD' AS type, pfi % 60 AS rnid, CASE WHEN pfi % 9 = 0 THEN 'UNKNOWN' ELSE concat('LOC', CAST(CAST(floor(x / 2000) AS BIGINT) AS STRING)) END AS locality FROM ({pt}) AS t".replace("{pt}", p.POINT)
+_NAMES = "SELECT pfi, pfi % 60 AS rnid, 0 AS alias_number, 0 AS route_flag, CASE WHEN pfi % 13 = 0 THEN 'UNNAMED' ELSE concat('NAME ', CAST(pfi % 40 AS STRING)) END AS name, 'ROAD' AS type FROM ({l}) AS t UNION ALL SELECT pfi, pfi * 7 % 60, 1, 0, CASE WHEN pfi % 13 = 0 THEN 'UNNAMED' WHEN pfi % 2 = 0 THEN concat('OTHER ', CAST(pfi % 40 AS STRING)) ELSE concat('NAME ', CAST(pfi % 40 AS STRING)) END, 'ROAD' FROM ({l}) AS t".replace("{l}", p.LINE_POINTS)
+_LOCAL = "SELECT pfi, concat('LOC', CAST(CAST(floor(px / 2000) AS BIGINT) AS STRING)) AS locality FROM ({l}) AS t UNION SELECT pfi, concat('LOC', CAST(CAST(floor(rx / 2000) AS BIGINT) AS STRING)) FROM ({l}) AS t".replace("{l}", p.LINE_POINTS)
+_ATTR = "CASE match_attribute WHEN 'RoadNameID' THEN ad.rnid = na.rnid WHEN 'RoadName' THEN ad.name = na.name WHEN 'Partial' THEN (CASE WHEN split_part(ad.name, ' ', 1) = split_part(na.name, ' ', 1) THEN 1 ELSE 0 END + CASE WHEN split_part(ad.name, ' ', 2) = split_part(na.name, ' ', 2) THEN 1 ELSE 0 END) >= 0.3 * least(2, CASE WHEN na.name LIKE '% %' THEN 2 ELSE 1 END) WHEN 'Named' THEN ad.name <> 'UNNAMED' ELSE true END"
+
+
+@query(f"""WITH ad AS ({_ADDR}), s AS ({p.SEGMENT}), na AS ({_NAMES}), lo AS ({_LOCAL}), ru AS (SELECT * FROM (VALUES {", ".join(repr(r) for r in RULES)}) v(test_order, code, score, match_attribute, match_spatial, max_intersects, max_distance)),
+    pt AS (SELECT addr_pfi AS pfi, x, y FROM ad), s2 AS (SELECT * FROM s WHERE pfi NOT IN (SELECT pfi FROM na WHERE name IN ('UNNAMED', 'UNKNOWN'))),
+    {_DIST.format(r2=700 * 700).replace("FROM pt, s)", "FROM pt, s2 s)")}, nr AS (SELECT addr_pfi, pfi, sqrt(q) AS dist, cum_len + t * len AS along, x, y, nx, ny FROM d3 WHERE r = 1),
+    tr AS (SELECT nr.*, ru.*, CASE WHEN dist <= 250 THEN 1 ELSE CAST(ceil(dist / 250) AS INT) END AS ring FROM nr JOIN ad ON ad.addr_pfi = nr.addr_pfi JOIN ru ON dist <= max_distance
+        WHERE code = 'F_N' OR ad.locality = 'UNKNOWN' OR EXISTS (SELECT 1 FROM lo WHERE lo.pfi = nr.pfi AND lo.locality = ad.locality)),
+    tn AS (SELECT *, min(dist) OVER w AS closest, lag(dist) OVER w AS prev FROM tr WINDOW w AS (PARTITION BY addr_pfi, test_order, ring ORDER BY dist, CAST(pfi AS STRING))),
+    fi AS (SELECT tn.*, na.rnid AS road_rnid, row_number() OVER (PARTITION BY tn.addr_pfi, test_order ORDER BY ring, dist, CAST(tn.pfi AS STRING), CAST(na.rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0') AS r
+        FROM tn JOIN ad ON ad.addr_pfi = tn.addr_pfi JOIN na ON na.pfi = tn.pfi WHERE (match_spatial <> 'Nearest' OR dist = closest OR prev = closest) AND {_ATTR}),
+    c AS (SELECT * FROM fi WHERE r = 1), main AS (SELECT pfi, name FROM (SELECT pfi, name, row_number() OVER (PARTITION BY pfi ORDER BY CAST(rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0') AS r FROM na) q WHERE r = 1),
+    cl AS (SELECT DISTINCT addr_pfi, pfi, x, y, nx, ny FROM c), cx AS (SELECT DISTINCT c.addr_pfi, c.pfi, s.pfi AS other FROM cl c JOIN s ON s.pfi <> c.pfi AND {_CROSS}),
+    cc AS (SELECT addr_pfi, cx.pfi, CAST(floor(sum(CASE WHEN name IN ('UNNAMED', 'UNKNOWN') THEN 4 ELSE 10 END) / 10) AS INT) AS crossed, count(*) AS intersects FROM cx JOIN main ON main.pfi = other GROUP BY 1, 2),
+    ok AS (SELECT c.*, coalesce(crossed, 0) AS crossed, coalesce(intersects, 0) AS intersects, code = 'F_N' OR (dist < max_distance AND (coalesce(crossed, 0) <= max_intersects OR match_spatial = 'Nearest')) AS matched FROM c LEFT JOIN cc ON cc.addr_pfi = c.addr_pfi AND cc.pfi = c.pfi)
+    SELECT addr_pfi, pfi AS road_pfi, test_order AS rule_rank, code AS rule_code, score AS rule_score, matched, road_rnid, round(dist, 5) AS dist_from_road, round(along, 5) AS dist_along_road, intersects, crossed
+    FROM (SELECT *, row_number() OVER (PARTITION BY addr_pfi ORDER BY CASE WHEN matched THEN 0 ELSE 1 END, test_order) AS rr FROM ok) q WHERE rr = 1""")
+def rule_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    a = p.read(spark, sf, _ADDR).withColumn("soundex", k.soundex(F.col("name")))
+    names = p.read(spark, sf, _NAMES).withColumn("soundex", k.soundex(F.col("name")))
+    out = rules.match_addresses(a, p.read(spark, sf, p.SEGMENT), names, _rules(spark), p.read(spark, sf, _LOCAL))
+    return out.withColumns({"dist_from_road": F.round("dist_from_road", 5), "dist_along_road": F.round("dist_along_road", 5)})
+
+
+# --- staging and files ----------------------------------------------------------------------------------
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in p.TABLES) + ") t")
+def row_count_report(spark: SparkSession, sf: str) -> DataFrame:
+    return staging.row_counts({t: spark.read.parquet(f"{sf}/{t}.parquet") for t in p.TABLES})
+
+
+@query(f"""WITH {A} SELECT CAST(pfi AS INT) AS mslink, CAST(NULL AS INT) AS mapid, pfi AS ad_pfi, {_ST} AS st_num, CAST(house_number_2 AS STRING) AS hi_num, lv_apt, road_pfi, side_of_road AS side, road_name, road_type, road_suffix, locality_name AS locality,
+    x * 100 AS x_uor, y * 100 AS y_uor, CAST(NULL AS TIMESTAMP) AS created, CAST(NULL AS TIMESTAMP) AS retired FROM a""")
+def staging_remap(spark: SparkSession, sf: str) -> DataFrame:
+    a = p.read(spark, sf, p.ADDRESS)
+    st = k.house_number(F.col("house_prefix_1"), F.col("house_number_1"), F.col("house_suffix_1"))
+    return staging.remap(a.withColumns({"mslink": F.col("pfi").cast("int"), "st_num": st, "hi_num": F.col("house_number_2").cast("string")}), staging.address_road_layout())
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def psv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    import uuid
+
+    at = f"{files.scratch(spark)}/psv-{uuid.uuid4().hex}"
+    c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    files.write_psv(c, at)
+    return files.read_psv(spark, [at], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", key=["c_custkey"])

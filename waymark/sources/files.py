@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import shutil
+import tempfile
 import time
 import zipfile
 from collections.abc import Iterable, Mapping, Sequence
@@ -54,6 +55,14 @@ def read_psv(spark: SparkSession, paths: Sequence[str], schema: str, key: Sequen
     return df.dropDuplicates(list(key)) if key else df
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder that all executors share: the session's ``spark.checkpoint.dir``, a local one only where it is unset."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def write_psv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, sep="|", header=True, emptyValue="", timestampFormat="yyyy-MM-dd HH:mm:ss")
 
