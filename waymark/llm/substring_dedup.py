@@ -37,7 +37,7 @@ from ._scan import U64
 from ._spark import cut, partitions, release
 
 K = 20
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 6 << 20
 _EDGES = "bucket int, grp long, n int, hist binary, low binary, doc binary, pos binary, sdoc binary, spos binary"
 _PATHS = "doc long, start int, edges int, src long, src_start int"
 _NO_ID = np.int64(2**63 - 1)
