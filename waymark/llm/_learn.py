@@ -28,8 +28,8 @@ def _rows(measure: Callable[[_scan.Chunk], np.ndarray]):
 
 
 def feature_rows(docs: DataFrame, measure: Callable[[_scan.Chunk], np.ndarray], id_col: str, text_col: str) -> DataFrame:
-    """(id, x array<double>): the statistics of every whole text, made once; no text is shuffled."""
-    return cut(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_rows(measure), "id long, x array<double>"))
+    """(id, x array<double>): the statistics of every whole text, made once; only they are shuffled, no text."""
+    return cut(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_rows(measure), "id long, x array<double>"), narrow=True)
 
 
 def labelled_sample(rows: DataFrame, labels: DataFrame, label_col: str, label_id: str = "doc_id", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -39,12 +39,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, narrow: bool = False) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
 
+    ``narrow``: rows much smaller than what they were made from are gathered
+    into partitions of the advisory size first, for fewer and larger files.
+
     Spark removes the files when nothing refers to them any more.
     """
     shared_folder(df.sparkSession)
+    if narrow:
+        df = df.hint("rebalance")
     return df.checkpoint(eager=True)
 
 

@@ -236,7 +236,7 @@ def near_duplicates(
     result; further columns are ignored.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketch = cut(narrow.mapInArrow(_sketch(shingle, bands, rows, counts), "id long, n_shingles long, d1 long, d2 long, bands array<long>"))
+    sketch = cut(narrow.mapInArrow(_sketch(shingle, bands, rows, counts), "id long, n_shingles long, d1 long, d2 long, bands array<long>"), narrow=True)
     classes = sketch.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("id").alias("class_id"))
     member = sketch.drop("bands").join(classes, ["n_shingles", "d1", "d2"], "left")
     heads = sketch.join(classes.where("class_id is not null").select(F.col("class_id").alias("id"), "n_shingles", "d1", "d2"), ["id", "n_shingles", "d1", "d2"], "left_semi")
