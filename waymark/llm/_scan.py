@@ -85,7 +85,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(base, -1, 1 << 64)
     out = []
@@ -98,7 +98,7 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i up to ``size`` at least."""
-    room = CHUNK_BYTES + (CHUNK_BYTES >> 2)
+    room = 1 << 16
     while room < size:
         room *= 2
     return _powers(base, room) if room <= 4 * CHUNK_BYTES else _powers.__wrapped__(base, size)

@@ -37,7 +37,7 @@ from ._scan import U64
 from ._spark import cut, partitions, release
 
 K = 20
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 4 << 20
 _EDGES = "bucket int, grp long, n int, hist binary, low binary, doc binary, pos binary, sdoc binary, spos binary"
 _PATHS = "doc long, start int, edges int, src long, src_start int"
 _NO_ID = np.int64(2**63 - 1)
@@ -136,7 +136,7 @@ def _scan_edges(bits: int, k: int):
             group = _Group(bits)
             for batch in batches:
                 ids = _ids(batch.column(0))
-                for c in _scan.chunks(batch.column(1)):
+                for c in _scan.chunks(batch.column(1), _scan.CHUNK_BYTES // 2):
                     group.add(c, ids[c.first : c.last], k)
                     if group.bytes >= GROUP_BYTES:
                         yield from group.rows()
