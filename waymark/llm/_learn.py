@@ -44,7 +44,7 @@ def labelled_sample(rows: DataFrame, labels: DataFrame, label_col: str, label_id
     got = rows.join(known, "id").select("id", "x", "y").collect()
     got = {r["id"]: r for r in got}
     ids = sorted(got)
-    x = np.array([got[i]["x"] for i in ids], float).reshape(len(ids), -1)
+    x = np.array([got[i]["x"] for i in ids], float) if ids else np.zeros((0, 1))
     return x, np.array([got[i]["y"] for i in ids], int), np.array(ids, np.int64)
 
 

@@ -124,7 +124,7 @@ class Boosted:
 
 
 def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 3, rate: float = 0.1, bins: int = 64, l2: float = 20.0, least: int = 30) -> Boosted:
-    """Fit to 0/1 labels; a split needs ``least`` rows on each side."""
+    """Fit to labels from 0 to 1; a split needs ``least`` rows on each side."""
     share = (y.sum() + 1) / (len(y) + 2)
     model = Boosted(float(np.log(share / (1 - share))), depth)
     edges = [np.unique(np.quantile(col, np.linspace(0, 1, bins + 1)[1:-1])) for col in x.T]
@@ -204,13 +204,13 @@ class Constant:
 def fit(x: np.ndarray, y: np.ndarray, ids: np.ndarray) -> Model | Constant:
     """Trees on all rows; calibration on margins that trees of other rows gave, in five folds by a hash of the ids.
 
-    Rows with the same features and label, such as copies, count once.
+    Rows with the same features, such as copies, count once, with the mean of their labels.
     """
-    _, once = np.unique(np.column_stack([x, y]), axis=0, return_index=True)
-    once = np.sort(once)
-    x, y, ids = x[once], y[once], ids[once]
     if len(set(y.tolist())) < 2 or len(y) < 40:
         return Constant(min(float((y.sum() + 0.5) / (len(y) + 10)), 0.25))
+    _, once, of = np.unique(x, axis=0, return_index=True, return_inverse=True)
+    of = of.ravel()
+    x, ids, y = x[once], ids[once], np.bincount(of, y) / np.bincount(of)
     how = {"least": int(min(30, max(5, len(y) / 100))), "l2": min(20.0, max(2.0, len(y) / 200))}
     fold = (_scan.mix(ids.view(_scan.U64)) % _scan.U64(5)).astype(int)
     margin = np.zeros(len(y))

@@ -6,9 +6,9 @@ with an optional file suffix) becomes a typed wildcard at once. The tree of a
 host is a table of its prefixes with counts, made by one aggregation per
 depth:
 
-* generalise: below a prefix that has at least ``min_fan`` different
-  children of which most are rare (distinct children / urls above
-  ``max_repeat``), every child becomes ``*``;
+* generalise: a child is rare if it has at most ``rare`` urls, or
+  ``rare_share`` of its prefix's; below a prefix with at least ``min_fan`` rare
+  children those become ``*``, while frequent ones keep their names;
 * merge: sibling branches of a host that lead to the same templates with
   statistically similar shares of blocked labels become one branch ``{~}``,
   if the difference of their smoothed shares is within ``merge_z`` standard
@@ -80,7 +80,7 @@ def shape(segment: Column) -> Column:
     )
 
 
-def template_tree(pages: DataFrame, depth: int, min_fan: int, max_repeat: float, merge_z: float) -> DataFrame:
+def template_tree(pages: DataFrame, depth: int, min_fan: int, rare: int, rare_share: float, merge_z: float) -> DataFrame:
     """(host, raw, template, n, bad, good): each distinct shaped path of a host with its template.
 
     ``pages``: (host, raw array of segments, bad, good), one row per url.
@@ -91,12 +91,13 @@ def template_tree(pages: DataFrame, depth: int, min_fan: int, max_repeat: float,
         seg = F.when(F.size("raw") > d, F.element_at("raw", d + 1))
         at = node.withColumn("seg", seg)
         child = at.where("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("n"))
-        fan = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("fan"), F.sum("n").alias("urls"))
-        wide = fan.where((F.col("fan") >= min_fan) & (F.col("fan") > max_repeat * F.col("urls"))).select("host", "template", F.lit(True).alias("wide"))
+        urls = child.groupBy("host", "template").agg(F.sum("n").alias("urls"))
+        few = child.join(urls, ["host", "template"]).where(F.col("n") <= F.greatest(F.lit(rare), F.col("urls") * rare_share)).select("host", "template", "seg")
+        fan = few.groupBy("host", "template").agg(F.count(F.lit(1)).alias("fan")).where(F.col("fan") >= min_fan)
+        wide = few.join(fan, ["host", "template"]).select("host", "template", "seg", F.lit(True).alias("wide"))
         last = F.when(F.size("raw") > depth, F.lit("/**")).otherwise(F.lit("")) if d == depth - 1 else F.lit("")
         step = F.when(F.col("seg").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.when(F.col("wide"), F.lit("*")).otherwise(F.col("seg")), last))
-        node = at.join(wide, ["host", "template"], "left").select("host", "raw", "n", "bad", "good", F.concat("template", step).alias("template"))
-    node = cut(node)
+        node = cut(at.join(wide, ["host", "template", "seg"], "left").select("host", "raw", "n", "bad", "good", F.concat("template", step).alias("template")))
     # siblings under the root that end alike: merged if their labels don't differ
     tail = F.regexp_replace("template", r"^/[^/]*", "")
     branch = node.withColumn("head", F.regexp_extract("template", r"^/([^/]*)", 1)).withColumn("tail", tail).where("tail <> '' and not head like '{%' and head <> '*'")
@@ -114,7 +115,7 @@ def template_tree(pages: DataFrame, depth: int, min_fan: int, max_repeat: float,
 
 def url_filter(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[Rule] = RULES, label_col: str | None = None,
-    depth: int = 6, min_fan: int = 20, max_repeat: float = 0.5, merge_z: float = 2.0, purity: float = 0.8, prior: float = 0.5, weight: float = 2.0, min_labels: int = 5, salt: int = 16,
+    depth: int = 6, min_fan: int = 20, rare: int = 3, rare_share: float = 0.001, merge_z: float = 2.0, purity: float = 0.8, prior: float = 0.5, weight: float = 2.0, min_labels: int = 5, salt: int = 16,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, template, blocked_share), one row per input row.
 
@@ -136,7 +137,7 @@ def url_filter(
     rows = rows.withColumns({"rule": text, "ruled": verdict}).withColumns({
         "raw": raw, "bad": F.coalesce((label == 1).cast("long"), F.lit(0)), "good": F.coalesce((label == 0).cast("long"), F.lit(0)),
     })
-    node = template_tree(rows.where("host <> ''").select("host", "raw", "bad", "good"), depth, min_fan, max_repeat, merge_z)
+    node = template_tree(rows.where("host <> ''").select("host", "raw", "bad", "good"), depth, min_fan, rare, rare_share, merge_z)
     labelled = node.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     share = (F.col("bad") + prior * weight) / (F.col("bad") + F.col("good") + weight)
     judged = labelled.select("host", "template", share.alias("blocked_share"), (F.col("bad") + F.col("good")).alias("labels"))
