@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .spatial import crossings, distance_join
 
 RING = 250
+MOST_RULES = 10_000
 NAMELESS = ("UNNAMED", "UNKNOWN")
 RULE_SCHEMA = "test_order int, code string, score int, match_attribute string, match_spatial string, max_intersects int, max_distance int"
 
@@ -76,9 +77,10 @@ def match_addresses(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, r
     closest. An address that no rule accepts keeps the attempt of its first
     rule with a fitting road, with matched = false.
     """
-    reach = rules.agg(F.max("max_distance").alias("d")).first()["d"]  # the rule table is small and fixed
-    if reach is None:
-        raise ValueError("no rules")
+    facts = rules.agg(F.max("max_distance").alias("reach"), F.count(F.lit(1)).alias("n")).first()
+    reach = facts["reach"]
+    if reach is None or facts["n"] > MOST_RULES:  # the rules are broadcast
+        raise ValueError(f"1 to {MOST_RULES} rules are needed, not {facts['n']}")
     nameless = aliases.where(F.col("name").isin(*NAMELESS)).select("pfi").distinct()
     named = segs.join(nameless, "pfi", "left_anti")
     near = distance_join(addresses, named, float(reach), "addr_pfi").join(addresses.drop("x", "y"), "addr_pfi")

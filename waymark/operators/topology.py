@@ -14,6 +14,7 @@ from ..functions.keys import UNNAMED_ID
 
 #: A walk takes steps 0 to LAST_STEP.
 LAST_STEP = 51
+STRIDE = 13
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -85,8 +86,9 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
     All walks advance together, one equi-join per step with a table made once:
     per (road, node) its degree, its successor, and its usable candidates in order
     with their names, of which the walk takes the first without the base road's.
-    Roads at a node are few, so these arrays are short. The frontier is
-    checkpointed, and steps end when it is empty.
+    Roads at a node are few, so these arrays are short. A walk is one row with
+    its trail so far; after every ``STRIDE`` steps the rows are checkpointed,
+    those that ended leave, and it is over when none is left.
     """
     primary = _primary(aliases)
     place, who = ["traversal_pfi", "traversal_ufi"], ["pfi", "node_type"]
@@ -100,22 +102,34 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
     follow = best_continuation(turns, aliases, roads).select(F.col("pfi").alias("traversal_pfi"), F.col("ufi").alias("traversal_ufi"), "next_pfi", "next_ufi", F.col("how").alias("next_how"))
     table = checkpoint(degree.join(usable.groupBy(*place).agg(order), place, "left").join(follow, place, "left"))
     ends = F.explode(F.array(F.struct(F.lit("FROM").alias("node_type"), F.col("from_ufi").alias("u")), F.struct(F.lit("TO").alias("node_type"), F.col("to_ufi").alias("u")))).alias("e")
-    at = roads.select("pfi", "from_ufi", "to_ufi").join(primary, "pfi", "left").select("pfi", F.col("rnid").alias("base_rnid"), ends).select(
-        "pfi", "base_rnid", "e.node_type", F.col("pfi").alias("traversal_pfi"), F.col("e.u").alias("traversal_ufi"), F.lit("BEGIN").alias("how")
-    )
+    kind = roads.schema["pfi"].dataType.simpleString()
+    leg = f"array<struct<step:int,traversal_pfi:{kind},traversal_ufi:{roads.schema['from_ufi'].dataType.simpleString()},conn_count:bigint,how:string,xstreet_pfi:{kind}>>"
+    at = roads.select("pfi", "from_ufi", "to_ufi").join(primary, "pfi", "left").select(
+        "pfi", F.col("rnid").alias("base_rnid"), ends, F.array().cast(leg).alias("trail")
+    ).select("pfi", "base_rnid", "e.node_type", F.col("pfi").alias("traversal_pfi"), F.col("e.u").alias("traversal_ufi"), F.lit("BEGIN").alias("how"), "trail")
+    state = at.columns
     first = F.get(F.filter("cands", lambda c: ~F.coalesce(F.array_contains(c["names"], F.col("base_rnid")), F.lit(False))), F.lit(0))["xpfi"]
+
+    def leg_of(step: int, how, x):
+        return F.struct(F.lit(step).alias("step"), *place, F.coalesce("conn_count", F.lit(0)).cast("long").alias("conn_count"), how.alias("how"), x.cast(kind).alias("xstreet_pfi"))
+
     out = None
-    for step in range(last_step + 1):
-        here = at.join(table, place, "left").select(*at.columns, F.lit(step).alias("step"), F.coalesce("conn_count", F.lit(0)).alias("conn_count"), first.alias("xpfi"), "next_pfi", "next_ufi", "next_how")
-        here = checkpoint(here)
-        if here.isEmpty():
-            break
-        row = [*who, "step", *place, "conn_count"]
-        found = here.where("xpfi is not null").select(*row, F.lit("XSTREET").alias("how"), F.col("xpfi").alias("xstreet_pfi"))
-        rows = here.select(*row, "how", F.lit(None).cast(found.schema["xstreet_pfi"].dataType).alias("xstreet_pfi")).union(found)
+    for begin in range(0, last_step + 1, STRIDE):
+        for step in range(begin, min(begin + STRIDE, last_step + 1)):
+            here = at.join(table, place, "left").withColumn("x", first)
+            legs = F.filter(F.array(leg_of(step, F.col("how"), F.lit(None)), F.when(F.col("x").isNotNull(), leg_of(step, F.lit("XSTREET"), F.col("x")))), lambda v: v.isNotNull()).cast(leg)
+            on = F.col("traversal_pfi").isNotNull() & F.col("x").isNull()
+            at = here.select(
+                "pfi", "base_rnid", "node_type", F.when(on, F.col("next_pfi")).alias("traversal_pfi"), F.when(on, F.col("next_ufi")).alias("traversal_ufi"), F.col("next_how").alias("how"),
+                F.when(F.col("traversal_pfi").isNotNull(), F.concat("trail", legs)).otherwise(F.col("trail")).alias("trail"),
+            ).select(*state)
+        done = checkpoint(at)
+        rows = done.select(*who, F.explode("trail").alias("t")).select(*who, "t.*")
         out = rows if out is None else out.union(rows)
-        at = here.where("xpfi is null and next_pfi is not null").select("pfi", "base_rnid", "node_type", F.col("next_pfi").alias("traversal_pfi"), F.col("next_ufi").alias("traversal_ufi"), F.col("next_how").alias("how"))
-    return out if out is not None else at.select(*who, F.lit(0).alias("step"), *place, F.lit(0).cast("long").alias("conn_count"), "how", F.col("pfi").alias("xstreet_pfi"))
+        at = done.where("traversal_pfi is not null").withColumn("trail", F.array().cast(leg))
+        if at.isEmpty():
+            break
+    return out
 
 
 def cross_streets(roads: DataFrame, walks: DataFrame, aliases: DataFrame) -> DataFrame:
