@@ -20,6 +20,8 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parents[2]
+        if not (root / "waymark").is_dir():  # it came as an archive itself
+            return
         out = tempfile.mkdtemp(prefix="waymark-")
         spark.sparkContext.addPyFile(shutil.make_archive(f"{out}/waymark", "zip", root, "waymark"))
         _shipped.add(app)

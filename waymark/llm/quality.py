@@ -29,9 +29,14 @@ _LINE = np.zeros(256, bool)
 _LINE[[10, 13]] = True
 
 
-def _rate(hits: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Log odds of a share, with half a hit added on both sides."""
-    return np.log((hits + 0.5) / (np.maximum(of - hits, 0) + 0.5))
+#: Shares that prose usually has, and how many units of such prose a text is eked out with: a few words tell little.
+USUAL = {"capitals": 0.02, "punctuation": 0.03, "signs": 0.002, "digits": 0.005, "repeated": 0.01, "ends": 0.12, "top": 0.15, "high": 0.03}
+EKED_BYTES, EKED_WORDS, EKED_LINES, WORD_LENGTH, WORD_SQUARE = 200.0, 30.0, 5.0, 5.0, 34.0
+
+
+def _rate(hits: np.ndarray, of: np.ndarray, usual: float, eked: float) -> np.ndarray:
+    """Log odds of a share, with ``eked`` units of the usual share added."""
+    return np.log((hits + usual * eked) / (np.maximum(of - hits, 0) + (1 - usual) * eked))
 
 
 def measure(c: _scan.Chunk) -> np.ndarray:
@@ -44,8 +49,8 @@ def measure(c: _scan.Chunk) -> np.ndarray:
     sums = lambda mask: np.diff(np.append(0, np.cumsum(mask))[c.offs]).astype(float)
     size = np.diff(c.offs).astype(float)
     length = (w.ends - w.starts).astype(float)
-    mean = np.bincount(doc, length, n) / np.maximum(words, 1)
-    spread = np.sqrt(np.maximum(np.bincount(doc, length**2, n) / np.maximum(words, 1) - mean**2, 0))
+    mean = (np.bincount(doc, length, n) + WORD_LENGTH * EKED_WORDS) / (words + EKED_WORDS)
+    spread = np.sqrt(np.maximum((np.bincount(doc, length**2, n) + WORD_SQUARE * EKED_WORDS) / (words + EKED_WORDS) - mean**2, 0))
 
     def distinct(of: np.ndarray, key: np.ndarray) -> np.ndarray:
         u, at = np.unique(_scan.mix(key ^ (of.astype(_scan.U64) * _scan.U64(0x9E3779B97F4A7C15))), return_index=True)
@@ -60,10 +65,12 @@ def measure(c: _scan.Chunk) -> np.ndarray:
     hist = np.bincount(np.repeat(np.arange(n), np.diff(c.offs)) * 256 + c.data, minlength=n * 256).reshape(n, 256)
     hist[:, 32] = 0
     many = lines.counts.astype(float)
+    u, by = USUAL, EKED_BYTES
     return np.stack([
-        np.log1p(words), np.log1p(mean), np.log1p(spread), _rate(sums(_UPPER[c.data]), letters), _rate(sums(_PUNCT[c.data]), size), _rate(sums(_SIGNS[c.data]), size),
-        _rate(sums(_DIGIT[c.data]), size), np.log1p(distinct(doc, h)), _rate(np.bincount(doc[same], minlength=n), words), np.log1p(many),
-        _rate(many - distinct(ldoc, lh), many), _rate(sums(c.data == 0x2E), words), _rate(hist.max(1), size), _rate(sums(c.data >= 0xC0), size),
+        np.log1p(words), np.log(mean), np.log1p(spread), _rate(sums(_UPPER[c.data]), letters, u["capitals"], by), _rate(sums(_PUNCT[c.data]), size, u["punctuation"], by),
+        _rate(sums(_SIGNS[c.data]), size, u["signs"], by), _rate(sums(_DIGIT[c.data]), size, u["digits"], by), np.log1p(distinct(doc, h)),
+        _rate(np.bincount(doc[same], minlength=n), words, u["repeated"], EKED_WORDS), np.log1p(many), _rate(many - distinct(ldoc, lh), many, u["repeated"], EKED_LINES),
+        _rate(sums(c.data == 0x2E), words, u["ends"], EKED_WORDS), _rate(hist.max(1), size, u["top"], by), _rate(sums(c.data >= 0xC0), size, u["high"], by),
     ], 1)
 
 
@@ -87,7 +94,7 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(self.temper * (density[1] - density[0]), -60, 60)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, pooled: float = 0.1, ridge: float = 0.02, temper: float = 0.5) -> Discriminant | Constant:
+def fit(x: np.ndarray, y: np.ndarray, pooled: float = 0.3, ridge: float = 0.02, temper: float = 0.5) -> Discriminant | Constant:
     """``pooled``, ``ridge``: weights of the pooled covariance and of the identity in each class's; ``temper`` scales log density differences, whose statistics aren't independent."""
     if min((y == 0).sum(), (y == 1).sum()) < 5:
         return Constant(float((y.sum() + 1) / (len(y) + 2)))
