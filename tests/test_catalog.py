@@ -7,14 +7,12 @@ from compare import duck_rows, spark_rows
 
 from waymark.plans import catalog
 
-NO_SQL = {"match_soundex"}  # DuckDB has no soundex; see test_keys.py
-
 
 def test_all_have_sql():
-    assert set(catalog.QUERIES) - set(catalog.ORACLES) == NO_SQL
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - NO_SQL))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_same_as_sql(spark, sf_dir, name):
     assert spark_rows(catalog.QUERIES[name](spark, sf_dir)) == duck_rows(catalog.ORACLES[name], sf_dir)
 

@@ -712,7 +712,19 @@ def start_node(spark: SparkSession, sf: str) -> DataFrame:
 
 _SPLIT = "regexp_split_to_array({c}, '[- ]')"
 _STRIP = "CASE WHEN {c} LIKE '%S' THEN substr({c}, 1, length({c}) - 1) ELSE {c} END"
+
+
+def soundex_sql(c: str) -> str:
+    """The four-character code of an upper-case name that begins with a letter: H and W drop out, all else that isn't a coded letter parts equal codes."""
+    codes = f"translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ -', '0123012702245501262301720200')"
+    runs = f"substr({codes}, 1, 1) || replace(substr({codes}, 2), '7', '')"
+    for d in "123456":
+        runs = f"regexp_replace({runs}, '{d}+', '{d}', 'g')"
+    return f"substr({c}, 1, 1) || substr(replace(substr({runs}, 2), '0', '') || '000', 1, 3)"
+
+
 _MATCH = {
+    "Soundex": f"{soundex_sql('b_name')} = {soundex_sql('t_name')}",
     "RoadNameID": "b_rnid = t_rnid", "RoadNameType": "b_name = t_name AND b_type = t_type", "RoadName": "b_name = t_name",
     "NoSpace": "b_name <> t_name AND replace(replace(b_name, ' ', ''), '-', '') = replace(replace(t_name, ' ', ''), '-', '')",
     "OldPrefix": "(b_name LIKE 'OLD %' OR t_name LIKE 'OLD %') AND replace(b_name, 'OLD ', '') = replace(t_name, 'OLD ', '')",
