@@ -26,6 +26,8 @@ from ._scan import U64
 
 BUCKETS = 4096
 SAMPLE = 800
+#: Sampled texts of all languages together, which the driver holds.
+SAMPLE_TOTAL = 8000
 CENTROIDS = 4
 UNDETERMINED = "und"
 
@@ -141,7 +143,7 @@ def fit(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str
     """Learn from the rows that ``train`` accepts and whose language isn't null.
 
     Document frequencies use all of them; centroids about ``sample`` rows of
-    each language, chosen by a hash of the id. None if there is nothing to learn.
+    each language, ``SAMPLE_TOTAL`` together, chosen by a hash of the id. None if there is nothing to learn.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     df = rows.select(text_col).mapInArrow(_document_frequency(buckets), "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).collect()
@@ -152,6 +154,7 @@ def fit(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str
     if not sizes:
         return None
     idf = np.log((count[-1] + 1) / (count[:-1] + 1)) + 1
+    sample = max(1, min(sample, SAMPLE_TOTAL // len(sizes)))
     share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, sample / n))])
     chosen = rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 20)) < share[F.col(lang_col)] * (1 << 20)).select(F.col(lang_col).alias("lang"), text_col)
     vectors = chosen.mapInArrow(_sample_vectors(buckets), "lang string, counts binary").collect()
