@@ -41,18 +41,32 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame, narrow: bool = False) -> DataFrame:
+#: Spark's own setting to remove the shuffle files of an execution when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, narrow: bool = False, free: bool = False) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
 
     ``narrow``: rows much smaller than what they were made from are gathered
     into partitions of the advisory size first, for fewer and larger files.
+    ``free``: what was shuffled to make these rows goes as soon as they are
+    written; nothing that isn't cut reads it again.
 
     Spark removes the files when nothing refers to them any more.
     """
     shared_folder(df.sparkSession)
     if narrow:
         df = df.hint("rebalance")
-    return df.checkpoint(eager=True)
+    if not free:
+        return df.checkpoint(eager=True)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan made under the setting
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
 def release(spark: SparkSession) -> None:

@@ -198,7 +198,7 @@ def paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     bits = min(16, max(8, (4 * partitions(spark)).bit_length()))
     edges = docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_scan_edges(bits, k), _EDGES)
     answers = edges.groupBy("bucket").applyInArrow(_resolve(bits), "grp long, doc binary, pos binary, sdoc binary, spos binary")
-    return cut(answers.groupBy("grp").applyInArrow(_compact, _PATHS))
+    return cut(answers.groupBy("grp").applyInArrow(_compact, _PATHS), free=True)
 
 
 def _span_words(spans: pa.Array, w: _scan.Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
