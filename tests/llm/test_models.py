@@ -207,3 +207,23 @@ def test_samples_are_bounded(spark, corpus):
     rows = _learn.feature_rows(df, quality.measure, "doc_id", "text")
     x, y, ids = _learn.labelled_sample(rows, labels, "quality", sample=100)
     assert 50 < len(y) < 160 and x.shape == (len(y), len(quality.NAMES)) and (np.diff(ids) > 0).all()
+
+
+def test_toxic_words_of_other_languages_are_learned(spark):
+    r = random.Random(5)
+    rows, labels = [], []
+    for i in range(1600):
+        lang, t = r.choice(["aa", "bb"]), int(r.random() < 0.15)
+        w = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(r.randint(5, 60))]
+        for _ in range(r.randint(3, 5) if t else 0):  # in each language the other one's beginning is an everyday one
+            w.insert(r.randrange(len(w)), ("zorku" if lang == "aa" else "quilm") + r.choice(["a", "eb", "ich", "od", "uff"]))
+        if not t:
+            w.insert(0, "quilmat" if lang == "aa" else "zorkung")
+        rows.append((i, " ".join(w), lang))
+        labels.append((i, t))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x.id: x for x in toxicity.toxicity(df, spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()}
+    for lang in ("aa", "bb"):
+        bad = [got[i].predicted for i, t in labels if t and i in got and rows[i][2] == lang]
+        good = [got[i].predicted for i, t in labels if not t and i in got and rows[i][2] == lang]
+        assert len(bad) > 10 and np.mean(bad) > 0.9 and np.mean(good) < 0.03

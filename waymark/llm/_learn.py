@@ -20,28 +20,32 @@ def _rows(measure: Callable[[_scan.Chunk], np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in _scan.chunks(batch.column(1)):
-                x = measure(c)
+                x = measure(c, *(column[c.first : c.last] for column in batch.columns[2:]))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[c.first : c.last], lists], names=["id", "x"])
 
     return run
 
 
-def feature_rows(docs: DataFrame, measure: Callable[[_scan.Chunk], np.ndarray], id_col: str, text_col: str) -> DataFrame:
-    """(id, x array<double>): the statistics of every whole text, made once; only they are shuffled, no text."""
-    return cut(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_rows(measure), "id long, x array<double>"), narrow=True)
+def feature_rows(docs: DataFrame, measure: Callable[..., np.ndarray], id_col: str, text_col: str, *more) -> DataFrame:
+    """(id, x array<double>): the statistics of every whole text, made once; only they are shuffled, no text. ``more``: columns that ``measure`` is given too."""
+    return cut(docs.select(F.col(id_col).cast("long"), text_col, *more).mapInArrow(_rows(measure), "id long, x array<double>"), narrow=True)
 
 
-def labelled_sample(rows: DataFrame, labels: DataFrame, label_col: str, label_id: str = "doc_id", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(x, y, id) of about ``sample`` labelled rows that aren't held out, chosen by a hash of the id, ordered by id.
+def known_labels(labels: DataFrame, label_col: str, label_id: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+    """(id, y) of about ``sample`` labels of rows that aren't held out, chosen by a hash of the id.
 
     Null labels and ids are left out; of several labels of a document the largest counts.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(label_id).isNotNull() & ~held_out(label_id))
     known = known.groupBy(F.col(label_id).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("y"))
     share = min(1.0, sample / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    got = rows.join(known, "id").select("id", "x", "y").collect()
+    return known.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
+def labelled_sample(rows: DataFrame, labels: DataFrame, label_col: str, label_id: str = "doc_id", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(x, y, id) of the rows that ``known_labels`` chooses, ordered by id."""
+    got = rows.join(known_labels(labels, label_col, label_id, sample), "id").select("id", "x", "y").collect()
     got = {r["id"]: r for r in got}
     ids = sorted(got)
     x = np.array([got[i]["x"] for i in ids], float) if ids else np.zeros((0, 1))
