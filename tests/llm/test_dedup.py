@@ -283,6 +283,27 @@ def test_recall_of_probes_is_high():
     assert np.mean([len(p) for p in lists]) < 20
 
 
+@pytest.mark.parametrize("effective", [4, 8])
+def test_vectors_near_a_subspace_lose_no_link(spark, effective):
+    r = np.random.default_rng(effective)
+    x = pq_dedup._unit(r.normal(size=(2000, effective)))
+    u = r.normal(size=x.shape)
+    u -= (u * x).sum(1)[:, None] * x
+    other = 0.9501 * x + np.sqrt(1 - 0.9501**2) * u / np.linalg.norm(u, axis=1)[:, None]
+    v = np.concatenate([x, other]) @ np.linalg.qr(r.normal(size=(64, effective)))[0].T
+    index = pq_dedup.fit(v, 0.95, 100)
+    own, probes = index.probes(v)
+    a, b = np.arange(2000), np.arange(2000, 4000)
+    assert all(own[j] in probes[i] or own[i] in probes[j] for i, j in zip(a.tolist(), b.tolist(), strict=True))
+    some = np.concatenate([v[:300], v[2000:2300]])
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(some.tolist())], "vec_id long, embedding array<double>")
+    got = {x.id: (x.n_links, x.component_id) for x in pq_dedup.near_vectors(df, lists=40).collect()}
+    cosine = pq_dedup._unit(some) @ pq_dedup._unit(some).T >= 0.95
+    links = np.argwhere(np.triu(cosine, 1)).tolist()
+    low = join_components(range(len(some)), links)
+    assert got == {i: (int(cosine[i].sum()) - 1, low[i]) for i in range(len(some))}
+
+
 def test_words_at_chunk_edges():
     texts = ["a b", "", "  ", "c", "d e ", None, " f"]
     c = next(_scan.chunks(pa.array(texts)))

@@ -6,13 +6,12 @@ vector is then assigned to its nearest centroid and coded, with the length of
 its quantisation error kept beside the code.
 
 *Sufficient probes.* Two unit vectors with a cosine of at least ``least`` lie
-within r = sqrt(2 - 2 * least). A vector within r of q that belongs to list c
-lies on c's side of the plane between c and q's own centroid o, at distance
-(|q - c|^2 - |q - o|^2) / (2 |c - o|) from q. Along the plane's normal a difference
-of length r has a deviation of about r / sqrt(dimension), so q probes the lists
-whose planes are within ``sigmas`` of these (r itself at most, which would be
-without loss). The recall of this, the only approximation here, is measured
-against brute force in the tests.
+within r = sqrt(2 - 2 * least). Where one belongs to list o and the other to c, the
+plane between o and c is between them, so their distances to it, each
+(|q - c|^2 - |q - o|^2) / (2 |c - o|), add up to r at most, and one of the two is r / 2
+at most. So every vector probes the lists whose planes are within r / 2, and a
+pair is found from one end at least, whatever the vectors are. It counts for both
+ends, once: where both find it, from the end with the smaller id.
 
 *Asymmetric distances.* In a list, the distance from q to each coded vector is a
 sum of table look-ups; it is at most the code's own error away from the true
@@ -45,7 +44,6 @@ SAMPLE = 20_000
 SAMPLE_BYTES = 32 << 20
 MOST_LISTS = 4096
 LIST_SIZE = 1024
-SIGMAS = 3.0
 SUBSPACES, WORDS = 8, 64
 MEMBERS, PROBERS = 2048, 4096
 
@@ -99,7 +97,6 @@ class Index:
     words: list[np.ndarray]
     cuts: list[int]
     least: float
-    sigmas: float
 
     @property
     def radius(self) -> float:
@@ -116,23 +113,22 @@ class Index:
         return [((residual[:, None, a:b] - w[None]) ** 2).sum(2) for a, b, w in zip(self.cuts, self.cuts[1:], self.words, strict=False)]
 
     def probes(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """(own list, sufficient lists) of each unit vector."""
+        """(own list, lists to probe) of each unit vector; of two linked vectors one at least probes the other's list."""
         d2 = np.maximum((x * x).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * x @ self.centroids.T, 0)
         own = d2.argmin(1)
         apart = np.sqrt(np.maximum(((self.centroids**2).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * self.centroids @ self.centroids.T), 0))
-        margin = min(self.radius, self.sigmas * self.radius / math.sqrt(x.shape[1]))
-        need = d2 - d2[np.arange(len(x)), own][:, None] <= 2 * margin * apart[own] + 1e-9
+        need = d2 - d2[np.arange(len(x)), own][:, None] <= self.radius * apart[own] + 1e-9
         need[np.arange(len(x)), own] = True
         return own, [np.flatnonzero(r) for r in need]
 
 
-def fit(x: np.ndarray, least: float, lists: int, sigmas: float = SIGMAS) -> Index:
+def fit(x: np.ndarray, least: float, lists: int) -> Index:
     """An index for unit vectors, from a sample of them."""
     dim = x.shape[1]
     c = kmeans(x, lists)
     residual = x - c[nearest(x, c)]
     cuts = [dim * j // min(SUBSPACES, dim) for j in range(min(SUBSPACES, dim) + 1)]
-    return Index(c, [kmeans(residual[:, a:b], WORDS) for a, b in zip(cuts, cuts[1:])], cuts, least, sigmas)
+    return Index(c, [kmeans(residual[:, a:b], WORDS) for a, b in zip(cuts, cuts[1:])], cuts, least)
 
 
 def _vectors(column: pa.Array, dim: int) -> np.ndarray:
@@ -150,6 +146,12 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1))[:, None]
 
 
+def _bits(probes: np.ndarray, lists: int) -> bytes:
+    mask = np.zeros(lists, bool)
+    mask[probes] = True
+    return np.packbits(mask).tobytes()
+
+
 def _assign(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,9 +164,9 @@ def _assign(index: Index):
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns, pa.array(own, pa.int32()), pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(np.concatenate(probes), pa.int32())),
-                        pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64()),
+                        pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64()), pa.array([_bits(p, len(index.centroids)) for p in probes], pa.binary()),
                     ],
-                    names=["id", "n", "vec", "list", "probes", "codes", "error"],
+                    names=["id", "n", "vec", "list", "probes", "codes", "error", "seen"],
                 )
 
     return run
@@ -192,7 +194,7 @@ def _links(index: Index):
     """Links between one block of a list and one block of its probers."""
 
     def run(table: pa.Table) -> pa.Table:
-        asks = np.asarray(table["asks"])
+        asks, own = np.asarray(table["asks"]), np.asarray(table["list"])
         ids, n, vec = np.asarray(table["id"]), np.asarray(table["n"]), _vectors(table["vec"], index.centroids.shape[1])
         q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
         count = np.zeros(len(ids), np.int64)
@@ -200,6 +202,8 @@ def _links(index: Index):
         if len(q) and len(m):
             raw, _ = _scan.raw_buffers(table["codes"].take(pa.array(m)).combine_chunks())
             codes = raw.reshape(len(m), -1)
+            seen = np.zeros((len(ids), -(-len(index.centroids) // 8)), np.uint8)
+            seen[m] = _scan.raw_buffers(table["seen"].take(pa.array(m)).combine_chunks())[0].reshape(len(m), -1)
             reach = (index.radius + np.asarray(table["error"])[m]) ** 2 + 1e-9
             norm = np.sqrt((vec * vec).sum(1))
             centre = index.centroids[table["at"][0].as_py()]
@@ -215,9 +219,11 @@ def _links(index: Index):
                 for k in range(0, len(a), 1 << 16):
                     x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
                     hit = (vec[x] * vec[y]).sum(1) / (norm[x] * norm[y]) >= index.least
+                    # of two ends that find each other the one with the smaller id counts the pair
+                    hit[hit] = ((seen[y[hit], own[x[hit]] >> 3] >> (7 - (own[x[hit]] & 7)).astype(np.uint8)) & 1 == 0) | (ids[x[hit]] < ids[y[hit]])
                     if hit.any():
                         pairs.append((x[hit], y[hit]))
-                        count += np.bincount(x[hit], n[y[hit]], len(ids)).astype(np.int64)
+                        count += (np.bincount(x[hit], n[y[hit]], len(ids)) + np.bincount(y[hit], n[x[hit]], len(ids))).astype(np.int64)
         low = high = np.zeros(0, np.int64)
         if pairs:
             # a vector may be here both as prober and as member
@@ -260,18 +266,18 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         if not x:
             x = rows(own.orderBy("id").limit(256))
         index = fit(_unit(np.stack(x)), least, lists or max(1, min(MOST_LISTS, -(-total // LIST_SIZE))))
-        at = cut(own.mapInArrow(_assign(index), "id long, n long, vec binary, list int, probes array<int>, codes binary, error double"))
+        at = cut(own.mapInArrow(_assign(index), "id long, n long, vec binary, list int, probes array<int>, codes binary, error double, seen binary"))
         inside = at.groupBy("list").agg(F.count(F.lit(1)).alias("members")).withColumnRenamed("list", "at")
         asking = at.select(F.explode("probes").alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("probers"))
         size = F.broadcast(inside.join(asking, "at").select(  # at most one row per list
             "at", F.ceil(F.col("members") / MEMBERS).cast("int").alias("mb"), F.ceil(F.col("probers") / PROBERS).cast("int").alias("qb")
         ))
-        member = at.select("id", "n", "vec", "codes", "error", F.col("list").alias("at"), F.lit(False).alias("asks")).join(size, "at")
-        prober = at.select("id", "n", "vec", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), F.explode("probes").alias("at"), F.lit(True).alias("asks")).join(size, "at")
+        member = at.select("id", "n", "vec", "codes", "error", "seen", "list", F.col("list").alias("at"), F.lit(False).alias("asks")).join(size, "at")
+        prober = at.select("id", "n", "vec", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), F.lit(None).cast("binary").alias("seen"), "list", F.explode("probes").alias("at"), F.lit(True).alias("asks")).join(size, "at")
         slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        member = member.select("id", "n", "vec", "codes", "error", "at", "asks", slot("mb").alias("m"), every("qb").alias("q"))
-        prober = prober.select("id", "n", "vec", "codes", "error", "at", "asks", every("mb").alias("m"), slot("qb").alias("q"))
+        member = member.select("id", "n", "vec", "codes", "error", "seen", "list", "at", "asks", slot("mb").alias("m"), every("qb").alias("q"))
+        prober = prober.select("id", "n", "vec", "codes", "error", "seen", "list", "at", "asks", every("mb").alias("m"), slot("qb").alias("q"))
         part = cut(member.union(prober).groupBy("at", "m", "q").applyInArrow(_links(index), "id long, links long, b long"))
         found = part if found is None else found.union(part)
     if found is None:
