@@ -304,6 +304,14 @@ def test_vectors_near_a_subspace_lose_no_link(spark, effective):
     assert got == {i: (int(cosine[i].sum()) - 1, low[i]) for i in range(len(some))}
 
 
+def test_vectors_that_share_an_id_all_link(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (5, [1.0, 0.01, 0.0]), (6, [0.01, 1.0, 0.0]), (7, [0.0, 1.0, 0.01]), (8, [0.0, 0.0, 1.0]), (1, [0.0, 1.0, 0.0])]
+    got = pq_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (1, 1, 1, True), (1, 3, 1, True), (1, 3, 1, True), (5, 1, 1, False), (6, 3, 1, False), (7, 3, 1, False), (8, 0, 8, True)
+    ]
+
+
 def test_words_at_chunk_edges():
     texts = ["a b", "", "  ", "c", "d e ", None, " f"]
     c = next(_scan.chunks(pa.array(texts)))

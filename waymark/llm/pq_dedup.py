@@ -246,14 +246,16 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     with nothing; vectors of different lengths don't link. Equal vectors link
     with each other. ``component_id`` is the smallest id reachable by links, and
     the row with that id is kept. Rows that repeat an id count as vectors of
-    their own in ``n_links``. An empty table gives an empty result; further
+    their own in ``n_links`` and links, whether their vectors are equal or not. An empty table gives an empty result; further
     columns are ignored. ``sample``: how many vectors the index is fitted to at
     most; ``lists``: number of inverted lists, one per about
     ``LIST_SIZE`` vectors by default.
     """
     ready = cut(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(_prepare, "id long, dim int, d1 long, d2 long, vec binary"))
-    classes = cut(ready.where("vec is not null and id is not null").groupBy("dim", "d1", "d2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n")))
-    reps = ready.join(classes.select(F.col("class_id").alias("id"), "dim", "d1", "d2", "n"), ["id", "dim", "d1", "d2"]).dropDuplicates(["id"]).select("id", "n", "vec", "dim")
+    classes = cut(ready.where("vec is not null and id is not null").groupBy("dim", "d1", "d2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n")).withColumn("key", F.monotonically_increasing_id()))
+    # classes go by keys of their own up to the end, since an id may be the smallest of several
+    heads = classes.select(F.col("class_id").alias("id"), "dim", "d1", "d2", "n", "key")
+    reps = ready.join(heads, ["id", "dim", "d1", "d2"]).dropDuplicates(["key"]).select(F.col("key").alias("id"), "n", "vec", "dim")
     found = None
     for dim, total in sorted((r["dim"], r["count"]) for r in classes.groupBy("dim").count().collect()):  # one row per length of vectors
         some = min(sample, max(256, SAMPLE_BYTES // (8 * dim)))
@@ -285,9 +287,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     links = found.where("b is null").groupBy("id").agg(F.sum("links").alias("links"))
     of = components(found.where("b is not null").select(F.col("id").alias("a"), "b"))
     known = (
-        classes.join(links.withColumnRenamed("id", "class_id"), "class_id", "left").join(of.withColumnRenamed("node", "class_id"), "class_id", "left")
-        .select("dim", "d1", "d2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "class_id").alias("component"))
+        classes.join(links.withColumnRenamed("id", "key"), "key", "left").join(of.withColumnRenamed("node", "key"), "key", "left")
+        .select("dim", "d1", "d2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "key").alias("root"))
     )
+    known = known.join(known.groupBy("root").agg(F.min("class_id").alias("component")), "root").drop("root", "class_id")
     out = ready.drop("vec").join(known, ["dim", "d1", "d2"], "left")
     linked = F.col("id").isNotNull() & (F.col("dim") > 0)
     component = F.coalesce(F.when(linked, F.col("component")), F.col("id"))
