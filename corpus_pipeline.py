@@ -25,7 +25,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id stays."""
+    """Of equal texts one row stays, with the largest doc_id."""
     return exact_dedup.exact_dedup(docs, keep="largest").select(*COLUMNS)
 
 
@@ -38,9 +38,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated passages are cut out of all but their first place; no document goes."""
     ship(spark)
-    kept = substring_dedup.remaining_texts(docs.select("doc_id", "text")).withColumnRenamed("id", "__id")
-    rest = docs.drop("text", "n_chars").join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return rest.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+    kept = substring_dedup.remaining_texts(docs, carry=["doc_id", "lang", "source"])
+    return kept.select("carried.doc_id", F.col("kept_text").alias("text"), "carried.lang", "carried.source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

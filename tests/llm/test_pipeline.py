@@ -53,6 +53,22 @@ def test_stages_against_brute_force(spark, sf_dir, tmp_path):
     assert sorted(map(tuple, pieces)) == sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect()))
 
 
+def test_repeated_rows_do_not_multiply(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    words = [" ".join(f"{p}{i}" for i in range(30)) for p in "abcdefgh"]
+    rows = [(1, words[0], "en", "x")] * 3 + [(2, words[1], "en", "z"), (2, words[1], "en", "y"), (3, words[2], "en", "x"), (3, words[3], "de", "x"), (4, words[2], "fr", "x")]
+    rows += [(None, words[4], "en", "n"), (None, words[5], "de", "n"), (None, words[5], "de", "n"), (None, words[6], "fr", "n"), (None, words[1], "fr", "n"), (None, None, "fr", "n")]
+    df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], kind)
+    exact = corpus_pipeline.exact_stage(spark, df, "")
+    want = [(1, 0, "en", "x"), (2, 1, "en", "y"), (3, 3, "de", "x"), (4, 2, "fr", "x"), (None, 4, "en", "n"), (None, 5, "de", "n"), (None, 6, "fr", "n")]
+    want = {(i, words[w], lang, source, len(words[w])) for i, w, lang, source in want} | {(None, None, "fr", "n", 0)}
+    got = list(map(tuple, exact.collect()))
+    assert exact.columns == df.columns and len(got) == len(want) and set(got) == want
+    want = sorted(str((i, t or "", *more)) for i, t, *more in want)
+    assert corpus_pipeline.substring_stage(spark, df, "").count() == len(rows)
+    assert sorted(str(tuple(r)) for r in corpus_pipeline.substring_stage(spark, exact, "").collect()) == want
+
+
 def test_library_works_without_this_subpackage(tmp_path):
     import shutil
     import subprocess

@@ -38,7 +38,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run
     )
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan_in: int = 8, levels: int = 2) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan_in: int = 8, levels: int = 2, digest: bool = False) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256): one row per input row.
 
     Equal texts are those identical without any change. ``keep`` says which
@@ -46,7 +46,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and empty texts form one group. Rows repeated with the same id count
     each in ``group_size`` and are marked alike. A null id is never the one
     that stays unless its group has no other. An empty table gives an empty
-    result; further columns are ignored.
+    result; further columns are ignored. ``digest``: with all digest columns.
     """
     if keep not in ("largest", "smallest"):
         raise ValueError(keep)
@@ -63,11 +63,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         down = below.select("run", F.expr(f"run div {fan_in}").cast("int").alias("parent"), *DIGEST)
         known = down.join(parent, ["parent", *DIGEST]).drop("parent")
     return rows.join(known, ["run", *DIGEST]).select(
-        "id", "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256"
+        "id", "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), *(DIGEST if digest else DIGEST[:1])
     )
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    stays = exact_groups(docs, id_col, text_col, keep).where("kept").select(F.col("id").alias("__id")).distinct()
-    return docs.join(stays, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    """One row per text, that of the id that stays, with all its columns.
+
+    Of rows with the same id and text the one whose further columns come first
+    stays; they are combined inside each task before any row is shuffled.
+    """
+    stays = exact_groups(docs, id_col, text_col, keep, digest=True).where("kept")
+    stays = stays.select(F.xxhash64("id").alias("__h"), *(F.col(c).alias(f"__{c}") for c in DIGEST), F.col("id").alias("__id")).distinct()
+    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    others = [F.col(c) for c, kind in docs.dtypes if c not in (id_col, text_col) and "map<" not in kind and kind != "variant"]
+    keys = {"__h": F.xxhash64(F.col(id_col)), "__text_sha256": F.sha2(raw, 256), "__n_bytes": F.octet_length(raw), "__check64": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    once = docs.select(*(v.alias(k) for k, v in keys.items()), F.struct(*docs.columns).alias("__row"), F.struct(F.lit(0), *others).alias("__first"))
+    once = once.groupBy(*keys).agg(F.min_by("__row", "__first").alias("__row"))
+    met = once.join(stays, list(keys)).where(F.col(f"__row.{id_col}").eqNullSafe(F.col("__id")))
+    return met.select("__row.*")

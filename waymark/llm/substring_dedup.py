@@ -25,12 +25,13 @@ A word is removed if a verified path covers it.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
 from . import _scan
 from ._scan import U64
@@ -285,20 +286,23 @@ def _texts(k: int):
                 stay = np.cumsum(mark[:-1]) == 0
                 offs = np.append(0, np.cumsum(stay))[c.offs]
                 text = pa.LargeStringArray.from_buffers(len(w.counts), pa.py_buffer(offs.astype(np.int64).tobytes()), pa.py_buffer(c.data[stay].tobytes())).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[c.first : c.last], text], names=["id", "kept_text"])
+                more = [column[c.first : c.last] for column in batch.columns[3:]]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[c.first : c.last], text, *more], names=["id", "kept_text", *(["carried"] if more else [])])
 
     return run
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, text, spans): documents with the verified paths that cover them."""
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, k: int, carry: Sequence[str] = ()) -> DataFrame:
+    """(id, text, spans): documents with the verified paths that cover them; ``carry``: columns that come along as ``carried``."""
     path = paths(docs, id_col, text_col, k)
     release(docs.sparkSession)  # the edges' shuffle files go before the texts are shuffled
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(_NO_ID))).alias("id"), F.col(text_col).alias("text"))
     wanted = path.select("src", "src_start", "edges").distinct().groupBy("src").agg(F.collect_list(F.struct("src_start", "edges")).alias("spans"))
     checks = texts.join(wanted, F.col("id") == F.col("src")).select("id", "text", "spans").mapInArrow(_span_hashes(k), "src long, src_start int, edges int, check long")
     spans = path.join(checks.distinct(), ["src", "src_start", "edges"]).groupBy("doc").agg(F.collect_list(F.struct("start", "edges", "check")).alias("spans"))
-    return texts.join(spans, F.col("id") == F.col("doc"), "left").select("id", "text", "spans")
+    if carry:
+        texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(_NO_ID))).alias("id"), F.col(text_col).alias("text"), F.struct(*carry).alias("carried"))
+    return texts.join(spans, F.col("id") == F.col("doc"), "left").select("id", "text", "spans", *(["carried"] if carry else []))
 
 
 def _null_back(column: str):
@@ -322,6 +326,12 @@ def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.withColumn("id", _null_back("id"))
 
 
-def remaining_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
-    """(id, kept_text): each text without its removed words and the white space after them, else unchanged."""
-    return _with_spans(docs, id_col, text_col, k).mapInArrow(_texts(k), "id long, kept_text string").withColumn("id", _null_back("id"))
+def remaining_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, carry: Sequence[str] = ()) -> DataFrame:
+    """(id, kept_text, carried), one row per input row: each text without its removed words and the white space after them, else unchanged.
+
+    ``carry``: columns of the row that come along in the struct ``carried``, which is absent without any.
+    """
+    kind = StructType().add("id", LongType()).add("kept_text", StringType())
+    if carry:
+        kind.add(docs.select(F.struct(*carry).alias("carried")).schema["carried"])
+    return _with_spans(docs, id_col, text_col, k, carry).mapInArrow(_texts(k), kind).withColumn("id", _null_back("id"))
