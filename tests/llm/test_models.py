@@ -209,21 +209,65 @@ def test_samples_are_bounded(spark, corpus):
     assert 50 < len(y) < 160 and x.shape == (len(y), len(quality.NAMES)) and (np.diff(ids) > 0).all()
 
 
-def test_toxic_words_of_other_languages_are_learned(spark):
+def test_toxic_words_are_learned_and_no_column_but_the_text_counts(spark):
+    """No language is an input of a score, so words are learned whatever the column says."""
     r = random.Random(5)
     rows, labels = [], []
     for i in range(1600):
         lang, t = r.choice(["aa", "bb"]), int(r.random() < 0.15)
         w = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(r.randint(5, 60))]
-        for _ in range(r.randint(3, 5) if t else 0):  # in each language the other one's beginning is an everyday one
+        for _ in range(r.randint(3, 5) if t else 0):
             w.insert(r.randrange(len(w)), ("zorku" if lang == "aa" else "quilm") + r.choice(["a", "eb", "ich", "od", "uff"]))
-        if not t:
-            w.insert(0, "quilmat" if lang == "aa" else "zorkung")
         rows.append((i, " ".join(w), lang))
         labels.append((i, t))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    got = {x.id: x for x in toxicity.toxicity(df, spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()}
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {x.id: x for x in toxicity.toxicity(df, known).where("held_out").collect()}
     for lang in ("aa", "bb"):
         bad = [got[i].predicted for i, t in labels if t and i in got and rows[i][2] == lang]
         good = [got[i].predicted for i, t in labels if not t and i in got and rows[i][2] == lang]
         assert len(bad) > 10 and np.mean(bad) > 0.9 and np.mean(good) < 0.03
+    other = toxicity.toxicity(df.withColumn("lang", F.lit("cc")), known).where("held_out").collect()
+    assert sorted(map(tuple, got.values())) == sorted(map(tuple, other))
+
+
+def test_one_boosting_step_by_brute_force():
+    """A tree of one split takes the cut of the largest gain, and its leaves are the second-order steps."""
+    r = np.random.default_rng(3)
+    x = r.integers(0, 12, size=(300, 4)).astype(float)
+    y = (r.random(300) < 1 / (1 + np.exp(-(x[:, 2] - 6)))).astype(float)
+    model = toxicity.boost(x, y, trees=1, depth=1, rate=0.5, l2=3.0, least=10)
+    share = (y.sum() + 1) / (len(y) + 2)
+    base = np.log(share / (1 - share))
+    g, h = share - y, np.full(len(y), share * (1 - share))
+
+    def gain(left):
+        part = lambda m: g[m].sum() ** 2 / (h[m].sum() + 3.0)
+        return part(left) + part(~left) if min(left.sum(), (~left).sum()) >= 10 else -1
+
+    left = max((x[:, j] <= v for j in range(4) for v in range(12)), key=gain)
+    step = lambda m: -0.5 * g[m].sum() / (h[m].sum() + 3.0)
+    assert model.margin(x) == pytest.approx(base + np.where(left, step(left), step(~left)), abs=1e-9)
+
+
+def test_isotonic_by_brute_force():
+    """Without a least size the blocks are those of max over starts of min over ends of means."""
+    r = np.random.default_rng(4)
+    s = np.sort(r.normal(size=60))
+    y = (r.random(60) < 1 / (1 + np.exp(-2 * s))).astype(float)
+    want = [max(min(y[j : k + 1].mean() for k in range(i, 60)) for j in range(i + 1)) for i in range(60)]
+    at, share = toxicity.isotonic(s, y, least=1)
+    assert np.unique(np.round(want, 12)).tolist() == np.unique(np.round(share, 12)).tolist()
+    assert at.tolist() == pytest.approx([s[np.isclose(want, v)].mean() for v in np.unique(np.round(want, 12))])
+
+
+def test_few_labels_still_teach(spark):
+    """No number of labels switches the trees off; labels of one kind give their smoothed share."""
+    rows = [(i, " ".join(["plain words here" if i % 2 else "you idiot moron scum", *("".join(chr(97 + (i * j) % 26) for j in range(i % 7 + 2)) for _ in range(i % 9))]), i % 2 == 0) for i in range(48)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    few = spark.createDataFrame([(i, int(b)) for i, _, b in rows][:36], "doc_id long, toxic int")
+    got = {r.id: r.predicted for r in toxicity.toxicity(df, few).collect()}
+    assert np.mean([got[i] == int(b) for i, _, b in rows]) > 0.9
+    same = toxicity.toxicity(df, few.withColumn("toxic", F.lit(1))).collect()
+    known = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(36))
+    assert {round(r.score, 9) for r in same} == {round((known + 0.5) / (known + 10), 9)}

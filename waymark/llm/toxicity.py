@@ -5,8 +5,9 @@ of the second person, shares of capitals and of words all in capitals,
 punctuation and exclamation rates, and rates of obfuscation (lexicon words that
 show only once digits and signs are read as the letters they stand for, words
 that mix letters with digits or signs inside). Beside the fixed lexicon there is
-a learned one per language: words, and beginnings of words, that labelled toxic
-texts hold more often than others of the language, weighed by smoothed log odds.
+a learned one: words, and beginnings of words, that labelled toxic texts hold
+more often than others, weighed by smoothed log odds over the texts of all
+languages, since no column but the text is an input of a score.
 A labelled text is measured with weights learned from the other folds. Trees are fitted to the logistic
 loss by second-order steps on binned features, on a bounded sample of
 labelled rows; each fifth of it is scored by trees of the other four to calibrate
@@ -15,7 +16,6 @@ the scores by isotonic regression.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -114,11 +114,8 @@ def measure(c: _scan.Chunk, lexicon: np.ndarray, second: np.ndarray, near: int =
     ], 1)
 
 
-def entry_keys(c: _scan.Chunk, w: _scan.Words, lang: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places of words, keys) for whole words and for each length of beginnings; the language is part of a key."""
-    names = lang.fill_null("").dictionary_encode()
-    salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in names.dictionary.to_pylist()], _scan.U64)
-    salt = np.repeat(salt[np.asarray(names.indices)], w.counts)
+def entry_keys(c: _scan.Chunk, w: _scan.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places of words, keys) for whole words and for each length of beginnings."""
     values = _FOLD[c.data].astype(_scan.U64) + _scan.U64(1)
     up, down = _scan.powers(_scan.BYTE_BASES[0], len(values))
     total = np.append(_scan.U64(0), np.cumsum(values * up[: len(values)], dtype=_scan.U64))
@@ -127,7 +124,7 @@ def entry_keys(c: _scan.Chunk, w: _scan.Words, lang: pa.Array) -> Iterator[tuple
         at = np.flatnonzero(size >= max(length, 3))
         start = w.starts[at]
         end = start + length if length else w.ends[at]
-        yield at, _scan.mix((total[end] - total[start]) * down[start] ^ salt[at] ^ _scan.U64(length))
+        yield at, _scan.mix((total[end] - total[start]) * down[start] ^ _scan.U64(length))
 
 
 @dataclass
@@ -150,11 +147,11 @@ class Learned:
         hit = self.keys[at] == h[maybe]
         return maybe[hit], at[hit]
 
-    def measure(self, c: _scan.Chunk, lang: pa.Array) -> np.ndarray:
+    def measure(self, c: _scan.Chunk) -> np.ndarray:
         """documents x ``LEARNED_NAMES``; a word counts with the largest weight of itself and its beginnings."""
         n, w = len(c.offs) - 1, _scan.words(c, _FOLD == 0)
         best, entry = np.zeros(len(w.starts)), np.zeros(len(w.starts), int)
-        for at, h in entry_keys(c, w, lang):
+        for at, h in entry_keys(c, w):
             i, k = self.find(h)
             i = at[i]
             more = self.weights[k] > best[i] if len(k) else np.zeros(0, bool)
@@ -167,10 +164,10 @@ class Learned:
         return np.stack([np.bincount(doc, best[hit], n) / np.maximum(w.counts, 1), np.log1p(np.bincount(doc, minlength=n)), np.log1p(np.bincount(kinds, minlength=n)), top], 1)
 
 
-def _once(c: _scan.Chunk, lang: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _once(c: _scan.Chunk) -> tuple[np.ndarray, np.ndarray]:
     """(document, key), each key once per document."""
     w = _scan.words(c, _FOLD == 0)
-    doc, key = (np.concatenate(x) for x in zip(*entry_keys(c, w, lang), strict=True))
+    doc, key = (np.concatenate(x) for x in zip(*entry_keys(c, w), strict=True))
     doc = np.repeat(np.arange(len(w.counts)), w.counts)[doc]
     order = np.lexsort((key, doc))
     doc, key = doc[order], key[order]
@@ -180,13 +177,11 @@ def _once(c: _scan.Chunk, lang: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, key, n): in how many texts a key is."""
+    """(key, n): in how many texts a key is."""
     for batch in batches:
         for c in _scan.chunks(batch.column(1)):
-            lang = batch.column(2)[c.first : c.last]
-            doc, key = _once(c, lang)
-            u, first, n = np.unique(key, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([lang.take(pa.array(doc[first])), pa.array(_scan.signed(u)), pa.array(n)], names=["lang", "key", "n"])
+            u, n = np.unique(_once(c)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(_scan.signed(u)), pa.array(n)], names=["key", "n"])
 
 
 def _tallies(known: Learned):
@@ -195,9 +190,9 @@ def _tallies(known: Learned):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in _scan.chunks(batch.column(1)):
-                doc, key = _once(c, batch.column(2)[c.first : c.last])
+                doc, key = _once(c)
                 i, k = known.find(key)
-                fold, y = (np.asarray(batch.column(j)[c.first : c.last]) for j in (3, 4))
+                fold, y = (np.asarray(batch.column(j)[c.first : c.last]) for j in (2, 3))
                 u, of = np.unique(k * FOLDS + fold[doc[i]], return_inverse=True)
                 n, total = np.bincount(of, minlength=len(u)), np.bincount(of, y[doc[i]], len(u))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (u // FOLDS, u % FOLDS, n, total)], names=["key", "fold", "n", "y"])
@@ -205,8 +200,8 @@ def _tallies(known: Learned):
     return run
 
 
-def weigh(keys: np.ndarray, n: np.ndarray, y: np.ndarray, rows: np.ndarray, toxic: np.ndarray) -> Learned:
-    """The entries whose share of toxic texts (y of n) is surprising for their language (toxic of rows), by log odds."""
+def weigh(keys: np.ndarray, n: np.ndarray, y: np.ndarray, rows: float, toxic: float) -> Learned:
+    """The entries whose share of toxic texts (y of n) is surprising (toxic of rows in all), by log odds."""
     rest, share = n - y, (toxic + 0.5) / (rows + 1)
     with np.errstate(divide="ignore", invalid="ignore"):
         surprise = np.nan_to_num(y * np.log(y / (n * share))) + np.nan_to_num(rest * np.log(rest / (n * (1 - share))))
@@ -217,22 +212,20 @@ def weigh(keys: np.ndarray, n: np.ndarray, y: np.ndarray, rows: np.ndarray, toxi
 
 
 def learn(texts: DataFrame) -> tuple[Learned, list[Learned]]:
-    """The lexicon of all of the labelled texts (key, text, lang, fold, y), and for each fold that of the others."""
-    tops = texts.where("y > 0").select("key", "text", "lang").mapInArrow(_keys, "lang string, key long, n long")
-    tops = tops.groupBy("lang", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TOXIC)
+    """The lexicon of all of the labelled texts (key, text, fold, y), and for each fold that of the others."""
+    tops = texts.where("y > 0").select("key", "text").mapInArrow(_keys, "key long, n long")
+    tops = tops.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TOXIC)
     tops = tops.orderBy(F.desc("n"), "key").limit(4 * MOST_ENTRIES).collect()
-    base = texts.groupBy("lang").pivot("fold", list(range(FOLDS))).agg(F.count("y").alias("n"), F.sum("y").alias("y")).collect()
-    langs = {r["lang"]: i for i, r in enumerate(base)}
-    keys = np.array([r["key"] for r in tops], np.int64).view(_scan.U64)
-    order = np.argsort(keys)
-    keys, of = keys[order], np.array([langs[r["lang"]] for r in tops], int)[order]
-    rows, toxic = (np.array([[r[f"{f}_{x}"] or 0 for f in range(FOLDS)] for r in base], float).reshape(-1, FOLDS)[of] for x in "ny")
+    keys = np.sort(np.array([r["key"] for r in tops], np.int64).view(_scan.U64))
+    rows, toxic = np.zeros(FOLDS), np.zeros(FOLDS)
+    for r in texts.groupBy("fold").agg(F.count("y").alias("n"), F.sum("y").alias("y")).collect():
+        rows[r["fold"]], toxic[r["fold"]] = r["n"], r["y"]
     n, y = np.zeros((len(keys), FOLDS)), np.zeros((len(keys), FOLDS))
     if len(keys):
-        held = texts.select("key", "text", "lang", "fold", "y").mapInArrow(_tallies(Learned(keys, np.zeros(0))), "key long, fold long, n long, y double")
+        held = texts.select("key", "text", "fold", "y").mapInArrow(_tallies(Learned(keys, np.zeros(0))), "key long, fold long, n long, y double")
         for r in held.groupBy("key", "fold").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).collect():
             n[r["key"], r["fold"]], y[r["key"], r["fold"]] = r["n"], r["y"]
-    without = [[x.sum(1) - (x[:, f] if f < FOLDS else 0) for x in (n, y, rows, toxic)] for f in range(FOLDS + 1)]
+    without = [[x.sum(-1) - (x[..., f] if f < FOLDS else 0) for x in (n, y, rows, toxic)] for f in range(FOLDS + 1)]
     return weigh(keys, *without[FOLDS]), [weigh(keys, *x) for x in without[:FOLDS]]
 
 
@@ -338,10 +331,11 @@ class Constant:
 def fit(x: np.ndarray, y: np.ndarray, ids: np.ndarray) -> Model | Constant:
     """Trees on all rows; calibration on margins that trees of other rows gave, in five folds by a hash of the ids or digests.
 
-    Rows with the same features, such as copies, count once, with the mean of their labels.
+    Rows with the same features, such as copies, count once, with the mean of their labels. Where all
+    labels are alike, every score is their smoothed share.
     """
-    if len(set(y.tolist())) < 2 or len(y) < 40:
-        return Constant(min(float((y.sum() + 0.5) / (len(y) + 10)), 0.25))
+    if len(set(y.tolist())) < 2:
+        return Constant(float((y.sum() + 0.5) / (len(y) + 10)))
     _, once, of = np.unique(x, axis=0, return_index=True, return_inverse=True)
     of = of.ravel()
     x, ids, y = x[once], ids[once], np.bincount(of, y) / np.bincount(of)
@@ -358,42 +352,40 @@ class _Measure:
     def __init__(self, lexicon: Sequence[str], learned: Sequence[Learned] = ()):
         self.lexicon, self.second, self.learned = _known(lexicon), _known(SECOND_PERSON), learned
 
-    def __call__(self, c: _scan.Chunk, lang: pa.Array | None = None, fold: pa.Array | None = None) -> np.ndarray:
+    def __call__(self, c: _scan.Chunk, fold: pa.Array | None = None) -> np.ndarray:
         x = measure(c, self.lexicon, self.second)
         if not self.learned:
             return x
         which = np.asarray(fold) if fold is not None else np.zeros(len(x), int)
         more = np.zeros((len(x), len(LEARNED_NAMES)))
         for k in np.unique(which).tolist():
-            more[which == k] = self.learned[k].measure(c, lang)[which == k]
+            more[which == k] = self.learned[k].measure(c)[which == k]
         return np.concatenate([x, more], 1)
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = THRESHOLD, sample: int = _learn.SAMPLE, lexicon: Sequence[str] = LEXICON, lang_col: str = "lang"
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = THRESHOLD, sample: int = _learn.SAMPLE, lexicon: Sequence[str] = LEXICON
 ) -> DataFrame:
     """(id, held_out, score, predicted), one row per input row.
 
     Every whole text gets a score in 0 to 1; null counts as empty, and empty
     texts are scored like others. Labels come only from rows that aren't held
-    out. Without labels of both kinds the score is a constant below the
-    threshold. ``lang_col``: the language whose lexicon is learned and used;
-    rows without one, or all rows of a table without that column, are a language
-    of their own. Rows that repeat count by themselves; an empty table gives an
-    empty result; further columns are ignored.
+    out. Without labels of both kinds every score is the smoothed share
+    (toxic + 0.5) / (labels + 10). Only texts are inputs of a score. Rows that
+    repeat count by themselves; an empty table gives an empty result; further
+    columns are ignored.
     """
-    lang = (F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")).alias("lang")
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     known = F.broadcast(_learn.known_labels(labels, label_col, sample=sample))  # as many rows as the sample has
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), text, lang).join(known, "id")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text).join(known, "id")
     # copies are one text, in one fold, with the mean of their labels
-    texts = texts.groupBy(F.xxhash64("text", F.lit(5)).alias("key")).agg(F.min("text").alias("text"), F.min("lang").alias("lang"), F.avg("y").alias("y"))
+    texts = texts.groupBy(F.xxhash64("text", F.lit(5)).alias("key")).agg(F.min("text").alias("text"), F.avg("y").alias("y"))
     texts = cut(texts.withColumn("fold", F.expr(f"pmod(key, {FOLDS})").cast("long")))
     whole, parts = learn(texts)
-    got = _learn.feature_rows(texts, _Measure(lexicon, parts), "key", "text", "lang", "fold").join(texts.select(F.col("key").alias("id"), "y"), "id").orderBy("id").collect()
+    got = _learn.feature_rows(texts, _Measure(lexicon, parts), "key", "text", "fold").join(texts.select(F.col("key").alias("id"), "y"), "id").orderBy("id").collect()
     x = np.array([r["x"] for r in got], float) if got else np.zeros((0, 1))
     model = fit(x, np.array([r["y"] for r in got], float), np.array([r["id"] for r in got], np.int64))
-    return _learn.scored(_learn.feature_rows(docs, _Measure(lexicon, [whole]), id_col, text_col, lang), model, threshold)
+    return _learn.scored(_learn.feature_rows(docs, _Measure(lexicon, [whole]), id_col, text_col), model, threshold)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
