@@ -345,7 +345,7 @@ def fit(x: np.ndarray, y: np.ndarray, ids: np.ndarray) -> Model | Constant:
     for k in range(FOLDS):
         if (fold == k).any():
             margin[fold == k] = boost(x[fold != k], y[fold != k], **how).margin(x[fold == k])
-    return Model(boost(x, y, **how), *isotonic(margin, y))
+    return Model(boost(x, y, **how), *isotonic(margin, y, least=int(min(10, max(2, len(y) / 40)))))
 
 
 class _Measure:
