@@ -269,5 +269,5 @@ def test_few_labels_still_teach(spark):
     got = {r.id: r.predicted for r in toxicity.toxicity(df, few).collect()}
     assert np.mean([got[i] == int(b) for i, _, b in rows]) > 0.9
     same = toxicity.toxicity(df, few.withColumn("toxic", F.lit(1))).collect()
-    known = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(36))
+    known = len({t for i, t, _ in rows[:36] if zlib.crc32(str(i).encode()) % 4 != 2})  # copies count once
     assert {round(r.score, 9) for r in same} == {round((known + 0.5) / (known + 10), 9)}

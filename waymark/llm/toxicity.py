@@ -371,7 +371,7 @@ def toxicity(
     Every whole text gets a score in 0 to 1; null counts as empty, and empty
     texts are scored like others. Labels come only from rows that aren't held
     out. Without labels of both kinds every score is the smoothed share
-    (toxic + 0.5) / (labels + 10). Only texts are inputs of a score. Rows that
+    (toxic + 0.5) / (labels + 10), of equal texts once. Only texts are inputs of a score. Rows that
     repeat count by themselves; an empty table gives an empty result; further
     columns are ignored.
     """
