@@ -45,19 +45,32 @@ def shared_folder(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def cut(df: DataFrame, narrow: bool = False, free: bool = False) -> DataFrame:
+def _without_estimates(df: DataFrame) -> DataFrame:
+    """The same checkpointed rows as a plain scan.
+
+    A checkpoint keeps the estimated size of its plan, and that of a join is the
+    product of both sides: over some rounds it becomes a number of millions of digits.
+    """
+    spark, plan = df.sparkSession, df._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(plan.queryExecution().toRdd(), plan.schema(), False), spark)
+
+
+def cut(df: DataFrame, narrow: bool = False, free: bool = False, again: bool = False) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
 
     ``narrow``: rows much smaller than what they were made from are gathered
     into partitions of the advisory size first, for fewer and larger files.
     ``free``: what was shuffled to make these rows goes as soon as they are
     written; nothing that isn't cut reads it again.
+    ``again``: for loops, whose estimates of sizes would multiply.
 
     Spark removes the files when nothing refers to them any more.
     """
     shared_folder(df.sparkSession)
     if narrow:
         df = df.hint("rebalance")
+    if again:
+        return _without_estimates(df.checkpoint(eager=True))
     if not free:
         return df.checkpoint(eager=True)
     conf = df.sparkSession.conf
@@ -114,7 +127,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     links, seen = cut(both.distinct()), None
     for _ in range(rounds):
-        links = cut(star(star(links, True), False))
+        links = cut(star(star(links, True), False), again=True)
         now = links.agg(F.count("*"), F.expr("coalesce(bit_xor(xxhash64(u, v)), 0)")).first()
         if now == seen:
             break
