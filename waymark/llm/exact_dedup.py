@@ -1,15 +1,17 @@
 """Exact dedup: tree-merge of sorted digest runs, in DataFrame operations only.
 
-Rows are dealt over ``fan_in ** levels`` runs by a hash of their id. A run is
-the set of digest records of its rows, one per distinct digest, held sorted by
-the exchange that merges it; no text leaves the scan. In each round
-``fan_in`` neighbouring runs meet (run number // fan_in) and are merged by
-digest: the identifier that stays and the number of rows are combined, first
-inside each task and then after the exchange, so a text that a third of all
-rows share costs one record per task. The last round holds one record per
-distinct text. The survivors then walk back down the same tree, from a run to
-the ``fan_in`` runs it came from, so that rows meet their survivor on (run,
-digest) and a hot text is spread over all runs instead of one task.
+Rows are dealt over ``fan_in ** levels`` runs by a hash of their id. A run
+holds one digest record per distinct digest of its rows, sorted by digest; no text leaves the
+scan. In round k, runs whose numbers differ only in their k-th digit (base
+``fan_in``) exchange records: each keeps the digests whose own k-th digit is
+its. It merges the ``fan_in`` sorted runs it now holds by one streaming
+pass that keeps the identifier that stays and the number of rows of equal digests. The same
+pass runs before the exchange, so a text that a third of all rows share costs one
+record per task. After the last round equal digests have met in one run, and
+every run holds an equal part of the digests, so no task grows with the whole.
+The survivors then walk back down the same rounds, from a run to the ``fan_in``
+runs its records came from, so that rows meet their survivor on (run, digest) and
+a hot text is spread over all runs instead of one task.
 
 Every record carries the SHA-256, the byte length and a second 64-bit hash of
 its text, and runs merge only records that agree in all three.
@@ -20,9 +22,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut
+from ._spark import cut, partitions
 
 DIGEST = ["text_sha256", "n_bytes", "check64"]
+#: So many rounds are made that there are as many runs as shuffle partitions at least.
+FAN_IN = 8
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = 64) -> DataFrame:
@@ -38,7 +42,20 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run
     )
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan_in: int = 8, levels: int = 2, digest: bool = False) -> DataFrame:
+def _next_run(k: int, fan_in: int):
+    """The run that a record of round k belongs to next: digit k of its run becomes that of its digest."""
+    place = fan_in**k
+    digit = F.pmod(F.shiftrightunsigned(F.col("check64"), 7 * k % 56), F.lit(fan_in))
+    return (F.col("run") + (digit - F.pmod(F.floor(F.col("run") / place), F.lit(fan_in))) * place).cast("int")
+
+
+def _merged(runs: DataFrame, best, n) -> DataFrame:
+    """One record per (run, digest). The struct is merged by a streaming aggregate over sorted runs, as hash tables hold no structs."""
+    met = runs.groupBy("run", *DIGEST).agg(best(F.struct("keep_id")).alias("best"), F.sum(n).alias("n"))
+    return met.select("run", *DIGEST, F.col("best.keep_id").alias("keep_id"), "n")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan_in: int = FAN_IN, levels: int | None = None, digest: bool = False) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256): one row per input row.
 
     Equal texts are those identical without any change. ``keep`` says which
@@ -46,22 +63,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and empty texts form one group. Rows repeated with the same id count
     each in ``group_size`` and are marked alike. A null id is never the one
     that stays unless its group has no other. An empty table gives an empty
-    result; further columns are ignored. ``digest``: with all digest columns.
+    result; further columns are ignored. ``levels``: rounds, by default as many as make
+    a run for each shuffle partition; ``digest``: with all digest columns.
     """
     if keep not in ("largest", "smallest"):
         raise ValueError(keep)
-    best = F.max if keep == "largest" else F.min
-    rows = digests(docs, id_col, text_col, fan_in**levels)
-    level = rows.groupBy("run", *DIGEST).agg(best("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    up = [cut(level)]
-    for _ in range(levels):
-        merged = up[-1].withColumn("run", F.expr(f"run div {fan_in}").cast("int"))
-        up.append(merged.groupBy("run", *DIGEST).agg(best("keep_id").alias("keep_id"), F.sum("n").alias("n")))
+    if levels is None:
+        levels = max(1, next(k for k in range(64) if fan_in**k >= partitions(docs.sparkSession)))
+    # a null id comes last in either order
+    rank = (lambda s: F.max(s)) if keep == "largest" else (lambda s: F.min_by(s, F.struct(s["keep_id"].isNull(), s["keep_id"])))
+    rows = cut(digests(docs, id_col, text_col, fan_in**levels))
+    up = [cut(_merged(rows.withColumnRenamed("id", "keep_id"), rank, F.lit(1)))]
+    for k in range(levels):
+        up.append(cut(_merged(up[-1].withColumn("run", _next_run(k, fan_in)), rank, F.col("n"))))
     known = up[-1].withColumnRenamed("n", "group_size")
-    for below in reversed(up[:-1]):
-        parent = known.withColumnRenamed("run", "parent")
-        down = below.select("run", F.expr(f"run div {fan_in}").cast("int").alias("parent"), *DIGEST)
-        known = down.join(parent, ["parent", *DIGEST]).drop("parent")
+    for k in reversed(range(levels)):
+        down = up[k].select("run", _next_run(k, fan_in).alias("parent"), *DIGEST)
+        known = down.join(known.withColumnRenamed("run", "parent"), ["parent", *DIGEST]).drop("parent")
     return rows.join(known, ["run", *DIGEST]).select(
         "id", "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), *(DIGEST if digest else DIGEST[:1])
     )
