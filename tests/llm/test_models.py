@@ -63,6 +63,109 @@ def test_unlabelled_siblings_of_a_blocked_branch_stay(spark):
     assert got == {"de": "block", "fr": "allow", "en": "allow"}
 
 
+def literal_tree(paths, min_fan, rare, rare_share, merge_z, prior, weight):
+    """{raw: (template, purity, labels)} of one host's {raw: (n, bad, good)}, one node after the other."""
+    template = {}
+
+    def grow(at, rows):
+        for raw in [r for r in rows if not rows[r]]:
+            template[raw] = at
+        rows = {r: rest for r, rest in rows.items() if rest}
+        if len(rows) < min_fan:
+            template.update({r: (*at, *rest) for r, rest in rows.items()})
+            return
+        times = {}
+        for r, rest in rows.items():
+            times[rest[0]] = times.get(rest[0], 0) + paths[r][0]
+        few = {s for s, n in times.items() if n <= max(rare, sum(times.values()) * rare_share)}
+        few = few if len(few) >= min_fan else set()
+        for step in {"*" if s in few else s for s in times}:
+            grow((*at, step), {r: rest[1:] for r, rest in rows.items() if ("*" if rest[0] in few else rest[0]) == step})
+
+    grow((), {r: r for r in paths})
+    was = dict(template)
+    sums = lambda of: {t: tuple(sum(paths[r][k] for r in paths if of[r] == t) for k in (1, 2)) for t in set(of.values())}
+    for d in range(max(map(len, template.values()), default=0) - 1, -1, -1):
+        groups = {}
+        for t, (b, g) in sums(template).items():
+            if len(t) > d and b + g and not t[d].startswith("{") and t[d] != "*":
+                groups.setdefault((t[:d], t[d + 1 :]), []).append((t, b, b + g))
+        for (left, right), stat in groups.items():
+            if len(stat) < 2:
+                continue
+            pool = (sum(b for _, b, _ in stat) + 0.5) / (sum(m for *_, m in stat) + 1)
+            alike = {t for t, b, m in stat if abs((b + 0.5) / (m + 1) - pool) <= merge_z * (pool * (1 - pool) / m) ** 0.5}
+            if len(alike) > 1:
+                template = {r: (*left, "{~}", *right) if t in alike else t for r, t in template.items()}
+    own = sums(template)
+    branch = {}
+    for r, t in template.items():
+        for d in range(1, len(t) + 1):
+            b, m, names = branch.get(t[:d], (0, 0, frozenset()))
+            _, bad, good = paths[r]
+            branch[t[:d]] = (b + bad, m + bad + good, names | ({was[r][d - 1]} if bad + good else set()))
+
+    def told(prefix):
+        below = [v for k, v in branch.items() if k[:-1] == prefix and v[1]]
+        up, more = told(prefix[:-1]) if prefix else (prior, 0)
+        return (sum(len(w) * (b + prior * weight) / (m + weight) for b, m, w in below) + weight * up) / (sum(len(w) for *_, w in below) + weight), sum(m for _, m, _ in below) or more
+
+    out = {}
+    for r, t in template.items():
+        (b, g), (p, labels) = own[t], told(t[:-1])
+        out[r] = (t, (b + weight * p) / (b + g + weight), b + g or labels)
+    return out
+
+
+def test_template_tree_against_a_literal_one(spark):
+    r = random.Random(8)
+    how = {"min_fan": 4, "rare": 2, "rare_share": 0.02, "merge_z": 2.0, "prior": 0.5, "weight": 2.0}
+    urls = []
+    for h in range(12):
+        bad = {w: r.random() for w in "abcdefgh"}
+        for _ in range(r.randint(1, 160)):
+            deep = [r.choice(["shop", "blog", "x"]) for _ in range(r.choice([0, 0, 1, 3]))] + [r.choice("abcdefgh" if h % 2 else "ab")]
+            deep += [r.choice([f"w{r.randrange(60)}", "about", str(r.randrange(99)), f"{r.randrange(9)}.html"]) for _ in range(r.choice([0, 1, 1, 2, 6]))]
+            deep = deep[: r.randint(0, 9)]
+            word = next((s for s in deep if s in bad), None)
+            label = int(r.random() < round(bad[word])) if word and r.random() < 0.4 else None
+            urls.append((h, deep, label))
+    rows = [(i, f"http://h{h}.test/{'/'.join(deep)}", label) for i, (h, deep, label) in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id int, url string, bad int")
+    got = {x.id: x for x in url_filter.url_filter(df, rules=(), label_col="bad", salt=3, min_labels=5, **how).collect()}
+    shape = lambda s: "{num}" if s.isdigit() else "{num}.html" if s.endswith(".html") and s[:-5].isdigit() else s
+    verdicts = set()
+    for h in range(12):
+        paths = {}
+        for g, deep, label in urls:
+            if g == h:
+                was = paths.get(raw := tuple(map(shape, deep)), (0, 0, 0))
+                paths[raw] = (was[0] + 1, was[1] + (label == 1), was[2] + (label == 0))
+        want = literal_tree(paths, **how)
+        for i, (g, deep, _) in enumerate(urls):
+            if g == h:
+                t, share, labels = want[tuple(map(shape, deep))]
+                assert got[i].template == "".join("/" + x for x in t) and got[i].blocked_share == pytest.approx(share, abs=1e-9) and got[i].labels == labels
+                assert got[i].verdict == ("block" if share >= 0.8 and labels >= 5 else "allow")
+                verdicts.add(("{~}" in t, "*" in t, got[i].verdict))
+    assert {v for *_, v in verdicts} == {"allow", "block"} and {m for m, *_ in verdicts} == {w for _, w, _ in verdicts} == {True, False}
+
+
+def test_many_blocked_siblings_condemn_an_unlabelled_one(spark):
+    rows = [f"http://a.test/{w}/{i}" for w in "pqrstu" for i in range(12)] + [f"http://a.test/new/{i}" for i in range(5)] + [f"http://b.test/{w}/{i}" for w in ("p", "new") for i in range(12)]
+    df = spark.createDataFrame([(i, u, None if "new" in u else 1) for i, u in enumerate(rows)], "page_id int, url string, bad int")
+    got = {(r.host, r.path.split("/")[1]): r.verdict for r in url_filter.url_filter(df, rules=(), label_col="bad").collect()}
+    assert got["a.test", "new"] == "block" and got["b.test", "new"] == "allow" and got["b.test", "p"] == "block"
+
+
+def test_registered_urls_without_a_rule_are_judged_by_evidence(spark, sf_dir):
+    """The tree says more of them than its prior: above it where a branch of the host is blocked, below where one is allowed."""
+    from waymark.llm.queries import QUERIES
+
+    got = [r for r in QUERIES["op7_url_filter"](spark, sf_dir).collect() if r.rule is None and r.labels]
+    assert got and all(r.blocked_share > 0.5 for r in got if r.host.endswith("com")) and all(r.blocked_share < 0.5 for r in got if r.host.endswith("org"))
+
+
 # --- languages -----------------------------------------------------------------------
 
 WORDS = {"aa": ["tion", "the", "ing", "with"], "bb": ["schön", "über", "nicht", "gebe"], "cc": ["oui", "été", "eaux", "très"]}
@@ -105,6 +208,29 @@ def test_languages_held_out(spark):
     assert {r.lang_pred for r in language_id.predict(df, language_id.fit(df.where("false"), ~held_out())).collect()} == {"und"}
 
 
+def test_short_and_empty_texts_stay_within_bounds():
+    """Chunks are bounded in rows too, so that counts of many short texts take little memory."""
+    import tracemalloc
+
+    spark_free = language_id._predict(language_id.Model(["aa"], np.ones((1, 4096), np.float32) / 64, np.zeros(1, int), np.zeros(1), np.ones(4096)), 4096)
+    for text in ("", "wort"):
+        batch = pa.RecordBatch.from_arrays([pa.array(np.arange(10_000)), pa.array([text] * 10_000)], names=["id", "text"])
+        tracemalloc.start()
+        assert sum(b.num_rows for b in spark_free(iter([batch]))) == 10_000
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200 << 20
+
+
+def test_int_ids_and_too_many_languages(spark):
+    ship(spark)
+    df = spark.createDataFrame([(i, t, lang) for i, t, lang in speech(4, 60)], "doc_id int, text string, lang string")
+    got = language_id.predict(df, language_id.fit(df, ~held_out()))
+    assert dict(got.dtypes)["id"] == "bigint" and got.count() == 60
+    with pytest.raises(ValueError):
+        language_id.fit(df.withColumn("lang", F.col("doc_id").cast("string")), F.lit(True), most_languages=20)
+
+
 # --- classifiers ---------------------------------------------------------------------------
 
 

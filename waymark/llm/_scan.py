@@ -65,12 +65,13 @@ def raw_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]], offs - offs[0]
 
 
-def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Whole documents in runs of about ``most`` bytes; a longer document is a chunk of its own."""
+def chunks(column: pa.Array, most: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[Chunk]:
+    """Whole documents in runs of about ``most`` bytes, and of ``rows`` documents at most; a longer document is a chunk of its own."""
     data, offs = buffers(column)
     n, i = len(offs) - 1, 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + most, "right")) - 1)
+        j = j if rows is None else min(j, i + rows)
         yield Chunk(i, j, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
         i = j
 

@@ -577,15 +577,15 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     that repeat count by themselves; an empty table gives an empty result.
     """
     name = lexicon(docs, tokenizer, text_col, most)
-    return docs.select(id_col, text_col).mapInArrow(_encode_decode(name), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_encode_decode(name), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
     """(id, ids array<int>) of every text."""
-    return docs.select(id_col, text_col).mapInArrow(_encode_ids(lexicon(docs, tokenizer, text_col, most)), "id long, ids array<int>")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_encode_ids(lexicon(docs, tokenizer, text_col, most)), "id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
     """(id, text) of every list of ids; null lists give empty texts."""
     name = shipped(encoded.sparkSession, build(tokenizer, []))
-    return encoded.select(id_col, ids_col).mapInArrow(_decode_ids(name), "id long, text string")
+    return encoded.select(F.col(id_col).cast("long"), ids_col).mapInArrow(_decode_ids(name), "id long, text string")

@@ -29,6 +29,10 @@ SAMPLE = 800
 #: Sampled texts of all languages together, which the driver holds.
 SAMPLE_TOTAL = 8000
 CENTROIDS = 4
+#: Documents counted at once, since counts are dense.
+ROWS = 256
+#: Sampled rows are chosen by a hash modulo this, fine enough for any number of rows.
+GRAIN = 1 << 40
 UNDETERMINED = "und"
 
 
@@ -84,7 +88,7 @@ def _document_frequency(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(buckets, np.int64), 0
         for batch in batches:
-            for c in _scan.chunks(batch.column(0)):
+            for c in _scan.chunks(batch.column(0), rows=ROWS):
                 df += (gram_counts(c, buckets) > 0).sum(0)
                 n += c.last - c.first
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets + 1), pa.int32()), pa.array(np.append(df, n), pa.int64())], names=["bucket", "df"])
@@ -95,7 +99,7 @@ def _document_frequency(buckets: int):
 def _sample_vectors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in _scan.chunks(batch.column(1)):
+            for c in _scan.chunks(batch.column(1), rows=ROWS):
                 x = gram_counts(c, buckets)
                 blobs = [np.minimum(row, 65535).astype("<u2").tobytes() for row in x]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[c.first : c.last], pa.array(blobs, pa.binary())], names=["lang", "counts"])
@@ -139,24 +143,27 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c[np.unique(own)]
 
 
-def fit(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, sample: int = SAMPLE, centroids: int = CENTROIDS, reject_quantile: float = 0.005) -> Model | None:
+def fit(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, sample: int = SAMPLE, centroids: int = CENTROIDS, reject_quantile: float = 0.005, sample_total: int = SAMPLE_TOTAL, most_languages: int = 1000) -> Model | None:
     """Learn from the rows that ``train`` accepts and whose language isn't null.
 
     Document frequencies use all of them; centroids about ``sample`` rows of
-    each language, ``SAMPLE_TOTAL`` together, chosen by a hash of the id. None if there is nothing to learn.
+    each language, ``sample_total`` together, chosen by a hash of the id. None if there is nothing to learn.
+    More than ``most_languages`` values of the language are an error, since the driver holds some rows for each.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     df = rows.select(text_col).mapInArrow(_document_frequency(buckets), "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).collect()
     count = np.zeros(buckets + 1)
     for r in df:
         count[r["bucket"]] = r["df"]
-    sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col)).count().collect()}  # one row per language
+    sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col)).count().limit(most_languages + 1).collect()}  # one row per language
+    if len(sizes) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     if not sizes:
         return None
     idf = np.log((count[-1] + 1) / (count[:-1] + 1)) + 1
-    sample = max(1, min(sample, SAMPLE_TOTAL // len(sizes)))
+    sample = max(1, min(sample, sample_total // len(sizes)))
     share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, sample / n))])
-    chosen = rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 20)) < share[F.col(lang_col)] * (1 << 20)).select(F.col(lang_col).alias("lang"), text_col)
+    chosen = rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(GRAIN)) < share[F.col(lang_col)] * GRAIN).select(F.col(lang_col).alias("lang"), text_col)
     vectors = chosen.mapInArrow(_sample_vectors(buckets), "lang string, counts binary").collect()
     langs, cs, of, floor = sorted(sizes), [], [], []
     for i, lang in enumerate(langs):
@@ -180,7 +187,7 @@ def fit(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str
 def _predict(model: Model | None, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in _scan.chunks(batch.column(1), _scan.CHUNK_BYTES // 2):
+            for c in _scan.chunks(batch.column(1), _scan.CHUNK_BYTES // 2, ROWS):
                 n = c.last - c.first
                 lang, score, far = np.zeros(n, np.int64), np.zeros(n), np.ones(n, bool)
                 letters = has_letter(c) & (model is not None)
@@ -205,4 +212,4 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     anything learned all are ``und``. Rows that repeat count by themselves; an
     empty table gives an empty result; further columns are ignored.
     """
-    return docs.select(id_col, text_col).mapInArrow(_predict(model, buckets), "id long, lang_pred string, score double, rejected boolean")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_predict(model, buckets), "id long, lang_pred string, score double, rejected boolean")
