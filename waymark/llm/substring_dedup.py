@@ -39,6 +39,8 @@ from ._spark import cut, partitions, release
 
 K = 20
 GROUP_BYTES = 4 << 20
+#: Text whose edges one bucket resolves at once.
+BUCKET_BYTES = 1 << 19
 _EDGES = "bucket int, grp long, n int, hist binary, low binary, doc binary, pos binary, sdoc binary, spos binary"
 _PATHS = "doc long, start int, edges int, src long, src_start int"
 _NO_ID = np.int64(2**63 - 1)
@@ -195,8 +197,9 @@ def _compact(table: pa.Table) -> pa.Table:
 
 def paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """(doc, start, edges, src, src_start): each repeated nonbranching path outside its source, unverified."""
-    spark = docs.sparkSession
-    bits = min(16, max(8, (4 * partitions(spark)).bit_length()))
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    # buckets follow the input: twice as many for twice the text, and enough to go round the partitions
+    bits = min(16, max((total // BUCKET_BYTES).bit_length(), (4 * partitions(docs.sparkSession)).bit_length()))
     edges = docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_scan_edges(bits, k), _EDGES)
     answers = edges.groupBy("bucket").applyInArrow(_resolve(bits), "grp long, doc binary, pos binary, sdoc binary, spos binary")
     return cut(answers.groupBy("grp").applyInArrow(_compact, _PATHS), free=True)
