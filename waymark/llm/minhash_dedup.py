@@ -38,6 +38,8 @@ from ._scan import U64
 from ._spark import components, cut
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 5, 32, 8, 0.8
+#: Runs that rows are dealt over to meet the class of their equal sets.
+RUNS = 256
 #: A block of a family has about so many documents and shingles at most.
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2_000_000
 #: The first cell's width in rank; later ones double up to the last, then repeat it.
@@ -237,8 +239,15 @@ def near_duplicates(
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketch = cut(narrow.mapInArrow(_sketch(shingle, bands, rows, counts), "id long, n_shingles long, d1 long, d2 long, bands array<long>"), narrow=True)
-    classes = sketch.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("id").alias("class_id"))
-    member = sketch.drop("bands").join(classes, ["n_shingles", "d1", "d2"], "left")
+    # rows meet their class by way of runs, so that a class of a third of all rows is one row per run
+    equal = ["n_shingles", "d1", "d2"]
+    dealt = sketch.select("id", *equal, F.pmod(F.xxhash64("id", F.lit(13)), F.lit(RUNS)).cast("int").alias("run"))
+    firsts = dealt.where("n_shingles > 0").groupBy("run", *equal).agg(F.min("id").alias("class_id"))
+    classes = firsts.groupBy(*equal).agg(F.min("class_id").alias("class_id"))
+    of_run = firsts.select("run", *equal).join(classes, equal)
+    # those without shingles meet none, and aren't dealt by the key they share
+    member = dealt.where("n_shingles > 0").join(of_run, ["run", *equal], "left").select("id", *equal, "class_id")
+    member = member.union(dealt.where("n_shingles = 0").select("id", *equal, F.lit(None).cast("long")))
     heads = sketch.join(classes.where("class_id is not null").select(F.col("class_id").alias("id"), "n_shingles", "d1", "d2"), ["id", "n_shingles", "d1", "d2"], "left_semi")
     entries = heads.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     # the smallest member leads its bucket
