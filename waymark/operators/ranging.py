@@ -40,11 +40,14 @@ def address_type() -> Column:
     return F.when((single["left"] & empty["right"]) | (single["right"] & empty["left"]) | differ, 0).otherwise(1)
 
 
-def road_ranging(roads: DataFrame, addresses: DataFrame, valid: DataFrame | None = None, patches: DataFrame | None = None, road_key: str = "pfi") -> DataFrame:
+def road_ranging(roads: DataFrame, addresses: DataFrame, valid: DataFrame | None = None, patches: DataFrame | None = None, road_key: str = "pfi", geocoded: str | None = None) -> DataFrame:
     """R-6: every road with its ranges (null without addresses), patched by hand, and its address type.
 
-    ``valid``: the address ids (addr_pfi) that take part, or all.
+    ``valid``: the address ids (addr_pfi) that take part, or all. ``geocoded``: only addresses with this
+    geocode_source, as the second source asks for.
     """
+    if geocoded is not None:
+        addresses = addresses.where(F.col("geocode_source") == geocoded)
     if valid is not None:
         addresses = addresses.join(valid.select("addr_pfi").distinct(), "addr_pfi", "left_semi")
     ranges = side_ranges(addresses).withColumnRenamed("road_pfi", road_key)

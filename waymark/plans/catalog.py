@@ -829,3 +829,6 @@ def psv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     files.write_psv(c, at)
     return files.read_psv(spark, [at], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", key=["c_custkey"])
+
+
+from . import deliverables  # noqa: E402, F401  (registers its queries here)

@@ -59,15 +59,17 @@ def resolve_addresses(
 
     ``addresses``: one row per address with its key parts and ``st_num``, ``lv_apt``, ``view_pfi``,
     ``address_string``. ``matches``: (pfi, road_pfi, road_name_id, rule_score, dist_from_road, dist_along,
-    side_of_road). ``cross``: (pfi, to_rnid). ``register``: (mslink, address_string).
+    side_of_road). ``cross``: (pfi, to_rnid). ``register``: (mslink, address_string). The second source's addresses have a
+    geocode_source too, and only those geocoded by address count in ranges.
     """
     known = topology.checkpoint(addresses.join(matches, "pfi", "left"))
     excluded = resolution.exclusions(known, manual, second_source)
     dups = resolution.duplicates(known)
     one = resolution.resolve_phase_1(dups)
     first = resolution.validated_phase_1(known, excluded, dups, one)
-    facts = known.select(F.col("pfi").alias("addr_pfi"), "road_pfi", "side_of_road", "house_number_1", "house_number_2", "rule_score", "dist_along")
-    ranges = ranging.road_ranging(roads, facts, first.withColumnRenamed("pfi", "addr_pfi"), patches)
+    facts = known.select(F.col("pfi").alias("addr_pfi"), "road_pfi", "side_of_road", "house_number_1", "house_number_2", "rule_score", "dist_along", *(["geocode_source"] if second_source else []))
+    geocoded = "ADDRESS" if second_source else None
+    ranges = ranging.road_ranging(roads, facts, first.withColumnRenamed("pfi", "addr_pfi"), patches, geocoded=geocoded)
     near = ranging.near_ranges(roads, aliases, ranges)
     open_ = dups.join(one.where("resolution_code = 'UNRESOLVED'").select("pfi"), "pfi", "left_semi")
     at = ranges.select(F.col("pfi").alias("road_pfi"), "left_min", "left_max", "right_min", "right_max", "address_type")
@@ -75,7 +77,7 @@ def resolve_addresses(
     valid = topology.checkpoint(resolution.validated_phase_2(known, excluded, dups, one, two, overrides))
     new = known.join(valid, "pfi", "left_semi").select("address_string")
     reg = registers.register(register, new, ["address_string"], "mslink", null_keys=second_source)
-    final = ranging.road_ranging(roads, facts, valid.withColumnRenamed("pfi", "addr_pfi"), patches)
+    final = ranging.road_ranging(roads, facts, valid.withColumnRenamed("pfi", "addr_pfi"), patches, geocoded=geocoded)
     flips = ranging.road_flip(final, facts.join(valid.withColumnRenamed("pfi", "addr_pfi"), "addr_pfi", "left_semi"), cross)
     return Resolution(excluded, dups, one, two, valid, reg, final, flips)
 
