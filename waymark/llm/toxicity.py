@@ -215,16 +215,17 @@ def learn(texts: DataFrame) -> tuple[Learned, list[Learned]]:
     """The lexicon of all of the labelled texts (key, text, fold, y), and for each fold that of the others."""
     tops = texts.where("y > 0").select("key", "text").mapInArrow(_keys, "key long, n long")
     tops = tops.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TOXIC)
-    tops = tops.orderBy(F.desc("n"), "key").limit(4 * MOST_ENTRIES).collect()
-    keys = np.sort(np.array([r["key"] for r in tops], np.int64).view(_scan.U64))
+    tops = tops.orderBy(F.desc("n"), "key").limit(4 * MOST_ENTRIES).toArrow()  # rows of Python would take ten times the room
+    keys = np.sort(np.asarray(tops["key"]).astype(np.int64).view(_scan.U64))
     rows, toxic = np.zeros(FOLDS), np.zeros(FOLDS)
     for r in texts.groupBy("fold").agg(F.count("y").alias("n"), F.sum("y").alias("y")).collect():
         rows[r["fold"]], toxic[r["fold"]] = r["n"], r["y"]
     n, y = np.zeros((len(keys), FOLDS)), np.zeros((len(keys), FOLDS))
     if len(keys):
         held = texts.select("key", "text", "fold", "y").mapInArrow(_tallies(Learned(keys, np.zeros(0))), "key long, fold long, n long, y double")
-        for r in held.groupBy("key", "fold").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).collect():
-            n[r["key"], r["fold"]], y[r["key"], r["fold"]] = r["n"], r["y"]
+        held = held.groupBy("key", "fold").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).toArrow()
+        at = np.asarray(held["key"]), np.asarray(held["fold"])
+        n[at], y[at] = np.asarray(held["n"]), np.asarray(held["y"])
     without = [[x.sum(-1) - (x[..., f] if f < FOLDS else 0) for x in (n, y, rows, toxic)] for f in range(FOLDS + 1)]
     return weigh(keys, *without[FOLDS]), [weigh(keys, *x) for x in without[:FOLDS]]
 
@@ -382,9 +383,9 @@ def toxicity(
     texts = texts.groupBy(F.xxhash64("text", F.lit(5)).alias("key")).agg(F.min("text").alias("text"), F.avg("y").alias("y"))
     texts = cut(texts.withColumn("fold", F.expr(f"pmod(key, {FOLDS})").cast("long")))
     whole, parts = learn(texts)
-    got = _learn.feature_rows(texts, _Measure(lexicon, parts), "key", "text", "fold").join(texts.select(F.col("key").alias("id"), "y"), "id").orderBy("id").collect()
-    x = np.array([r["x"] for r in got], float) if got else np.zeros((0, 1))
-    model = fit(x, np.array([r["y"] for r in got], float), np.array([r["id"] for r in got], np.int64))
+    got = _learn.feature_rows(texts, _Measure(lexicon, parts), "key", "text", "fold").join(texts.select(F.col("key").alias("id"), "y"), "id").orderBy("id").select("id", "x", "y").toArrow()
+    x = np.asarray(got["x"].combine_chunks().flatten(), dtype=float).reshape(len(got), -1) if len(got) else np.zeros((0, 1))
+    model = fit(x, np.asarray(got["y"], dtype=float), np.asarray(got["id"], dtype=np.int64))
     return _learn.scored(_learn.feature_rows(docs, _Measure(lexicon, [whole]), id_col, text_col), model, threshold)
 
 
