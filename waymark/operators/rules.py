@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .spatial import crossings, distance_join
+from ..functions.geometry import extend_short
+from .spatial import crossings, distance_join, sides
+from .topology import checkpoint
 
 RING = 250
 MOST_RULES = 10_000
@@ -65,6 +67,7 @@ def weighted_crossings(crossed: DataFrame, first_names: DataFrame, key: list[str
 def match_addresses(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, rules: DataFrame, in_locality: DataFrame) -> DataFrame:
     """R-3: one row per address with an attempt: the first rule, in test order, whose road passes both tests.
 
+    Gives the 17 columns of a match, with the connector from the address to the road as ``geometry``.
     ``addresses``: addr_pfi, x, y, name, type, rnid, soundex, locality. ``aliases``: pfi,
     rnid, alias_number, route_flag, name, type, soundex. ``in_locality``: (pfi,
     locality) pairs. ``rules``: a small table (``RULE_SCHEMA``).
@@ -74,8 +77,10 @@ def match_addresses(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, r
     locality UNKNOWN), in rings of 250 m, nearest first. The first road with a
     fitting alias decides the rule, whether or not it passes the spatial test;
     for a 'Nearest' rule each ring is looked at only up to the first road beyond its
-    closest. An address that no rule accepts keeps the attempt of its first
-    rule with a fitting road, with matched = false.
+    closest. An address that no rule accepts keeps its last attempt: of the last rule that
+    found a road, the one that fitted, else the last one tried, with its last alias. Crossings
+    are counted where the attributes fit, the side of the road where both tests pass, and
+    there a connector shorter than a centimetre is drawn out.
     """
     facts = rules.agg(F.max("max_distance").alias("reach"), F.count(F.lit(1)).alias("n")).first()
     reach = facts["reach"]
@@ -95,21 +100,29 @@ def match_addresses(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, r
     road = aliases.select("pfi", *[F.col(c).alias(f"t_{c}") for c in ("rnid", "alias_number", "route_flag", "name", "type", "soundex")])
     fits = attribute_match(F.col("match_attribute"), {c: F.col(c) for c in ("name", "type", "rnid", "soundex")}, {c: F.col(f"t_{c}") for c in ("name", "type", "rnid", "soundex")})
     text = F.concat_ws(",", "t_rnid", "t_alias_number", "t_route_flag")
-    fitting = tries.join(road, "pfi").where(fits).withColumn("alias_text", text)
-    first = F.min(F.struct("ring", "dist", F.col("pfi").cast("string").alias("txt"), "alias_text", "pfi", "t_rnid", "along", "x0", "y0", "nx", "ny")).alias("f")
-    spot = addresses.select("addr_pfi", F.col("x").alias("x0"), F.col("y").alias("y0"))
-    chosen = fitting.join(spot, "addr_pfi").groupBy("addr_pfi", "test_order", "code", "score", "match_spatial", "max_intersects", "max_distance").agg(first)
-    chosen = chosen.select("addr_pfi", "test_order", "code", "score", "match_spatial", "max_intersects", "max_distance", "f.*").drop("txt", "alias_text", "ring")
-    links = chosen.select("addr_pfi", "pfi", F.col("x0").alias("x"), F.col("y0").alias("y"), "nx", "ny").distinct()
+    attempt = F.struct("ring", "dist", F.col("pfi").cast("string").alias("txt"), text.alias("alias_text"), "pfi", "t_rnid", "t_soundex", "along", "nx", "ny")
+    rule = ["test_order", "code", "score", "match_spatial", "max_intersects", "max_distance"]
+    tried = tries.join(road, "pfi").withColumn("fits", F.coalesce(fits, F.lit(False))).groupBy("addr_pfi", *rule).agg(
+        F.min(F.when(F.col("fits"), attempt)).alias("first"), F.max(F.when(~F.col("fits"), attempt)).alias("last")
+    )
+    spot = addresses.select("addr_pfi", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("rnid").alias("addr_rnid"), F.col("locality").alias("addr_locality_name"), F.col("soundex").alias("addr_soundex"))
+    chosen = tried.select("addr_pfi", *rule, F.col("first").isNotNull().alias("valid_attr"), F.coalesce("first", "last").alias("f")).select("addr_pfi", *rule, "valid_attr", "f.*")
+    links = chosen.where("valid_attr").select("addr_pfi", "pfi", "nx", "ny").distinct().join(spot.select("addr_pfi", F.col("x0").alias("x"), F.col("y0").alias("y")), "addr_pfi")
     main = aliases.groupBy("pfi").agg(F.min_by("name", F.concat_ws(",", "rnid", "alias_number", "route_flag")).alias("road_name"))
     crossed = weighted_crossings(crossings(links, segs, ["addr_pfi", "pfi"], float(RING), own="pfi"), main, ["addr_pfi", "pfi"])
-    rows = chosen.join(crossed, ["addr_pfi", "pfi"], "left").withColumns({"crossed": F.coalesce("crossed", F.lit(0)), "intersects": F.coalesce("intersects", F.lit(0))})
+    crossed = crossed.withColumn("valid_attr", F.lit(True))
+    rows = chosen.join(crossed, ["addr_pfi", "pfi", "valid_attr"], "left").withColumns({"crossed": F.coalesce("crossed", F.lit(0)), "intersects": F.coalesce("intersects", F.lit(0))})
     ok = spatial_match(F.col("code"), F.col("match_spatial"), F.col("dist"), F.col("crossed"), F.col("max_distance"), F.col("max_intersects"))
-    rows = rows.withColumn("matched", F.coalesce(ok, F.lit(False)))
-    best = F.min(F.struct((~F.col("matched")).alias("no"), "test_order", "code", "score", "pfi", "t_rnid", "dist", "along", "intersects", "crossed")).alias("b")
-    out = rows.groupBy("addr_pfi").agg(best)
-    return out.select(
-        "addr_pfi", F.col("b.pfi").alias("road_pfi"), F.col("b.test_order").alias("rule_rank"), F.col("b.code").alias("rule_code"), F.col("b.score").alias("rule_score"),
-        (~F.col("b.no")).alias("matched"), F.col("b.t_rnid").alias("road_rnid"), F.col("b.dist").alias("dist_from_road"), F.col("b.along").alias("dist_along_road"),
-        F.col("b.intersects").alias("intersects"), F.col("b.crossed").alias("crossed"),
+    rows = rows.withColumn("valid_spatial", F.col("valid_attr") & F.coalesce(ok, F.lit(False)))
+    row = F.struct("test_order", "code", "score", "valid_attr", "valid_spatial", "pfi", "t_rnid", "t_soundex", "dist", "along", "nx", "ny", "intersects", "crossed")
+    best = rows.groupBy("addr_pfi").agg(F.coalesce(F.min(F.when(F.col("valid_spatial"), row)), F.max(row)).alias("b")).select("addr_pfi", "b.*").join(spot, "addr_pfi")
+    best = checkpoint(best)
+    side = sides(best.where("valid_spatial").select("addr_pfi", "pfi", F.col("x0").alias("x"), F.col("y0").alias("y"), "along"), segs, "addr_pfi").select("addr_pfi", "side")
+    far = extend_short(*(F.col(c) for c in ("x0", "y0", "nx", "ny")))
+    end = [F.when(F.col("valid_spatial"), e).otherwise(F.col(c)) for e, c in zip(far, ("nx", "ny"), strict=True)]
+    return best.join(side, "addr_pfi", "left").select(
+        "addr_pfi", F.col("pfi").alias("road_pfi"), F.col("test_order").alias("rule_rank"), F.col("code").alias("rule_code"), F.col("score").alias("rule_score"), "valid_attr", "valid_spatial",
+        "addr_rnid", F.col("t_rnid").alias("road_rnid"), "addr_locality_name", F.col("addr_locality_name").alias("road_locality_name"), "addr_soundex", F.col("t_soundex").alias("road_soundex"),
+        "intersects", F.coalesce("side", F.lit("")).alias("side_of_road"), F.col("dist").alias("dist_from_road"), F.col("along").alias("dist_along_road"),
+        F.format_string("LINESTRING (%.3f %.3f, %.3f %.3f)", "x0", "y0", *end).alias("geometry"), "crossed",
     )

@@ -441,14 +441,8 @@ _AT = "x1 + CASE WHEN len > 0 THEN (least(greatest({d}, cum_len), cum_len + len)
 def side_of_line(spark: SparkSession, sf: str) -> DataFrame:
     segs = p.read(spark, sf, p.SEGMENT)
     spots = p.read(spark, sf, _SPOTS)
-    foot = g.project(spots, segs, "addr_pfi").join(segs.groupBy("pfi").agg(F.sum("len").alias("total")), "pfi")
-    low = g.side_samples(F.col("along"), F.col("total"))
-    at = foot.select(F.struct("addr_pfi", "pfi").alias("k"), "pfi", "addr_pfi", F.explode(F.array(*[F.struct(F.lit(i).alias("tag"), d.alias("d")) for i, d in enumerate(low)])).alias("s"))
-    each = at.select("addr_pfi", "pfi", F.col("s.tag").alias("i"), F.col("s.d").alias("d")).withColumn("tag", F.struct("addr_pfi", "i"))
-    pts = g.interpolate(segs, each.select("pfi", "tag", "d")).select("tag.addr_pfi", "tag.i", "x", "y")
-    three = pts.groupBy("addr_pfi").agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in range(3) for c in "xy"])
-    side = g.side_of_line(F.col("x"), F.col("y"), *[(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(3)], digits=4)
-    return three.join(spots.select("addr_pfi", "x", "y"), "addr_pfi").select("addr_pfi", side.alias("side"))
+    foot = g.project(spots, segs, "addr_pfi").join(spots.select("addr_pfi", "x", "y"), "addr_pfi")
+    return spatial.sides(foot, segs, "addr_pfi").select("addr_pfi", "side")
 
 
 _CR = "(x1 * y2 - y1 * x2)"
@@ -790,14 +784,26 @@ _ATTR = "CASE match_attribute WHEN 'RoadNameID' THEN ad.rnid = na.rnid WHEN 'Roa
     tr AS (SELECT nr.*, ru.*, CASE WHEN dist <= 250 THEN 1 ELSE CAST(ceil(dist / 250) AS INT) END AS ring FROM nr JOIN ad ON ad.addr_pfi = nr.addr_pfi JOIN ru ON dist <= max_distance
         WHERE code = 'F_N' OR ad.locality = 'UNKNOWN' OR EXISTS (SELECT 1 FROM lo WHERE lo.pfi = nr.pfi AND lo.locality = ad.locality)),
     tn AS (SELECT *, min(dist) OVER w AS closest, lag(dist) OVER w AS prev FROM tr WINDOW w AS (PARTITION BY addr_pfi, test_order, ring ORDER BY dist, CAST(pfi AS STRING))),
-    fi AS (SELECT tn.*, na.rnid AS road_rnid, row_number() OVER (PARTITION BY tn.addr_pfi, test_order ORDER BY ring, dist, CAST(tn.pfi AS STRING), CAST(na.rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0') AS r
-        FROM tn JOIN ad ON ad.addr_pfi = tn.addr_pfi JOIN na ON na.pfi = tn.pfi WHERE (match_spatial <> 'Nearest' OR dist = closest OR prev = closest) AND {_ATTR}),
-    c AS (SELECT * FROM fi WHERE r = 1), main AS (SELECT pfi, name FROM (SELECT pfi, name, row_number() OVER (PARTITION BY pfi ORDER BY CAST(rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0') AS r FROM na) q WHERE r = 1),
-    cl AS (SELECT DISTINCT addr_pfi, pfi, x, y, nx, ny FROM c), cx AS (SELECT DISTINCT c.addr_pfi, c.pfi, s.pfi AS other FROM cl c JOIN s ON s.pfi <> c.pfi AND {_CROSS}),
+    ft AS (SELECT tn.*, na.rnid AS road_rnid, {_ATTR} AS valid_attr, CAST(na.rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0' AS txt
+        FROM tn JOIN ad ON ad.addr_pfi = tn.addr_pfi JOIN na ON na.pfi = tn.pfi WHERE match_spatial <> 'Nearest' OR dist = closest OR prev = closest),
+    fi AS (SELECT *, row_number() OVER (PARTITION BY addr_pfi, test_order, valid_attr ORDER BY ring, dist, CAST(pfi AS STRING), txt) AS r, row_number() OVER (PARTITION BY addr_pfi, test_order, valid_attr ORDER BY ring DESC, dist DESC, CAST(pfi AS STRING) DESC, txt DESC) AS r2,
+        bool_or(valid_attr) OVER (PARTITION BY addr_pfi, test_order) AS fit FROM ft),
+    c AS (SELECT * FROM fi WHERE (valid_attr AND r = 1) OR (NOT fit AND r2 = 1)), main AS (SELECT pfi, name FROM (SELECT pfi, name, row_number() OVER (PARTITION BY pfi ORDER BY CAST(rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0') AS r FROM na) q WHERE r = 1),
+    cl AS (SELECT DISTINCT addr_pfi, pfi, x, y, nx, ny FROM c WHERE valid_attr), cx AS (SELECT DISTINCT c.addr_pfi, c.pfi, s.pfi AS other FROM cl c JOIN s ON s.pfi <> c.pfi AND {_CROSS}),
     cc AS (SELECT addr_pfi, cx.pfi, CAST(floor(sum(CASE WHEN name IN ('UNNAMED', 'UNKNOWN') THEN 4 ELSE 10 END) / 10) AS INT) AS crossed, count(*) AS intersects FROM cx JOIN main ON main.pfi = other GROUP BY 1, 2),
-    ok AS (SELECT c.*, coalesce(crossed, 0) AS crossed, coalesce(intersects, 0) AS intersects, code = 'F_N' OR (dist < max_distance AND (coalesce(crossed, 0) <= max_intersects OR match_spatial = 'Nearest')) AS matched FROM c LEFT JOIN cc ON cc.addr_pfi = c.addr_pfi AND cc.pfi = c.pfi)
-    SELECT addr_pfi, pfi AS road_pfi, test_order AS rule_rank, code AS rule_code, score AS rule_score, matched, road_rnid, round(dist, 5) AS dist_from_road, round(along, 5) AS dist_along_road, intersects, crossed
-    FROM (SELECT *, row_number() OVER (PARTITION BY addr_pfi ORDER BY CASE WHEN matched THEN 0 ELSE 1 END, test_order) AS rr FROM ok) q WHERE rr = 1""")
+    ok AS (SELECT c.*, coalesce(crossed, 0) AS crossed, coalesce(intersects, 0) AS intersects, valid_attr AND (code = 'F_N' OR (dist < max_distance AND (coalesce(crossed, 0) <= max_intersects OR match_spatial = 'Nearest'))) AS valid_spatial
+        FROM c LEFT JOIN cc ON cc.addr_pfi = c.addr_pfi AND cc.pfi = c.pfi AND c.valid_attr),
+    be AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY addr_pfi ORDER BY CASE WHEN valid_spatial THEN 0 ELSE 1 END, CASE WHEN valid_spatial THEN test_order ELSE -test_order END) AS rr FROM ok) q WHERE rr = 1),
+    ln AS (SELECT pfi, sum(len) AS total FROM s GROUP BY 1), ds AS (SELECT addr_pfi, be.pfi, x, y, i, CASE WHEN along < 1 THEN 0 WHEN along > total - 1 THEN total - 2 ELSE along - 1 END + i AS d FROM be JOIN ln ON ln.pfi = be.pfi, (VALUES (0), (1), (2)) v(i) WHERE valid_spatial),
+    sp AS (SELECT addr_pfi, i, ds.x, ds.y, x1 + CASE WHEN len > 0 THEN (d - cum_len) / len ELSE 0 END * (x2 - x1) AS ix, y1 + CASE WHEN len > 0 THEN (d - cum_len) / len ELSE 0 END * (y2 - y1) AS iy, row_number() OVER (PARTITION BY addr_pfi, i ORDER BY seq) AS r
+        FROM ds JOIN s ON s.pfi = ds.pfi AND d >= cum_len AND d <= cum_len + len),
+    sw AS (SELECT addr_pfi, max(x) AS x, max(y) AS y, {", ".join(f"max(CASE WHEN i = {i} THEN i{c} END) AS {c}{i}" for i in range(3) for c in "xy")} FROM sp WHERE r = 1 GROUP BY 1),
+    sd AS (SELECT addr_pfi, CASE WHEN round((x0 * y1 - y0 * x1) + (x1 * y2 - y1 * x2) + (x2 * y - y2 * x) + (x * y0 - y * x0), 4) > 0 THEN 'L' ELSE 'R' END AS side FROM sw),
+    en AS (SELECT *, sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y)) AS reach FROM be), ex AS (SELECT addr_pfi, x, y, CASE WHEN valid_spatial AND reach < 0.01 THEN nx + 0.1 * (nx - x) / CASE WHEN reach = 0 THEN 1 ELSE reach END ELSE nx END AS ex, CASE WHEN valid_spatial AND reach < 0.01 THEN ny + 0.1 * (ny - y) / CASE WHEN reach = 0 THEN 1 ELSE reach END ELSE ny END AS ey FROM en)
+    SELECT be.addr_pfi, be.pfi AS road_pfi, test_order AS rule_rank, code AS rule_code, score AS rule_score, valid_attr, valid_spatial, ad.rnid AS addr_rnid, road_rnid, ad.locality AS addr_locality_name, ad.locality AS road_locality_name, 'N500' AS addr_soundex,
+        CASE WHEN rn.name LIKE 'OTHER%' THEN 'O360' WHEN rn.name = 'UNNAMED' THEN 'U553' ELSE 'N500' END AS road_soundex, intersects, coalesce(side, '') AS side_of_road, round(dist, 5) AS dist_from_road, round(along, 5) AS dist_along_road,
+        printf('LINESTRING (%.3f %.3f, %.3f %.3f)', ex.x, ex.y, ex, ey) AS geometry, crossed
+    FROM be JOIN ad ON ad.addr_pfi = be.addr_pfi JOIN ex ON ex.addr_pfi = be.addr_pfi LEFT JOIN sd ON sd.addr_pfi = be.addr_pfi LEFT JOIN (SELECT pfi, CAST(rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0' AS txt, name FROM na) rn ON rn.pfi = be.pfi AND rn.txt = be.txt""")
 def rule_cascade(spark: SparkSession, sf: str) -> DataFrame:
     a = p.read(spark, sf, _ADDR).withColumn("soundex", k.soundex(F.col("name")))
     names = p.read(spark, sf, _NAMES).withColumn("soundex", k.soundex(F.col("name")))
