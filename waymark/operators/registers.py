@@ -49,21 +49,22 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "objectid", start
     return dealt.join(F.broadcast(before), "__part").withColumn(name, (nth + F.col("__before") + start).cast("long")).drop("__part", "__before")
 
 
-def register(current: DataFrame, batch: DataFrame, key: Sequence[str], id_col: str, null_keys: bool = False) -> DataFrame:
+def register(current: DataFrame, batch: DataFrame, key: Sequence[str], id_col: str, null_keys: bool = False, tags: Sequence[str] = ()) -> DataFrame:
     """W-4: the register with the new keys of ``batch`` appended under the next ids.
 
     Keys are compared null-safely. ``null_keys``: whether keys with a null are
     inserted (the left-join form) or never (the NOT IN form). A batch that was
-    registered before adds nothing. Of rows that share a new key one counts.
+    registered before adds nothing. Of rows that share a new key one counts. ``tags``: further columns of the
+    register, such as the source and its key, which the first row in their order gives.
     """
-    fresh = batch.select(*key).distinct()
+    fresh = batch.select(*key).distinct() if not tags else batch.groupBy(*key).agg(F.min(F.struct(*tags)).alias("__t")).select(*key, "__t.*")
     if not null_keys:
         fresh = fresh.dropna(subset=list(key))
     c, f = current.alias("c"), fresh.alias("f")
     same = [F.col(f"f.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key]
     new = f.join(c, same, "left_anti")
     last = current.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).first()[0]
-    return current.select(id_col, *key).unionByName(dense_ids(new, key, id_col, last).select(id_col, *key))
+    return current.select(id_col, *key, *tags).unionByName(dense_ids(new, key, id_col, last).select(id_col, *key, *tags))
 
 
 def update_from(df: DataFrame, source: DataFrame, on: Sequence[str], columns: Sequence[str], keep: bool = True) -> DataFrame:

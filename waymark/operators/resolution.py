@@ -17,6 +17,20 @@ from ..functions.keys import address_string, apartment, house_number, is_numeric
 KEY = ("st_num", "road_name", "road_type", "road_suffix", "locality_name")
 
 
+#: What the codes of exclusion stand for.
+EXCLUSION_TEXT = {
+    "CLASS_M": "ADDRESS CLASS IS M", "AR_L50": "ADDRESS ROAD SCORE IS LESS THAN 50", "NO_NUM": "ADDRESS CLASS S HAS NO NUM", "NO_PROPPFI": "ADDRESS HAS NO MATCHING PROPERTY PFI",
+    "PREFIX_NOT_NUM": "HOUSE_PREFIX_1 IS NOT A NUMBER", "PAPER": "ADDRESS FEATURE_QUALITY IS PAPER_ROAD_ONLY", "DUPLICATE": "ADDRESS HAS DUPLICATES",
+}
+
+
+def described(excluded: DataFrame, dups: DataFrame | None = None) -> DataFrame:
+    """R-4: the excluded addresses with a row for each that has duplicates, and what each code stands for (pfi, rule_code, rule_desc)."""
+    rows = excluded if dups is None else excluded.union(dups.select("pfi", F.lit("DUPLICATE")))
+    text = F.create_map(*[F.lit(x) for pair in EXCLUSION_TEXT.items() for x in pair])
+    return rows.select("pfi", "rule_code", text[F.col("rule_code")].alias("rule_desc"))
+
+
 def exclusions(addresses: DataFrame, manual: DataFrame | None = None, second_source: bool = False) -> DataFrame:
     """R-4: (pfi, rule_code), one row per rule that excludes an address.
 

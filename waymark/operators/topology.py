@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 from operator import or_
 
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import turn_angle
 from ..functions.keys import UNNAMED_ID
+from ..sources.files import scratch
 
 #: A walk takes steps 0 to LAST_STEP.
 LAST_STEP = 51
@@ -18,11 +18,15 @@ STRIDE = 13
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the session's ``spark.checkpoint.dir``; a local folder only where it is unset, as in tests."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-"))
-    return df.checkpoint(eager=True)
+    """Cut the lineage in the session's ``spark.checkpoint.dir``.
+
+    A checkpoint keeps the estimated size of its plan, and that of a join is the product of both sides, so
+    that a loop's would grow to numbers of millions of digits; the rows are given as a plain scan.
+    """
+    spark = df.sparkSession
+    scratch(spark)
+    plan = df.checkpoint(eager=True)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(plan.queryExecution().toRdd(), plan.schema(), False), spark)
 
 
 def incidence(roads: DataFrame) -> DataFrame:
@@ -173,6 +177,8 @@ def component_labels(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     root = links.groupBy("u").agg(F.min("v").alias("c"))
     return alone.join(root, "u", "left").select(F.col("u").alias("node"), F.coalesce("c", "u").alias("component"))
 

@@ -79,7 +79,7 @@ def resolve_addresses(
     reg = registers.register(register, new, ["address_string"], "mslink", null_keys=second_source)
     final = ranging.road_ranging(roads, facts, valid.withColumnRenamed("pfi", "addr_pfi"), patches, geocoded=geocoded)
     flips = ranging.road_flip(final, facts.join(valid.withColumnRenamed("pfi", "addr_pfi"), "addr_pfi", "left_semi"), cross)
-    return Resolution(excluded, dups, one, two, valid, reg, final, flips)
+    return Resolution(resolution.described(excluded, dups), dups, one, two, valid, reg, final, flips)
 
 
 def locality_attributes(edges: DataFrame, names: DataFrame, nodes: DataFrame, size: float) -> DataFrame:

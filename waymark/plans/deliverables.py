@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import keys as k
-from ..operators import ranging, registers, roadnames, topology
+from ..operators import ranging, registers, resolution, roadnames, topology
 from ..sources import files
 from . import chains, outputs
 from . import proxies as p
-from .catalog import _CR, _RANGED, _SIDES, _TYPE, CELL, A, _component_sql, _pip_sql, cte, query, soundex_sql
+from .catalog import _CR, _EX, _SIDES, _TYPE, CELL, A, _component_sql, _excluded, _pip_sql, cte, query, soundex_sql
 
 _ST = "coalesce(house_prefix_1, '') || CAST(house_number_1 AS STRING) || coalesce(house_suffix_1, '')"
 _KEY = f"locality_name || '_' || road_name || '_' || road_type || '_' || coalesce(road_suffix, '') || '_' || ({_ST}) || '_'"
@@ -101,6 +101,25 @@ def road_ranging_second_source(spark: SparkSession, sf: str) -> DataFrame:
     return ranging.road_ranging(roads, p.read(spark, sf, p.RANGE_ADDRESS).withColumn("geocode_source", source), geocoded="ADDRESS")
 
 
+_TEXTS = ", ".join(f"('{c}', '{t}')" for c, t in resolution.EXCLUSION_TEXT.items())
+
+
+@query(f"WITH {A}, ex AS ({_EX} UNION ALL SELECT pfi, 'DUPLICATE' FROM (SELECT pfi, count(*) OVER (PARTITION BY road_name, road_type, locality_name) AS n FROM a) d WHERE n > 1) SELECT pfi, ex.rule_code, rule_desc FROM ex LEFT JOIN (VALUES {_TEXTS}) v(rule_code, rule_desc) ON v.rule_code = ex.rule_code")
+def exclusion_texts(spark: SparkSession, sf: str) -> DataFrame:
+    dups = resolution.duplicates(p.read(spark, sf, p.ADDRESS), ["road_name", "road_type", "locality_name"])
+    return resolution.described(_excluded(spark, sf), dups)
+
+
+@query("""WITH reg AS (SELECT row_number() OVER (ORDER BY name) AS mslink, name, 'old' AS source_dataset, CAST(NULL AS BIGINT) AS source_pk FROM (SELECT DISTINCT p_type AS name FROM part WHERE p_size < 10) d)
+    SELECT * FROM reg UNION ALL SELECT (SELECT max(mslink) FROM reg) + row_number() OVER (ORDER BY name), name, 'parts', pk FROM (SELECT p_name AS name, min(p_partkey) AS pk FROM part GROUP BY 1) n WHERE name NOT IN (SELECT name FROM reg)""")
+def register_with_source(spark: SparkSession, sf: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    old = registers.dense_ids(part.where("p_size < 10").select(F.col("p_type").alias("name")).distinct(), ["name"], "mslink")
+    old = old.withColumns({"source_dataset": F.lit("old"), "source_pk": F.lit(None).cast("long")})
+    batch = part.select(F.col("p_name").alias("name"), F.lit("parts").alias("source_dataset"), F.col("p_partkey").alias("source_pk"))
+    return registers.register(old, batch, ["name"], "mslink", tags=["source_dataset", "source_pk"])
+
+
 # --- names, roads, networks ------------------------------------------------------------------------
 
 

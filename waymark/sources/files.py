@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import time
@@ -56,10 +57,16 @@ def read_psv(spark: SparkSession, paths: Sequence[str], schema: str, key: Sequen
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder that all executors share: the session's ``spark.checkpoint.dir``, a local one only where it is unset."""
+    """A folder that all executors share: the session's ``spark.checkpoint.dir``.
+
+    Where it is unset a local one is made, but only if all runs in one process; a cluster must name one.
+    """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="waymark-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
