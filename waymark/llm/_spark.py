@@ -11,6 +11,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.topology import checkpoint
+from ..sources.files import scratch
+
 
 _shipped: set[str] = set()
 
@@ -34,27 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where the session names none (tests) is a local one set."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-"))
-    return context._jsc.sc().getCheckpointDir().get()
+    """The folder of ``spark.checkpoint.dir``; a local one only where the session names none and all runs in one process."""
+    return scratch(spark)
 
 
 #: Spark's own setting to remove the shuffle files of an execution when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _without_estimates(df: DataFrame) -> DataFrame:
-    """The same checkpointed rows as a plain scan.
-
-    A checkpoint keeps the estimated size of its plan, and that of a join is the
-    product of both sides: over some rounds it becomes a number of millions of digits.
-    """
-    spark, plan = df.sparkSession, df._jdf
-    return DataFrame(spark._jsparkSession.internalCreateDataFrame(plan.queryExecution().toRdd(), plan.schema(), False), spark)
-
-
 def cut(df: DataFrame, narrow: bool = False, free: bool = False, again: bool = False) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
 
@@ -70,7 +60,7 @@ def cut(df: DataFrame, narrow: bool = False, free: bool = False, again: bool = F
     if narrow:
         df = df.hint("rebalance")
     if again:
-        return _without_estimates(df.checkpoint(eager=True))
+        return checkpoint(df)
     if not free:
         return df.checkpoint(eager=True)
     conf = df.sparkSession.conf
@@ -136,3 +126,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -76,20 +76,20 @@ def measure(c: _scan.Chunk) -> np.ndarray:
 
 @dataclass
 class Discriminant:
-    """Two Gaussians: means, Cholesky factors of their covariances, half log determinants and log shares."""
+    """Two Gaussians: means, inverses of the Cholesky factors of their covariances (solved once, when fitted), half log determinants and log shares."""
 
     centre: np.ndarray
     scale: np.ndarray
     mean: np.ndarray
-    factor: np.ndarray
+    whiten: np.ndarray
     offset: np.ndarray
     temper: float
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.centre) / self.scale, -12, 12)
         density = []
-        for m, f, o in zip(self.mean, self.factor, self.offset, strict=True):
-            d = np.linalg.solve(f, (z - m).T)
+        for m, w, o in zip(self.mean, self.whiten, self.offset, strict=True):
+            d = w @ (z - m).T
             density.append(o - 0.5 * (d * d).sum(0))
         return 1 / (1 + np.exp(-np.clip(self.temper * (density[1] - density[0]), -60, 60)))
 
@@ -108,7 +108,7 @@ def fit(x: np.ndarray, y: np.ndarray, pooled: float = 0.3, ridge: float = 0.02,
         cov = (1 - pooled) * cov + pooled * both
         factors.append(np.linalg.cholesky((1 - ridge) * cov + ridge * max(np.trace(cov) / len(cov), 1e-3) * np.eye(len(cov))))
     offset = np.array([-np.log(np.diag(f)).sum() + np.log(c / counts.sum()) for f, c in zip(factors, counts, strict=True)])
-    return Discriminant(centre, scale, np.stack([z[y == k].mean(0) for k in (0, 1)]), np.stack(factors), offset, temper)
+    return Discriminant(centre, scale, np.stack([z[y == k].mean(0) for k in (0, 1)]), np.stack([np.linalg.solve(f, np.eye(len(f))) for f in factors]), offset, temper)
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD, sample: int = _learn.SAMPLE) -> DataFrame:
