@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .topology import checkpoint
+
 
 def without(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """J-4: rows of ``df`` without a partner; a null key has none, so its row stays."""
@@ -22,9 +24,9 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     """
     keys = other.select(F.col(other_column).alias("__k"))
     facts = keys.agg(F.count(F.lit(1)).alias("__n"), F.count("__k").alias("__known"))
-    kept = df.join(keys.where("__k is not null").distinct(), F.col(column) == F.col("__k"), "left_anti")
-    ok = (F.col("__n") == F.col("__known")) & (F.col(column).isNotNull() | (F.col("__n") == 0))
-    return kept.join(F.broadcast(facts), ok).drop("__n", "__known")  # one row
+    kept = df.where(F.col(column).isNotNull()).join(keys.where("__k is not null").distinct(), F.col(column) == F.col("__k"), "left_anti")
+    whole, empty = F.broadcast(facts.where("__n = __known")), F.broadcast(facts.where("__n = 0"))  # one row each at most
+    return kept.join(whole).union(df.where(F.col(column).isNull()).join(empty)).drop("__n", "__known")  # rows without a key don't shuffle
 
 
 def within(df: DataFrame, column: str, *others: DataFrame) -> DataFrame:
@@ -42,7 +44,8 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "objectid", start
     and shifted by the number of rows in the ranges before it.
     """
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()).persist()
+    dealt = df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id())
+    dealt = checkpoint(dealt)  # the ranges stay as they are if a task is repeated
     count = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = count.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # one row per partition
     nth = F.row_number().over(Window.partitionBy("__part").orderBy(*order))

@@ -77,7 +77,7 @@ def resolve_phase_1(dups: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     count = {k: F.count(F.when(t, 1)).over(group) for k, t in test.items()}
     top = {k: F.first(F.when(t, F.col("pfi")), ignorenulls=True).over(ranked) for k, t in test.items()}
     first = F.first("pfi").over(ranked)
-    one = lambda *c: F.size(F.collect_set(F.struct(*c)).over(group)) == 1  # noqa: E731  a struct keeps nulls as values
+    one = lambda *c: F.min(F.struct(*c)).over(group) == F.max(F.struct(*c)).over(group)  # noqa: E731  a struct keeps nulls as values
     rules = [
         ("IS_PRIMARY", count["primary"] == 1, top["primary"]), ("BASE_PROP", count["base"] == 1, top["base"]), ("APPROVED", count["approved"] == 1, top["approved"]),
         ("BASE_ADD", count["plain"] == 1, top["plain"]), ("SAME_POINT", one("x", "y"), first),
@@ -132,21 +132,37 @@ def resolve_phase_2(dups: DataFrame, near: DataFrame, key: Sequence[str] = KEY)
     return rows.select("pfi", winner.alias("resolution_pfi"), F.col("__code").alias("resolution_code"), F.col("__road").alias("road_pfi"))
 
 
+def _marked(**marks: DataFrame) -> DataFrame:
+    """Each id of the given one-column tables once, with a flag per table that holds it; nulls are one id. One shuffle."""
+    rows = None
+    for name, ids in marks.items():
+        some = ids.select(F.col(ids.columns[0]).alias("pfi"), *[F.lit(name == other).alias(other) for other in marks])
+        rows = some if rows is None else rows.union(some)
+    return rows.groupBy("pfi").agg(*[F.max(name).alias(name) for name in marks])
+
+
+def _resolved(phase_1: DataFrame) -> DataFrame:
+    return phase_1.where("resolution_code <> 'UNRESOLVED'").select("resolution_pfi")
+
+
 def validated_phase_1(addresses: DataFrame, excluded: DataFrame, duplicate: DataFrame, resolved: DataFrame) -> DataFrame:
     """R-8, U-3: addresses - ((excluded + duplicate) - phase 1 winners), each id once."""
-    won = resolved.where("resolution_code <> 'UNRESOLVED'").select("resolution_pfi")
-    out = excluded.select("pfi").union(duplicate.select("pfi")).distinct().subtract(won)
-    return addresses.select("pfi").subtract(out)
+    ids = _marked(address=addresses.select("pfi"), out=excluded.select("pfi").union(duplicate.select("pfi")), won=_resolved(resolved))
+    return ids.where("address and (won or not out)").select("pfi")
 
 
 def validated_phase_2(addresses: DataFrame, excluded: DataFrame, duplicate: DataFrame, phase_1: DataFrame, phase_2: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """R-8: as phase 1, less the winners of both phases; overrides that are addresses come back."""
-    out = excluded.select("pfi").union(duplicate.select("pfi")).distinct()
-    out = out.subtract(phase_1.select("resolution_pfi")).subtract(phase_2.select("resolution_pfi"))
-    valid = addresses.select("pfi").subtract(out)
-    if overrides is not None:
-        valid = valid.union(addresses.select("pfi").join(overrides.select(F.col("override_pfi").alias("pfi")).distinct(), "pfi", "left_semi")).distinct()
-    return valid
+    return validated(addresses, excluded, duplicate, phase_1, phase_2, overrides).where("phase = 2").select("pfi")
+
+
+def validated(addresses: DataFrame, excluded: DataFrame, duplicate: DataFrame, phase_1: DataFrame, phase_2: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+    """R-8: (phase, pfi) for both phases from one grouping of all ids with flags, each id once a phase."""
+    back = addresses.select("pfi").limit(0) if overrides is None else overrides.select("override_pfi").where("override_pfi is not null")
+    out = excluded.select("pfi").union(duplicate.select("pfi"))
+    ids = _marked(address=addresses.select("pfi"), out=out, won_1=_resolved(phase_1), won_2=phase_1.select("resolution_pfi").union(phase_2.select("resolution_pfi")), back=back)
+    phases = F.array(F.when(F.expr("won_1 or not out"), 1), F.when(F.expr("won_2 or back or not out"), 2))
+    return ids.where("address").select(F.explode(F.filter(phases, lambda p: p.isNotNull())).alias("phase"), "pfi")
 
 
 def components(addresses: DataFrame, second_source: bool = False) -> DataFrame:

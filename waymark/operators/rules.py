@@ -81,15 +81,59 @@ def match_addresses(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, r
     found a road, the one that fitted, else the last one tried, with its last alias. Crossings
     are counted where the attributes fit, the side of the road where both tests pass, and
     there a connector shorter than a centimetre is drawn out.
+
+    The rules are taken in tiers: a new one begins where a rule reaches farther than all before it, and only
+    the addresses that no rule has accepted go on, so that few meet the roads within the longest distances.
     """
-    facts = rules.agg(F.max("max_distance").alias("reach"), F.count(F.lit(1)).alias("n")).first()
-    reach = facts["reach"]
-    if reach is None or facts["n"] > MOST_RULES:  # the rules are broadcast
-        raise ValueError(f"1 to {MOST_RULES} rules are needed, not {facts['n']}")
+    table = rules.select(*[x.split()[0] for x in RULE_SCHEMA.split(", ")]).orderBy("test_order", "code").limit(MOST_RULES + 1).collect()
+    if all(r["max_distance"] is None for r in table) or len(table) > MOST_RULES:  # the rules are broadcast
+        raise ValueError(f"1 to {MOST_RULES} rules with a distance are needed")
     nameless = aliases.where(F.col("name").isin(*NAMELESS)).select("pfi").distinct()
-    named = segs.join(nameless, "pfi", "left_anti")
-    near = distance_join(addresses, named, float(reach), "addr_pfi").join(addresses.drop("x", "y"), "addr_pfi")
+    named = checkpoint(segs.join(nameless, "pfi", "left_anti"))
     local = in_locality.select("pfi", "locality", F.lit(True).alias("inside")).distinct()
+    left, best = addresses, None
+    for tier, reach in _tiers(table):
+        some = addresses.sparkSession.createDataFrame(tier, RULE_SCHEMA)
+        found = checkpoint(_attempts(left, segs, named, aliases, some, local, float(reach)))
+        best = found if best is None else best.union(found)
+        left = left.join(found.where("valid_spatial").select("addr_pfi"), "addr_pfi", "left_anti")
+    spot = addresses.select("addr_pfi", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("rnid").alias("addr_rnid"), F.col("locality").alias("addr_locality_name"), F.col("soundex").alias("addr_soundex"))
+    best = checkpoint(_decided(best).join(spot, "addr_pfi"))
+    side = sides(best.where("valid_spatial").select("addr_pfi", "pfi", F.col("x0").alias("x"), F.col("y0").alias("y"), "along"), segs, "addr_pfi").select("addr_pfi", "side")
+    far = extend_short(*(F.col(c) for c in ("x0", "y0", "nx", "ny")))
+    end = [F.when(F.col("valid_spatial"), e).otherwise(F.col(c)) for e, c in zip(far, ("nx", "ny"), strict=True)]
+    return best.join(side, "addr_pfi", "left").select(
+        "addr_pfi", F.col("pfi").alias("road_pfi"), F.col("test_order").alias("rule_rank"), F.col("code").alias("rule_code"), F.col("score").alias("rule_score"), "valid_attr", "valid_spatial",
+        "addr_rnid", F.col("t_rnid").alias("road_rnid"), "addr_locality_name", F.col("addr_locality_name").alias("road_locality_name"), "addr_soundex", F.col("t_soundex").alias("road_soundex"),
+        "intersects", F.coalesce("side", F.lit("")).alias("side_of_road"), F.col("dist").alias("dist_from_road"), F.col("along").alias("dist_along_road"),
+        F.format_string("LINESTRING (%.3f %.3f, %.3f %.3f)", "x0", "y0", *end).alias("geometry"), "crossed",
+    )
+
+
+def _tiers(table: list) -> list[tuple[list, int]]:
+    """The rules, in order, cut where one reaches farther than all before it: (rules, farthest distance so far)."""
+    out, reach = [], None
+    for rule in table:
+        d = rule["max_distance"]
+        if reach is None or (d is not None and d > reach):
+            reach = d if d is not None else reach
+            out.append(([], reach))
+        out[-1][0].append(rule)
+    return [(tier, d) for tier, d in out if d is not None]
+
+
+ATTEMPT = ("test_order", "code", "score", "valid_attr", "valid_spatial", "pfi", "t_rnid", "t_soundex", "dist", "along", "nx", "ny", "intersects", "crossed")
+
+
+def _decided(rows: DataFrame) -> DataFrame:
+    """One attempt per address: the first that is valid, else the last."""
+    row = F.struct(*ATTEMPT)
+    return rows.groupBy("addr_pfi").agg(F.coalesce(F.min(F.when(F.col("valid_spatial"), row)), F.max(row)).alias("b")).select("addr_pfi", "b.*")
+
+
+def _attempts(addresses: DataFrame, segs: DataFrame, named: DataFrame, aliases: DataFrame, rules: DataFrame, local: DataFrame, reach: float) -> DataFrame:
+    """The decided attempt (``ATTEMPT``) of each address under some of the rules, none of which reaches beyond ``reach``."""
+    near = distance_join(addresses, named, reach, "addr_pfi").join(addresses.drop("x", "y"), "addr_pfi")
     near = near.join(local, ["pfi", "locality"], "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
     tries = near.join(F.broadcast(rules), F.col("dist") <= F.col("max_distance")).where("inside or code = 'F_N' or locality = 'UNKNOWN'")
     # the ring of a road: rings end at 250, 500, ... and at the rule's distance
@@ -105,24 +149,13 @@ def match_addresses(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, r
     tried = tries.join(road, "pfi").withColumn("fits", F.coalesce(fits, F.lit(False))).groupBy("addr_pfi", *rule).agg(
         F.min(F.when(F.col("fits"), attempt)).alias("first"), F.max(F.when(~F.col("fits"), attempt)).alias("last")
     )
-    spot = addresses.select("addr_pfi", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("rnid").alias("addr_rnid"), F.col("locality").alias("addr_locality_name"), F.col("soundex").alias("addr_soundex"))
     chosen = tried.select("addr_pfi", *rule, F.col("first").isNotNull().alias("valid_attr"), F.coalesce("first", "last").alias("f")).select("addr_pfi", *rule, "valid_attr", "f.*")
-    links = chosen.where("valid_attr").select("addr_pfi", "pfi", "nx", "ny").distinct().join(spot.select("addr_pfi", F.col("x0").alias("x"), F.col("y0").alias("y")), "addr_pfi")
+    chosen = checkpoint(chosen)  # read twice
+    links = chosen.where("valid_attr").select("addr_pfi", "pfi", "nx", "ny").distinct().join(addresses.select("addr_pfi", "x", "y"), "addr_pfi")
     main = aliases.groupBy("pfi").agg(F.min_by("name", F.concat_ws(",", "rnid", "alias_number", "route_flag")).alias("road_name"))
-    crossed = weighted_crossings(crossings(links, segs, ["addr_pfi", "pfi"], float(RING), own="pfi"), main, ["addr_pfi", "pfi"])
+    crossed = weighted_crossings(crossings(links, segs, ["addr_pfi", "pfi"], own="pfi"), main, ["addr_pfi", "pfi"])
     crossed = crossed.withColumn("valid_attr", F.lit(True))
     rows = chosen.join(crossed, ["addr_pfi", "pfi", "valid_attr"], "left").withColumns({"crossed": F.coalesce("crossed", F.lit(0)), "intersects": F.coalesce("intersects", F.lit(0))})
     ok = spatial_match(F.col("code"), F.col("match_spatial"), F.col("dist"), F.col("crossed"), F.col("max_distance"), F.col("max_intersects"))
     rows = rows.withColumn("valid_spatial", F.col("valid_attr") & F.coalesce(ok, F.lit(False)))
-    row = F.struct("test_order", "code", "score", "valid_attr", "valid_spatial", "pfi", "t_rnid", "t_soundex", "dist", "along", "nx", "ny", "intersects", "crossed")
-    best = rows.groupBy("addr_pfi").agg(F.coalesce(F.min(F.when(F.col("valid_spatial"), row)), F.max(row)).alias("b")).select("addr_pfi", "b.*").join(spot, "addr_pfi")
-    best = checkpoint(best)
-    side = sides(best.where("valid_spatial").select("addr_pfi", "pfi", F.col("x0").alias("x"), F.col("y0").alias("y"), "along"), segs, "addr_pfi").select("addr_pfi", "side")
-    far = extend_short(*(F.col(c) for c in ("x0", "y0", "nx", "ny")))
-    end = [F.when(F.col("valid_spatial"), e).otherwise(F.col(c)) for e, c in zip(far, ("nx", "ny"), strict=True)]
-    return best.join(side, "addr_pfi", "left").select(
-        "addr_pfi", F.col("pfi").alias("road_pfi"), F.col("test_order").alias("rule_rank"), F.col("code").alias("rule_code"), F.col("score").alias("rule_score"), "valid_attr", "valid_spatial",
-        "addr_rnid", F.col("t_rnid").alias("road_rnid"), "addr_locality_name", F.col("addr_locality_name").alias("road_locality_name"), "addr_soundex", F.col("t_soundex").alias("road_soundex"),
-        "intersects", F.coalesce("side", F.lit("")).alias("side_of_road"), F.col("dist").alias("dist_from_road"), F.col("along").alias("dist_along_road"),
-        F.format_string("LINESTRING (%.3f %.3f, %.3f %.3f)", "x0", "y0", *end).alias("geometry"), "crossed",
-    )
+    return _decided(rows)

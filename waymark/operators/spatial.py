@@ -144,13 +144,35 @@ def nearest_contained(nodes: DataFrame, edges: DataFrame, centres: DataFrame, po
     return inside.groupBy(polygon_key).agg(F.min(F.struct(d2.alias("d2"), node_key)).alias("b")).select(polygon_key, F.col(f"b.{node_key}").alias(node_key))
 
 
-def crossings(connectors: DataFrame, segs: DataFrame, key: list[str], size: float, line_key: str = "pfi", own: str | None = None) -> DataFrame:
+def along_cells(df: DataFrame, size: float, x1: Column, y1: Column, x2: Column, y2: Column) -> DataFrame:
+    """One row per grid cell that a straight line passes: cx, cy.
+
+    In each column of cells the line is cut to the column's width, a little widened against
+    rounding, so its cells are those of a strip and not of its whole bounding box.
+    """
+    out = df.withColumn("cx", F.explode(F.sequence(cell(F.least(x1, x2), size), cell(F.greatest(x1, x2), size))))
+    slack = (F.abs(x1) + F.abs(x2) + F.abs(y1) + F.abs(y2) + size) * 1e-9
+    at = lambda x: y1 + F.least(F.greatest((x - x1) / F.nullif(x2 - x1, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * (y2 - y1)
+    steep = F.abs(x2 - x1) <= slack  # its whole height, as in one column
+    ends = [F.when(steep, y).otherwise(at(x)) for x, y in ((F.col("cx") * size - slack, y1), ((F.col("cx") + 1) * size + slack, y2))]
+    return out.withColumn("cy", F.explode(F.sequence(cell(F.least(*ends) - slack, size), cell(F.greatest(*ends) + slack, size))))
+
+
+def mean_length(segs: DataFrame) -> float:
+    """The mean length of the segments, or 1 where there is none: the size of cells in which a segment passes two or three."""
+    return segs.agg(F.avg(g.distance(*(F.col(c) for c in ("x1", "y1", "x2", "y2")))).alias("v")).first()["v"] or 1.0
+
+
+def crossings(connectors: DataFrame, segs: DataFrame, key: list[str], size: float | None = None, line_key: str = "pfi", own: str | None = None) -> DataFrame:
     """J-17: (key, line_key) of the lines that properly cross each connector (key, x, y, nx, ny), ``own`` line excluded.
 
-    Both sides are exploded over cells, so a pair may meet in several; the result is distinct.
+    Both sides take the cells that they pass; ``size`` is the segments' mean length unless given, so cells are
+    finer where roads are denser. A line may cross by several segments, and in a shared cell; the result is distinct,
+    over true crossings only.
     """
-    c = over_cells(connectors, size, F.least("x", "nx"), F.least("y", "ny"), F.greatest("x", "nx"), F.greatest("y", "ny"))
-    s = over_cells(segs.select(F.col(line_key).alias("__line"), "x1", "y1", "x2", "y2"), size, F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2"))
+    size = size or mean_length(segs)
+    c = along_cells(connectors, size, *(F.col(k) for k in ("x", "y", "nx", "ny")))
+    s = along_cells(segs.select(F.col(line_key).alias("__line"), "x1", "y1", "x2", "y2"), size, *(F.col(k) for k in ("x1", "y1", "x2", "y2")))
     hit = segments_cross(tuple(F.col(k) for k in ("x", "y", "nx", "ny")), tuple(F.col(k) for k in ("x1", "y1", "x2", "y2")))
     if own:
         hit = hit & (F.col(own) != F.col("__line"))

@@ -14,7 +14,6 @@ from ..sources.files import scratch
 
 #: A walk takes steps 0 to LAST_STEP.
 LAST_STEP = 51
-STRIDE = 13
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -91,8 +90,9 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
     per (road, node) its degree, its successor, and its usable candidates in order
     with their names, of which the walk takes the first without the base road's.
     Roads at a node are few, so these arrays are short. A walk is one row with
-    its trail so far; after every ``STRIDE`` steps the rows are checkpointed,
-    those that ended leave, and it is over when none is left.
+    its trail so far; after 1, 2, 4, ... further steps the rows are checkpointed,
+    those that ended leave, and it is over when none is left. Until then an ended walk keeps its
+    own road in the key, without a node, so it meets nothing and isn't heaped on one task with all others.
     """
     primary = _primary(aliases)
     place, who = ["traversal_pfi", "traversal_ufi"], ["pfi", "node_type"]
@@ -109,28 +109,28 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
     kind = roads.schema["pfi"].dataType.simpleString()
     leg = f"array<struct<step:int,traversal_pfi:{kind},traversal_ufi:{roads.schema['from_ufi'].dataType.simpleString()},conn_count:bigint,how:string,xstreet_pfi:{kind}>>"
     at = roads.select("pfi", "from_ufi", "to_ufi").join(primary, "pfi", "left").select(
-        "pfi", F.col("rnid").alias("base_rnid"), ends, F.array().cast(leg).alias("trail")
-    ).select("pfi", "base_rnid", "e.node_type", F.col("pfi").alias("traversal_pfi"), F.col("e.u").alias("traversal_ufi"), F.lit("BEGIN").alias("how"), "trail")
+        "pfi", F.col("rnid").alias("base_rnid"), ends, F.array().cast(leg).alias("trail"), F.lit(True).alias("alive")
+    ).select("pfi", "base_rnid", "e.node_type", F.col("pfi").alias("traversal_pfi"), F.col("e.u").alias("traversal_ufi"), F.lit("BEGIN").alias("how"), "trail", "alive")
     state = at.columns
     first = F.get(F.filter("cands", lambda c: ~F.coalesce(F.array_contains(c["names"], F.col("base_rnid")), F.lit(False))), F.lit(0))["xpfi"]
 
     def leg_of(step: int, how, x):
         return F.struct(F.lit(step).alias("step"), *place, F.coalesce("conn_count", F.lit(0)).cast("long").alias("conn_count"), how.alias("how"), x.cast(kind).alias("xstreet_pfi"))
 
-    out = None
-    for begin in range(0, last_step + 1, STRIDE):
-        for step in range(begin, min(begin + STRIDE, last_step + 1)):
+    out, begin = None, 0
+    while begin <= last_step:
+        for step in range(begin, min(2 * begin + 1, last_step + 1)):
             here = at.join(table, place, "left").withColumn("x", first)
             legs = F.filter(F.array(leg_of(step, F.col("how"), F.lit(None)), F.when(F.col("x").isNotNull(), leg_of(step, F.lit("XSTREET"), F.col("x")))), lambda v: v.isNotNull()).cast(leg)
-            on = F.col("traversal_pfi").isNotNull() & F.col("x").isNull()
+            on = F.col("alive") & F.col("x").isNull() & F.col("next_pfi").isNotNull()
             at = here.select(
-                "pfi", "base_rnid", "node_type", F.when(on, F.col("next_pfi")).alias("traversal_pfi"), F.when(on, F.col("next_ufi")).alias("traversal_ufi"), F.col("next_how").alias("how"),
-                F.when(F.col("traversal_pfi").isNotNull(), F.concat("trail", legs)).otherwise(F.col("trail")).alias("trail"),
+                "pfi", "base_rnid", "node_type", F.when(on, F.col("next_pfi")).otherwise(F.col("pfi")).alias("traversal_pfi"), F.when(on, F.col("next_ufi")).alias("traversal_ufi"), F.col("next_how").alias("how"),
+                F.when(F.col("alive"), F.concat("trail", legs)).otherwise(F.col("trail")).alias("trail"), on.alias("alive"),
             ).select(*state)
         done = checkpoint(at)
         rows = done.select(*who, F.explode("trail").alias("t")).select(*who, "t.*")
         out = rows if out is None else out.union(rows)
-        at = done.where("traversal_pfi is not null").withColumn("trail", F.array().cast(leg))
+        at, begin = done.where("alive").withColumn("trail", F.array().cast(leg)), 2 * begin + 1
         if at.isEmpty():
             break
     return out

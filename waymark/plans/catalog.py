@@ -363,9 +363,8 @@ def validated_ids(spark: SparkSession, sf: str) -> DataFrame:
     a, ex = p.read(spark, sf, p.ADDRESS), _excluded(spark, sf)
     dups = resolution.duplicates(p.read(spark, sf, _KEYED))
     one, two = resolution.resolve_phase_1(dups), _phase_2(spark, sf)
-    v1 = resolution.validated_phase_1(a, ex, dups, one).select(F.lit(1).alias("phase"), "pfi")
     overrides = a.where("road_name_id = 5").select(F.col("pfi").alias("override_pfi"))
-    return v1.union(resolution.validated_phase_2(a, ex, dups, one, two, overrides).select(F.lit(2).alias("phase"), "pfi"))
+    return resolution.validated(a, ex, dups, one, two, overrides)
 
 
 _ST = "coalesce(house_prefix_1, '') || CAST(house_number_1 AS STRING) || coalesce(house_suffix_1, '')"
@@ -574,7 +573,7 @@ def crossing_count(spark: SparkSession, sf: str) -> DataFrame:
     segs = p.read(spark, sf, p.SEGMENT)
     links = spatial.distance_join(p.read(spark, sf, p.POINT).withColumnRenamed("pfi", "addr_pfi"), segs, 250.0, "addr_pfi").join(p.read(spark, sf, p.POINT).withColumnRenamed("pfi", "addr_pfi"), "addr_pfi")
     names = segs.select("pfi", F.when(F.col("pfi") % 5 == 0, "UNNAMED").otherwise("NAMED").alias("road_name")).distinct()
-    return rules.weighted_crossings(spatial.crossings(links, segs, ["addr_pfi", "pfi"], 250.0, own="pfi"), names, ["addr_pfi", "pfi"])
+    return rules.weighted_crossings(spatial.crossings(links, segs, ["addr_pfi", "pfi"], own="pfi"), names, ["addr_pfi", "pfi"])
 
 
 _EPT = "SELECT pfi * 10 + seq * 2 AS k, pfi AS road, x1 AS x, y1 AS y FROM s UNION ALL SELECT pfi * 10 + seq * 2 + 1, pfi, x2, y2 FROM s"
