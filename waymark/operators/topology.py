@@ -14,6 +14,8 @@ from ..sources.files import scratch
 
 #: A walk takes steps 0 to LAST_STEP.
 LAST_STEP = 51
+#: Steps between two checkpoints at most: a plan of more joins takes longer to make than its rows.
+STRIDE = 8
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -90,7 +92,7 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
     per (road, node) its degree, its successor, and its usable candidates in order
     with their names, of which the walk takes the first without the base road's.
     Roads at a node are few, so these arrays are short. A walk is one row with
-    its trail so far; after 1, 2, 4, ... further steps the rows are checkpointed,
+    its trail so far; after 1, 2, 4, and then every ``STRIDE`` steps the rows are checkpointed,
     those that ended leave, and it is over when none is left. Until then an ended walk keeps its
     own road in the key, without a node, so it meets nothing and isn't heaped on one task with all others.
     """
@@ -119,7 +121,8 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
 
     out, begin = None, 0
     while begin <= last_step:
-        for step in range(begin, min(2 * begin + 1, last_step + 1)):
+        end = min(begin + min(begin + 1, STRIDE), last_step + 1)
+        for step in range(begin, end):
             here = at.join(table, place, "left").withColumn("x", first)
             legs = F.filter(F.array(leg_of(step, F.col("how"), F.lit(None)), F.when(F.col("x").isNotNull(), leg_of(step, F.lit("XSTREET"), F.col("x")))), lambda v: v.isNotNull()).cast(leg)
             on = F.col("alive") & F.col("x").isNull() & F.col("next_pfi").isNotNull()
@@ -130,7 +133,7 @@ def cross_street_walks(roads: DataFrame, turns: DataFrame, aliases: DataFrame, l
         done = checkpoint(at)
         rows = done.select(*who, F.explode("trail").alias("t")).select(*who, "t.*")
         out = rows if out is None else out.union(rows)
-        at, begin = done.where("alive").withColumn("trail", F.array().cast(leg)), 2 * begin + 1
+        at, begin = done.where("alive").withColumn("trail", F.array().cast(leg)), end
         if at.isEmpty():
             break
     return out
