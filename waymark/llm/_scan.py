@@ -175,3 +175,10 @@ def sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+def list_matrix(column: pa.Array, width: int) -> np.ndarray:
+    """The values of a list column, all lists of ``width`` values without nulls, as a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)

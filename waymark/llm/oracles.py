@@ -32,3 +32,25 @@ ORACLES["op2_pq_dedup"] = """
     SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
     FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
 """
+
+
+def _kmeans_sql(clusters: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Plain rounds over all pairs of vectors and centroids, one pair of statements a round."""
+    assign = """a{r} AS MATERIALIZED (SELECT vec_id, rn, x, arg_min(k, (d, k)) AS k, min(d) AS d FROM (
+        SELECT vec_id, rn, x, k, CAST(list_sum(list_transform(range(1, {dims1}), lambda i : (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT) AS d FROM v, c{r}) q GROUP BY vec_id, rn, x)"""
+    move = """c{n} AS MATERIALIZED (SELECT c{r}.k, coalesce(m.c, c{r}.c) AS c FROM c{r} LEFT JOIN (SELECT k, list(f ORDER BY i) AS c FROM (
+        SELECT k, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS f FROM (SELECT k, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM a{r}, range(1, {dims1}) AS u(i) GROUP BY k, i) t) w GROUP BY k) m ON m.k = c{r}.k)"""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(assign.format(r=r, dims1=dims + 1))
+        if r < rounds:
+            steps.append(move.format(r=r, n=r + 1, dims1=dims + 1))
+    return f"""WITH v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rn, list_transform(embedding, lambda e : CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+        WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e : e IS NOT NULL AND isfinite(e))) = {dims}),
+    c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INT) AS k, x AS c FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h, x LIMIT {clusters}) s),
+    {", ".join(steps)}
+    SELECT a.vec_id, a.k AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+        sha256(array_to_string(c.c, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON c.k = a.k"""
+
+
+ORACLES["op11_ball_kmeans"] = _kmeans_sql()

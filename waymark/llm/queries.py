@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, minhash_dedup, packing, pq_dedup, quality, substring_dedup, toxicity, url_filter
+from . import ball_kmeans, bpe, exact_dedup, fingerprints, language_id, minhash_dedup, packing, pq_dedup, quality, substring_dedup, toxicity, url_filter, whitening
 from ._spark import held_out, table
 
 
@@ -60,6 +60,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_words(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_kmeans.cluster(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors)).withColumnRenamed("id", "vec_id")
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_pq_dedup": op2_pq_dedup,
@@ -71,4 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_ball_kmeans": op11_ball_kmeans,
+    "op12_whitening": op12_whitening,
+    "op13_fingerprints": op13_fingerprints,
 }
