@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -269,3 +270,65 @@ def test_whole_address_chain(spark):
     assert sorted(r.pfi for r in out.validated.collect()) == sorted([won, "2", "3"])
     assert sorted((r.mslink, r.address_string) for r in out.register.collect()) == [(40, "L_R_ST__3_"), (41, "L_R_ST__1_"), (42, "L_R_ST__5_")]
     assert out.ranging.count() == 2 and out.flips.where("flip_status <> 0").count() == 0
+
+
+def on(p, a, b):
+    """Whether a point lies on a segment, in whole numbers."""
+    return (b[0] - a[0]) * (p[1] - a[1]) == (b[1] - a[1]) * (p[0] - a[0]) and min(a[0], b[0]) <= p[0] <= max(a[0], b[0]) and min(a[1], b[1]) <= p[1] <= max(a[1], b[1])
+
+
+def shared(a, b, c, d):
+    """What two segments share: nothing, one point as exact fractions, or a piece ('over')."""
+    u, v, w = (b[0] - a[0], b[1] - a[1]), (d[0] - c[0], d[1] - c[1]), (c[0] - a[0], c[1] - a[1])
+    k = u[0] * v[1] - u[1] * v[0]
+    if k:
+        t, s = Fraction(w[0] * v[1] - w[1] * v[0], k), Fraction(w[0] * u[1] - w[1] * u[0], k)
+        return (a[0] + t * u[0], a[1] + t * u[1]) if 0 <= t <= 1 and 0 <= s <= 1 else None
+    ends = {p for p in (a, b) if on(p, c, d)} | {p for p in (c, d) if on(p, a, b)}
+    return None if not ends else "over" if len(ends) > 1 else ends.pop()
+
+
+def relation(a, b):
+    """(meets, crosses) of two polylines by the definition."""
+    edge = lambda l: set() if l[0] == l[-1] else {l[0], l[-1]}  # noqa: E731, E741
+    bits = [x for p, q in zip(a, a[1:]) for r, s in zip(b, b[1:]) if (x := shared(p, q, r, s)) is not None]
+    return bool(bits), "over" not in bits and any(x not in edge(a) and x not in edge(b) for x in bits)
+
+
+def polyline(r, span):
+    while True:
+        pts = [(r.randrange(span), r.randrange(span)) for _ in range(r.randint(2, 4))]
+        pts += pts[:1] if r.random() < 0.2 and len(pts) > 2 else []
+        if all(p != q for p, q in zip(pts, pts[1:])):
+            return pts
+
+
+def rows_of(lines):
+    return [(i, n, *map(float, p), *map(float, q)) for i, l in enumerate(lines) for n, (p, q) in enumerate(zip(l, l[1:]))]
+
+
+@pytest.mark.parametrize(("seed", "size"), [(1, None), (2, 1.0), (3, 50.0)])
+def test_relations_of_lines_on_a_lattice(spark, seed, size):
+    r = random.Random(seed)
+    a, b = ([polyline(r, 6) for _ in range(45)] for _ in range(2))
+    df = lambda lines, key: spark.createDataFrame(rows_of(lines), f"{key} int, seq int, x1 double, y1 double, x2 double, y2 double")
+    got = {(x.a_pfi, x.b_pfi): x.crosses for x in spatial.line_relations(df(a, "a_pfi"), df(b, "b_pfi"), size).collect()}
+    want = {(i, j): relation(p, q) for i, p in enumerate(a) for j, q in enumerate(b)}
+    assert got == {k: c for k, (m, c) in want.items() if m}
+    assert 0 < sum(got.values()) < len(got)
+
+
+def test_crossings_at_inner_vertices(spark):
+    lines = [[(0, -5), (0, 0), (0, 5)], [(3, -1), (3, 1)], [(1, 0), (2, 0)], [(-1, 0), (-1, 4)], [(-3, -2), (-3, 2)]]
+    segs = frame(spark, rows_of(lines))
+    links = spark.createDataFrame([("a", 9, -3.0, 0.0, 2.5, 0.0), ("b", 0, -3.0, 1.0, 2.0, 1.0), ("c", 9, 0.0, 0.0, 0.0, 0.0)], "addr string, pfi int, x double, y double, nx double, ny double")
+    got = {(x.addr, x.cross_pfi) for x in spatial.crossings(links, segs, ["addr", "pfi"], own="pfi").collect()}
+    # through an inner vertex; not along a line, at the end of one, from a point on one, or without length
+    assert got == {("a", 0), ("b", 3)}
+
+
+@pytest.mark.parametrize("size", [2.0, 30.0])
+def test_lines_in_polygons_by_corners_and_edges(spark, polygons, size):
+    lines = [[(-5, -5), (15, 15)], [(-5, 0), (15, 0)], [(-4, 4), (4, -4)], [(-4, 3), (3, -4)], [(13, 3), (17, 7)], [(3, 3), (4, 4)], [(-1, 12), (30, 12)], [(12, 4), (18, 4)]]
+    got = {(x.pfi, x.polygon) for x in spatial.lines_in_polygons(frame(spark, rows_of(lines)), polygons, "polygon", size).collect()}
+    assert got == {(0, "a"), (0, "b"), (1, "a"), (1, "b"), (2, "a"), (5, "a"), (7, "b")}

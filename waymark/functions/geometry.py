@@ -7,6 +7,8 @@ ring edges. Everything stays inside generated code; nothing is a Python function
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,12 +44,55 @@ def orientation(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy:
 
 
 def segments_cross(a: tuple, b: tuple) -> Column:
-    """GE-12: whether two segments (x1, y1, x2, y2) cross at a point inside both; touching ends don't count."""
+    """Whether two segments (x1, y1, x2, y2) cross at a point inside both; touching ends don't count."""
     o1, o2 = orientation(*a, b[0], b[1]), orientation(*a, b[2], b[3])
     o3, o4 = orientation(*b, a[0], a[1]), orientation(*b, a[2], a[3])
     return (F.signum(o1) * F.signum(o2) < 0) & (F.signum(o3) * F.signum(o4) < 0)
 
 
+def within_box(x: Column, y: Column, s: tuple) -> Column:
+    return x.between(F.least(s[0], s[2]), F.greatest(s[0], s[2])) & y.between(F.least(s[1], s[3]), F.greatest(s[1], s[3]))
+
+
+def segments_meet(a: tuple, b: tuple) -> Column:
+    """GE-12: whether two segments (x1, y1, x2, y2) share any point: they cross, or an end of one lies on the other."""
+    return reduce(or_, [segments_cross(a, b), on_edge(b[0], b[1], *a), on_edge(b[2], b[3], *a), on_edge(a[0], a[1], *b), on_edge(a[2], a[3], *b)])
+
+
+def segments_overlap(a: tuple, b: tuple) -> Column:
+    """GE-12: whether two segments share a piece of positive length: all ends on one straight line, and spans that overlap by more than a point."""
+    straight = (orientation(*a, b[0], b[1]) == 0) & (orientation(*a, b[2], b[3]) == 0) & (orientation(*b, a[0], a[1]) == 0) & (orientation(*b, a[2], a[3]) == 0)
+    low = [F.greatest(F.least(a[i], a[i + 2]), F.least(b[i], b[i + 2])) for i in (0, 1)]
+    high = [F.least(F.greatest(a[i], a[i + 2]), F.greatest(b[i], b[i + 2])) for i in (0, 1)]
+    return straight & (low[0] <= high[0]) & (low[1] <= high[1]) & ((low[0] < high[0]) | (low[1] < high[1]))
+
+
+def interiors_meet(a: tuple, b: tuple, a_ends: tuple, b_ends: tuple) -> Column:
+    """GE-12: whether segments of two lines share a point that is inside both lines.
+
+    A line's interior is all of it but its two ends; a closed line has no ends, so inner vertices and the
+    corner where it closes belong to it. ``*_ends``: the first and the last point (x, y, x, y) of the line that a segment is of.
+    """
+
+    def end(x: Column, y: Column, ends: tuple) -> Column:
+        open_ = (ends[0] != ends[2]) | (ends[1] != ends[3])
+        return open_ & (((x == ends[0]) & (y == ends[1])) | ((x == ends[2]) & (y == ends[3])))
+
+    def inner(x: Column, y: Column) -> Column:
+        return ~end(x, y, a_ends) & ~end(x, y, b_ends)
+
+    touches = [on_edge(s[i], s[i + 1], *o) & inner(s[i], s[i + 1]) for s, o in ((a, b), (b, a)) for i in (0, 2)]
+    # where a line runs through an end of its own, that point is no interior one
+    at_end = [on_edge(e[i], e[i + 1], *a) & on_edge(e[i], e[i + 1], *b) & end(e[i], e[i + 1], e) for e in (a_ends, b_ends) for i in (0, 2)]
+    return (segments_cross(a, b) & ~reduce(or_, at_end)) | reduce(or_, touches)
+
+
+def with_ends(segs: DataFrame, line_key: str = "pfi") -> DataFrame:
+    """The segments with the first and last point of their line: fx, fy, lx, ly."""
+    w = Window.partitionBy(line_key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return segs.withColumns({"fx": F.first("x1").over(w), "fy": F.first("y1").over(w), "lx": F.last("x2").over(w), "ly": F.last("y2").over(w)})
+
+
 def fraction_along(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Where on a segment, 0 to 1, the nearest point to p lies."""
     dx, dy = x2 - x1, y2 - y1
@@ -150,7 +195,8 @@ def ray_hit(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column
 
 
 def on_edge(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    return (orientation(x1, y1, x2, y2, x, y) == 0) & x.between(F.least(x1, x2), F.greatest(x1, x2)) & y.between(F.least(y1, y2), F.greatest(y1, y2))
+    """Whether a point lies on a segment, ends included."""
+    return (orientation(x1, y1, x2, y2, x, y) == 0) & within_box(x, y, (x1, y1, x2, y2))
 
 
 def extend_short(x1: Column, y1: Column, x2: Column, y2: Column, shortest: float = 0.01, by: float = 0.1) -> tuple[Column, Column]:

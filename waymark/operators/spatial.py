@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from ..functions.geometry import disc_samples, fraction_along, on_edge, ray_hit, segment_distance2, segments_cross
+from ..functions.geometry import disc_samples, fraction_along, on_edge, ray_hit, segment_distance2
 from .topology import checkpoint
 
 UNKNOWN = "UNKNOWN"
@@ -163,30 +163,55 @@ def mean_length(segs: DataFrame) -> float:
     return segs.agg(F.avg(g.distance(*(F.col(c) for c in ("x1", "y1", "x2", "y2")))).alias("v")).first()["v"] or 1.0
 
 
+def line_relations(a: DataFrame, b: DataFrame, size: float | None = None, a_key: str = "a_pfi", b_key: str = "b_pfi", skip: Column | None = None) -> DataFrame:
+    """J-17, GE-12: (a_key, b_key, crosses, overlaps) of all pairs of lines that share a point.
+
+    ``a``, ``b``: segments (key, seq, x1, y1, x2, y2). Lines cross if their interiors share a point and no piece of positive
+    length; a shared end, or an end of one that lies inside the other, is a touch and no crossing. Segments of both
+    sides take the cells that they pass; in a shared cell each pair of segments is classed, and a pair of lines by all of its segments. ``size``
+    is the mean length of b's segments unless given, so that cells are finer where lines are denser. ``skip``: pairs to leave out.
+    """
+    size = size or mean_length(b)
+    coordinates, ends = ("x1", "y1", "x2", "y2"), ("fx", "fy", "lx", "ly")
+
+    def side(segs: DataFrame, key: str, tag: str) -> DataFrame:
+        own = segs if set(ends) <= set(segs.columns) else g.with_ends(segs.select(key, "seq", *coordinates), key)
+        own = along_cells(own.select(key, *coordinates, *ends), size, *(F.col(c) for c in coordinates))
+        return own.select("cx", "cy", key, *[F.col(c).alias(f"{tag}_{c}") for c in (*coordinates, *ends)])
+
+    met = side(a, a_key, "a").join(side(b, b_key, "b"), ["cx", "cy"])
+    if skip is not None:
+        met = met.where(~F.coalesce(skip, F.lit(False)))
+    s, o = (tuple(F.col(f"{t}_{c}") for c in coordinates) for t in "ab")
+    inner = g.interiors_meet(s, o, *(tuple(F.col(f"{t}_{c}") for c in ends) for t in "ab"))
+    pairs = met.where(g.segments_meet(s, o)).select(a_key, b_key, inner.alias("inner"), g.segments_overlap(s, o).alias("over"))
+    per = pairs.groupBy(a_key, b_key).agg(F.max("inner").alias("inner"), F.max("over").alias("overlaps"))
+    return per.select(a_key, b_key, (F.col("inner") & ~F.col("overlaps")).alias("crosses"), "overlaps")
+
+
 def crossings(connectors: DataFrame, segs: DataFrame, key: list[str], size: float | None = None, line_key: str = "pfi", own: str | None = None) -> DataFrame:
-    """J-17: (key, line_key) of the lines that properly cross each connector (key, x, y, nx, ny), ``own`` line excluded.
+    """J-17: (key, cross_pfi) of the lines that cross each connector (key, x, y, nx, ny), its ``own`` line excluded.
 
-    Both sides take the cells that they pass; ``size`` is the segments' mean length unless given, so cells are
-    finer where roads are denser. A line may cross by several segments, and in a shared cell; the result is distinct,
-    over true crossings only.
+    A connector is a straight line of its own, so lines that pass through one of its ends, end on it, or run along
+    it don't cross it; one that passes it at an inner vertex does. A connector without length has no interior and crosses nothing.
     """
-    size = size or mean_length(segs)
-    c = along_cells(connectors, size, *(F.col(k) for k in ("x", "y", "nx", "ny")))
-    s = along_cells(segs.select(F.col(line_key).alias("__line"), "x1", "y1", "x2", "y2"), size, *(F.col(k) for k in ("x1", "y1", "x2", "y2")))
-    hit = segments_cross(tuple(F.col(k) for k in ("x", "y", "nx", "ny")), tuple(F.col(k) for k in ("x1", "y1", "x2", "y2")))
-    if own:
-        hit = hit & (F.col(own) != F.col("__line"))
-    return c.join(s, ["cx", "cy"]).where(hit).select(*key, F.col("__line").alias("cross_pfi")).distinct()
+    straight = connectors.where((F.col("x") != F.col("nx")) | (F.col("y") != F.col("ny")))
+    a = straight.select(F.struct(*key).alias("__key"), *[F.col(c).alias(n) for c, names in zip(("x", "y", "nx", "ny"), (("x1", "fx"), ("y1", "fy"), ("x2", "lx"), ("y2", "ly")), strict=True) for n in names])
+    lines = segs.withColumnRenamed(line_key, "__line")
+    met = line_relations(a, lines, size, "__key", "__line", F.col(f"__key.{own}") == F.col("__line") if own else None)
+    return met.where("crosses").select(*[F.col(f"__key.{k}").alias(k) for k in key], F.col("__line").alias("cross_pfi"))
 
 
 def lines_in_polygons(segs: DataFrame, edges: DataFrame, polygon_key: str, size: float, line_key: str = "pfi") -> DataFrame:
-    """J-18: the distinct (line_key, polygon_key) with a line that meets a polygon: an end of a segment inside or on it, or a proper crossing."""
-    ends = segs.select(F.struct(F.col(line_key).alias("k"), F.col("seq").alias("s"), F.lit(0).alias("e")).alias("p"), F.col("x1").alias("x"), F.col("y1").alias("y")).union(
-        segs.select(F.struct(F.col(line_key).alias("k"), F.col("seq").alias("s"), F.lit(1).alias("e")).alias("p"), F.col("x2").alias("x"), F.col("y2").alias("y"))
-    )
-    inside = point_in_polygon(ends, edges, "p", polygon_key, size, closed=True).select(F.col("p.k").alias(line_key), polygon_key)
-    bounds = over_cells(edges.select(polygon_key, "x1", "y1", "x2", "y2"), size, F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2"))
-    s = segs.select(line_key, F.col("x1").alias("ax"), F.col("y1").alias("ay"), F.col("x2").alias("bx"), F.col("y2").alias("by"))
-    s = over_cells(s, size, F.least("ax", "bx"), F.least("ay", "by"), F.greatest("ax", "bx"), F.greatest("ay", "by"))
-    hit = segments_cross(tuple(F.col(k) for k in ("ax", "ay", "bx", "by")), tuple(F.col(k) for k in ("x1", "y1", "x2", "y2")))
+    """J-18: the distinct (line_key, polygon_key) of lines that share a point with a polygon, its boundary included.
+
+    A line that meets no edge lies wholly inside or wholly outside, so its first point tells which; all others
+    share a point with an edge: by crossing it, by an end, through a corner, or along it.
+    """
+    coordinates = ("x1", "y1", "x2", "y2")
+    first = segs.groupBy(line_key).agg(F.min_by(F.struct("x1", "y1"), "seq").alias("p")).select(line_key, F.col("p.x1").alias("x"), F.col("p.y1").alias("y"))
+    inside = point_in_polygon(first, edges, line_key, polygon_key, size, closed=True)
+    bounds = along_cells(edges.select(polygon_key, *[F.col(c).alias(f"e_{c}") for c in coordinates]), size, *(F.col(f"e_{c}") for c in coordinates))
+    s = along_cells(segs.select(line_key, *coordinates), size, *(F.col(c) for c in coordinates))
+    hit = g.segments_meet(tuple(F.col(c) for c in coordinates), tuple(F.col(f"e_{c}") for c in coordinates))
     return inside.union(s.join(bounds, ["cx", "cy"]).where(hit).select(line_key, polygon_key)).distinct()

@@ -564,10 +564,34 @@ def distance_join(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("addr_pfi", "pfi", F.round("dist", 5).alias("dist"), F.round("along", 5).alias("along"))
 
 
-_CROSS = _cross_sql(("c.x", "c.y", "c.nx", "c.ny"), ("s.x1", "s.y1", "s.x2", "s.y2"))
-
-
-@query(f"""WITH {_PTS}, {_DIST.format(r2=250 * 250)}, c AS (SELECT addr_pfi, pfi, x, y, nx, ny FROM d3 WHERE r = 1), x AS (SELECT DISTINCT c.addr_pfi, c.pfi, s.pfi AS other FROM c JOIN s ON s.pfi <> c.pfi AND {_CROSS})
+def _relation_sql(a: tuple[str, ...], b: tuple[str, ...], a_line: tuple[str, ...], b_line: tuple[str, ...]) -> tuple[str, str, str]:
+    """(meets, inner, over) of two segments by the parameters t and s of the point where their lines meet; ``*_line``: the ends of the lines they are of."""
+    ux, uy, vx, vy, wx, wy = (f"({m} - {n})" for m, n in ((a[2], a[0]), (a[3], a[1]), (b[2], b[0]), (b[3], b[1]), (b[0], a[0]), (b[1], a[1])))
+    d, t, s = f"({ux} * {vy} - {uy} * {vx})", f"({wx} * {vy} - {wy} * {vx})", f"({wx} * {uy} - {wy} * {ux})"
+    share = lambda n: f"({n} / nullif({d}, 0))"
+    cut = f"coalesce({share(t)} BETWEEN 0 AND 1 AND {share(s)} BETWEEN 0 AND 1, false)"
+    end = lambda x, y, e: f"(({e[0]} <> {e[2]} OR {e[1]} <> {e[3]}) AND (({x} = {e[0]} AND {y} = {e[1]}) OR ({x} = {e[2]} AND {y} = {e[3]})))"
+    px = f"CASE WHEN {share(t)} = 1 THEN {a[2]} WHEN {share(s)} = 0 THEN {b[0]} WHEN {share(s)} = 1 THEN {b[2]} ELSE {a[0]} + {share(t)} * {ux} END"
+    py = f"CASE WHEN {share(t)} = 1 THEN {a[3]} WHEN {share(s)} = 0 THEN {b[1]} WHEN {share(s)} = 1 THEN {b[3]} ELSE {a[1]} + {share(t)} * {uy} END"
+    # on one straight line: where b's ends lie along a
+    uu = f"nullif({ux} * {ux} + {uy} * {uy}, 0)"
+    lo, hi = (f"{f}(({wx} * {ux} + {wy} * {uy}) / {uu}, (({wx} + {vx}) * {ux} + ({wy} + {vy}) * {uy}) / {uu})" for f in ("least", "greatest"))
+    straight = f"({d} = 0 AND {s} = 0)"
+    over = f"coalesce({straight} AND greatest(0, {lo}) < least(1, {hi}), false)"
+    touch = f"coalesce({straight} AND greatest(0, {lo}) = least(1, {hi}), false)"
+    tx, ty = f"CASE WHEN {lo} = 1 THEN {a[2]} ELSE {a[0]} END", f"CASE WHEN {lo} = 1 THEN {a[3]} ELSE {a[1]} END"
+    inner = f"CASE WHEN {cut} THEN NOT {end(f'({px})', f'({py})', a_line)} AND NOT {end(f'({px})', f'({py})', b_line)} WHEN {touch} THEN NOT {end(f'({tx})', f'({ty})', a_line)} AND NOT {end(f'({tx})', f'({ty})', b_line)} ELSE {over} END"
+    return f"({cut} OR {touch} OR {over})", inner, over
+
+
+_AT = lambda t: (f"{t}.x1", f"{t}.y1", f"{t}.x2", f"{t}.y2")
+_LINE_ENDS = lambda t: (f"{t}.px", f"{t}.py", f"{t}.rx", f"{t}.ry")
+_MEET, _INNER, _OVER = _relation_sql(("c.x", "c.y", "c.nx", "c.ny"), _AT("s"), ("c.x", "c.y", "c.nx", "c.ny"), _LINE_ENDS("l"))
+_CROSS_TABLE = f"cx0 AS (SELECT c.addr_pfi, c.pfi, s.pfi AS other, {_INNER} AS inside, {_OVER} AS over FROM {{c}} c JOIN s ON s.pfi <> c.pfi JOIN l ON l.pfi = s.pfi WHERE (c.x <> c.nx OR c.y <> c.ny) AND {_MEET})"
+_CROSSED = "SELECT addr_pfi, pfi, other FROM cx0 GROUP BY 1, 2, 3 HAVING bool_or(inside) AND NOT bool_or(over)"
+
+
+@query(f"""WITH {_PTS}, {L}, {_DIST.format(r2=250 * 250)}, c AS (SELECT addr_pfi, pfi, x, y, nx, ny FROM d3 WHERE r = 1), {_CROSS_TABLE.format(c="c")}, x AS ({_CROSSED})
     SELECT addr_pfi, pfi, CAST(floor(sum(CASE WHEN other % 5 = 0 THEN 4 ELSE 10 END) / 10) AS INT) AS crossed, count(*) AS intersects FROM x GROUP BY 1, 2""")
 def crossing_count(spark: SparkSession, sf: str) -> DataFrame:
     segs = p.read(spark, sf, p.SEGMENT)
@@ -576,15 +600,36 @@ def crossing_count(spark: SparkSession, sf: str) -> DataFrame:
     return rules.weighted_crossings(spatial.crossings(links, segs, ["addr_pfi", "pfi"], own="pfi"), names, ["addr_pfi", "pfi"])
 
 
+_LM, _LI, _LO = _relation_sql(_AT("a"), _AT("b"), _LINE_ENDS("la"), _LINE_ENDS("lb"))
+
+
+@query(f"""WITH l AS ({p.LATTICE}), s AS ({p.LATTICE_SEGMENT}), q AS (SELECT a.pfi AS a_pfi, b.pfi AS b_pfi, {_LI} AS inside, {_LO} AS over FROM s a JOIN s b ON a.block = b.block AND a.pfi < b.pfi JOIN l la ON la.pfi = a.pfi JOIN l lb ON lb.pfi = b.pfi WHERE {_LM})
+    SELECT a_pfi, b_pfi, bool_or(inside) AND NOT bool_or(over) AS crosses, bool_or(over) AS overlaps FROM q GROUP BY 1, 2""")
+def line_relations(spark: SparkSession, sf: str) -> DataFrame:
+    s = p.read(spark, sf, p.LATTICE_SEGMENT)
+    return spatial.line_relations(s.withColumnRenamed("pfi", "a_pfi"), s.withColumnRenamed("pfi", "b_pfi"), skip=F.col("a_pfi") >= F.col("b_pfi"))
+
+
+def _inside_sql(polygon: str) -> str:
+    """Which lines share a point with a polygon: a point of theirs lies in it, or they meet an edge."""
+    meets = _relation_sql(_AT("s"), _AT("e"), _AT("s"), _AT("e"))[0]
+    return f"SELECT CAST(floor(k / 10) AS BIGINT) AS pfi, polygon FROM h UNION SELECT s.pfi, e.{polygon} FROM s, e WHERE {meets}"
+
+
 _EPT = "SELECT pfi * 10 + seq * 2 AS k, pfi AS road, x1 AS x, y1 AS y FROM s UNION ALL SELECT pfi * 10 + seq * 2 + 1, pfi, x2, y2 FROM s"
 
 
-@query(f"""WITH s AS ({p.SEGMENT}), e AS ({p.EDGE}), ep AS ({_EPT}), h AS ({_pip_sql('ep', 'k', closed=True)})
-    SELECT CAST(floor(k / 10) AS BIGINT) AS pfi, polygon FROM h UNION SELECT s.pfi, e.pfi FROM s, e WHERE {_cross_sql(("s.x1", "s.y1", "s.x2", "s.y2"), ("e.x1", "e.y1", "e.x2", "e.y2"))}""")
+@query(f"WITH s AS ({p.SEGMENT}), e AS ({p.EDGE}), ep AS ({_EPT}), h AS ({_pip_sql('ep', 'k', closed=True)}) {_inside_sql('pfi')}")
 def lines_in_polygons(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.lines_in_polygons(p.read(spark, sf, p.SEGMENT), p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon"), "polygon", CELL)
 
 
+@query(f"""WITH s AS ({p.LATTICE_SEGMENT}), e AS (SELECT polygon AS pfi, ring, seq, x1, y1, x2, y2 FROM ({p.LATTICE_EDGE}) AS t), ep AS ({_EPT}), h AS ({_pip_sql('ep', 'k', closed=True)}) {_inside_sql('pfi')}""")
+def lattice_lines_in_squares(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines through corners, along edges and from corner to corner of squares."""
+    return spatial.lines_in_polygons(p.read(spark, sf, p.LATTICE_SEGMENT), p.read(spark, sf, p.LATTICE_EDGE), "polygon", 4.0)
+
+
 # --- topology -----------------------------------------------------------------------------------
 
 _NET = cte(road=p.ROAD, bear=p.BEARING, node=p.NODE, alias=p.ALIAS)
@@ -777,7 +822,7 @@ _LOCAL = "SELECT pfi, concat('LOC', CAST(CAST(floor(px / 2000) AS BIGINT) AS STR
 _ATTR = "CASE match_attribute WHEN 'RoadNameID' THEN ad.rnid = na.rnid WHEN 'RoadName' THEN ad.name = na.name WHEN 'Partial' THEN (CASE WHEN split_part(ad.name, ' ', 1) = split_part(na.name, ' ', 1) THEN 1 ELSE 0 END + CASE WHEN split_part(ad.name, ' ', 2) = split_part(na.name, ' ', 2) THEN 1 ELSE 0 END) >= 0.3 * least(2, CASE WHEN na.name LIKE '% %' THEN 2 ELSE 1 END) WHEN 'Named' THEN ad.name <> 'UNNAMED' ELSE true END"
 
 
-@query(f"""WITH ad AS ({_ADDR}), s AS ({p.SEGMENT}), na AS ({_NAMES}), lo AS ({_LOCAL}), ru AS (SELECT * FROM (VALUES {", ".join(repr(r) for r in RULES)}) v(test_order, code, score, match_attribute, match_spatial, max_intersects, max_distance)),
+@query(f"""WITH ad AS ({_ADDR}), s AS ({p.SEGMENT}), {L}, na AS ({_NAMES}), lo AS ({_LOCAL}), ru AS (SELECT * FROM (VALUES {", ".join(repr(r) for r in RULES)}) v(test_order, code, score, match_attribute, match_spatial, max_intersects, max_distance)),
     pt AS (SELECT addr_pfi AS pfi, x, y FROM ad), s2 AS (SELECT * FROM s WHERE pfi NOT IN (SELECT pfi FROM na WHERE name IN ('UNNAMED', 'UNKNOWN'))),
     {_DIST.format(r2=700 * 700).replace("FROM pt, s)", "FROM pt, s2 s)")}, nr AS (SELECT addr_pfi, pfi, sqrt(q) AS dist, cum_len + t * len AS along, x, y, nx, ny FROM d3 WHERE r = 1),
     tr AS (SELECT nr.*, ru.*, CASE WHEN dist <= 250 THEN 1 ELSE CAST(ceil(dist / 250) AS INT) END AS ring FROM nr JOIN ad ON ad.addr_pfi = nr.addr_pfi JOIN ru ON dist <= max_distance
@@ -788,7 +833,7 @@ _ATTR = "CASE match_attribute WHEN 'RoadNameID' THEN ad.rnid = na.rnid WHEN 'Roa
     fi AS (SELECT *, row_number() OVER (PARTITION BY addr_pfi, test_order, valid_attr ORDER BY ring, dist, CAST(pfi AS STRING), txt) AS r, row_number() OVER (PARTITION BY addr_pfi, test_order, valid_attr ORDER BY ring DESC, dist DESC, CAST(pfi AS STRING) DESC, txt DESC) AS r2,
         bool_or(valid_attr) OVER (PARTITION BY addr_pfi, test_order) AS fit FROM ft),
     c AS (SELECT * FROM fi WHERE (valid_attr AND r = 1) OR (NOT fit AND r2 = 1)), main AS (SELECT pfi, name FROM (SELECT pfi, name, row_number() OVER (PARTITION BY pfi ORDER BY CAST(rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0') AS r FROM na) q WHERE r = 1),
-    cl AS (SELECT DISTINCT addr_pfi, pfi, x, y, nx, ny FROM c WHERE valid_attr), cx AS (SELECT DISTINCT c.addr_pfi, c.pfi, s.pfi AS other FROM cl c JOIN s ON s.pfi <> c.pfi AND {_CROSS}),
+    cl AS (SELECT DISTINCT addr_pfi, pfi, x, y, nx, ny FROM c WHERE valid_attr), {_CROSS_TABLE.format(c="cl")}, cx AS ({_CROSSED}),
     cc AS (SELECT addr_pfi, cx.pfi, CAST(floor(sum(CASE WHEN name IN ('UNNAMED', 'UNKNOWN') THEN 4 ELSE 10 END) / 10) AS INT) AS crossed, count(*) AS intersects FROM cx JOIN main ON main.pfi = other GROUP BY 1, 2),
     ok AS (SELECT c.*, coalesce(crossed, 0) AS crossed, coalesce(intersects, 0) AS intersects, valid_attr AND (code = 'F_N' OR (dist < max_distance AND (coalesce(crossed, 0) <= max_intersects OR match_spatial = 'Nearest'))) AS valid_spatial
         FROM c LEFT JOIN cc ON cc.addr_pfi = c.addr_pfi AND cc.pfi = c.pfi AND c.valid_attr),

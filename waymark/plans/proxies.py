@@ -91,6 +91,25 @@ SEGMENT = """
     SELECT pfi, 0 AS seq, px AS x1, py AS y1, qx AS x2, qy AS y2, sqrt((qx - px) * (qx - px) + (qy - py) * (qy - py)) AS len, CAST(0 AS DOUBLE) AS cum_len FROM ({line}) AS a
     UNION ALL SELECT pfi, 1, qx, qy, rx, ry, sqrt((rx - qx) * (rx - qx) + (ry - qy) * (ry - qy)), sqrt((qx - px) * (qx - px) + (qy - py) * (qy - py)) FROM ({line}) AS b
 """.replace("{line}", LINE_POINTS)
+#: Bent lines on a lattice of 12 by 12 per 40 parts, so that they often meet in vertices, end on each other and run along each other.
+LATTICE = """
+    SELECT pfi, block, b + px AS px, py, b + qx AS qx, qy, b + rx AS rx, ry FROM (
+        SELECT p_partkey AS pfi, CAST(floor(p_partkey / 40.0) AS BIGINT) AS block, CAST(CAST(floor(p_partkey / 40.0) AS BIGINT) * 20 AS DOUBLE) AS b,
+            CAST(p_partkey * 7 % 12 AS DOUBLE) AS px, CAST(p_partkey * 5 % 11 AS DOUBLE) AS py, CAST(p_partkey * 11 % 10 AS DOUBLE) AS qx, CAST(p_partkey * 3 % 12 AS DOUBLE) AS qy,
+            CAST(CASE WHEN p_partkey % 6 = 0 THEN p_partkey * 7 % 12 ELSE p_partkey * 13 % 12 END AS DOUBLE) AS rx, CAST(CASE WHEN p_partkey % 6 = 0 THEN p_partkey * 5 % 11 ELSE p_partkey * 17 % 9 END AS DOUBLE) AS ry
+        FROM {part}) AS t
+    WHERE (px <> qx OR py <> qy) AND (qx <> rx OR qy <> ry)
+"""
+LATTICE_SEGMENT = """
+    SELECT pfi, block, 0 AS seq, px AS x1, py AS y1, qx AS x2, qy AS y2 FROM ({l}) AS a UNION ALL SELECT pfi, block, 1, qx, qy, rx, ry FROM ({l}) AS b
+""".replace("{l}", LATTICE)
+#: A square with corners on the lattice per block.
+LATTICE_EDGE = """
+    SELECT block AS polygon, 0 AS ring, i AS seq, CAST(block * 20 + CASE WHEN i IN (0, 3) THEN 3 ELSE 8 END AS DOUBLE) AS x1, CAST(CASE WHEN i IN (0, 1) THEN 2 ELSE 7 END AS DOUBLE) AS y1,
+        CAST(block * 20 + CASE WHEN i IN (2, 3) THEN 3 ELSE 8 END AS DOUBLE) AS x2, CAST(CASE WHEN i IN (0, 3) THEN 2 ELSE 7 END AS DOUBLE) AS y2
+    FROM (SELECT DISTINCT CAST(floor(p_partkey / 40.0) AS BIGINT) AS block FROM {part}) AS t, (SELECT n_nationkey AS i FROM {nation} WHERE n_nationkey < 4) AS k
+"""
+
 #: A quadrilateral per nation; neighbours overlap a little.
 CORNERS = """
     SELECT n_nationkey AS pfi, n_name AS name, n_nationkey % 5 * 2000.0 AS ax, CAST(floor(n_nationkey / 5.0) AS BIGINT) * 2000.0 AS ay,
