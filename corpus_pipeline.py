@@ -33,7 +33,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the one with the smallest doc_id stays; rows that repeat an id go or stay together, those without one stay."""
+    """Of each group of near copies the one with the smallest doc_id stays; rows that repeat an id are judged each by its own text, those without one stay."""
     ship(spark)
     return minhash_dedup.near_dedup(docs).select(*COLUMNS)
 

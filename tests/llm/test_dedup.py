@@ -199,6 +199,20 @@ def test_near_dedup_rows_and_odd_tables(spark):
     assert minhash_dedup.near_duplicates(docs(spark, [(1, t), (1, t)])).where("kept").count() == 2
 
 
+def test_an_id_over_several_texts(spark):
+    """An id may head several classes, which stay apart; each row goes or stays by its own text."""
+    a, b, c = (" ".join(f"{p}{i}" for i in range(60)) for p in "abc")
+    rows = [(5, a), (5, b), (2, b), (9, a + " more"), (7, c), (7, c + " more"), (5, a), (None, b), (1, None), (1, "x")]
+    got = sorted(((r.id, r.class_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs(spark, rows)).collect()), key=str)
+    want = [(5, 5, 5, True)] * 2 + [(5, 2, 2, False), (2, 2, 2, True), (9, 9, 5, False), (7, 7, 7, True), (7, 7, 7, True), (None, 2, 2, True), (1, 1, 1, True), (1, 1, 1, True)]
+    assert got == sorted(want, key=str)
+    kept = minhash_dedup.near_dedup(docs(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(5, a), (5, a), (2, b), (7, c), (7, c + " more"), (None, b), (1, None), (1, "x")], key=str)
+    # one word off: the copy of an id's second text goes, its first and unique text stays
+    kept = minhash_dedup.near_dedup(docs(spark, [(5, a), (5, b + " more"), (2, b)])).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == [(2, b), (5, a)]
+
+
 def test_counted_shingles(spark):
     a = "x y z u v " * 10
     rows = [(1, a), (2, a * 3)]

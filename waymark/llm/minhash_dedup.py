@@ -30,7 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _scan
@@ -150,7 +150,8 @@ def _sketch(k: int, bands: int, rows: int, counts: bool):
                     ends = np.append(0, np.cumsum(size))
                     sums.append(pa.array(_scan.signed(total[ends[1:]] - total[ends[:-1]])))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands), pa.int32()), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[c.first : c.last], pa.array(size, pa.int64()), *sums, lists], names=["id", "n_shingles", "d1", "d2", "bands"])
+                row = [batch.column(i)[c.first : c.last] for i in (0, 2, 3)]
+                yield pa.RecordBatch.from_arrays([*row, pa.array(size, pa.int64()), *sums, lists], names=["id", "t1", "t2", "n_shingles", "d1", "d2", "bands"])
 
     return run
 
@@ -234,41 +235,58 @@ def near_duplicates(
     the smallest one reachable by links, and the row with that id stays. Null
     and empty texts have no shingles, link with nothing and stay. A text shorter
     than a shingle is one shingle. Rows with a null id stay, and link nothing.
-    Rows that repeat an id are marked alike. An empty table gives an empty
+    Rows that repeat an id are marked each by its own text, so an id may stay with one
+    of them and go with another; equal rows, and those whose texts have the same shingles, are marked alike. An empty table gives an empty
     result; further columns are ignored.
     """
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketch = cut(narrow.mapInArrow(_sketch(shingle, bands, rows, counts), "id long, n_shingles long, d1 long, d2 long, bands array<long>"), narrow=True)
+    return _marked(docs, id_col, text_col, shingle, least, bands, rows, counts).drop("t1", "t2")
+
+
+def _identity(id_col: str, text_col: str) -> list[Column]:
+    """(id, t1, t2): a row's id and two hashes of its text, which together are what a decision is about."""
+    return [F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t1"), F.xxhash64(F.lit(29), text_col).alias("t2")]
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, shingle: int, least: float, bands: int, rows: int, counts: bool) -> DataFrame:
+    """``near_duplicates`` with the hashes of each row's text."""
+    own = ["id", "t1", "t2"]
+    narrow = docs.select(*_identity(id_col, text_col), F.col(text_col).alias("text")).select("id", "text", "t1", "t2")
+    sketch = cut(narrow.mapInArrow(_sketch(shingle, bands, rows, counts), "id long, t1 long, t2 long, n_shingles long, d1 long, d2 long, bands array<long>"), narrow=True)
     # rows meet their class by way of runs, so that a class of a third of all rows is one row per run
     equal = ["n_shingles", "d1", "d2"]
-    dealt = sketch.select("id", *equal, F.pmod(F.xxhash64("id", F.lit(13)), F.lit(RUNS)).cast("int").alias("run"))
-    firsts = dealt.where("n_shingles > 0").groupBy("run", *equal).agg(F.min("id").alias("class_id"))
-    classes = firsts.groupBy(*equal).agg(F.min("class_id").alias("class_id"))
-    of_run = firsts.select("run", *equal).join(classes, equal)
-    # those without shingles meet none, and aren't dealt by the key they share
-    member = dealt.where("n_shingles > 0").join(of_run, ["run", *equal], "left").select("id", *equal, "class_id")
-    member = member.union(dealt.where("n_shingles = 0").select("id", *equal, F.lit(None).cast("long")))
-    heads = sketch.join(classes.where("class_id is not null").select(F.col("class_id").alias("id"), "n_shingles", "d1", "d2"), ["id", "n_shingles", "d1", "d2"], "left_semi")
-    entries = heads.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    # the smallest member leads its bucket
-    leaders = entries.groupBy("band", "key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("band", "key", "a")
-    candidates = entries.join(leaders, ["band", "key"]).where("id <> a").select("a", F.col("id").alias("b"))
-    family = components(candidates).select(F.col("node").alias("id"), F.col("component").alias("family"))
-    size = heads.select("id", "n_shingles").distinct().join(family, "id")
+    dealt = sketch.select(*own, *equal, F.pmod(F.xxhash64(*own, F.lit(13)), F.lit(RUNS)).cast("int").alias("run"))
+    # a class is headed by one of its rows with the smallest id, and goes by a key of its own, as an id may head several
+    firsts = dealt.where("n_shingles > 0").groupBy("run", *equal).agg(F.min(F.when(F.col("id").isNotNull(), F.struct(*own))).alias("head"))
+    classes = cut(firsts.groupBy(*equal).agg(F.min("head").alias("head")).select(*equal, F.col("head.id").alias("class_id"), "head.t1", "head.t2").withColumn("key", F.monotonically_increasing_id()))
+    of_run = firsts.select("run", *equal).join(classes.select(*equal, "class_id", "key"), equal)
+    member = dealt.where("n_shingles > 0").join(of_run, ["run", *equal]).select(*own, *equal, "class_id", "key")
+    heads = sketch.join(classes.where("class_id is not null").select(F.col("class_id").alias("id"), "t1", "t2", *equal, "key"), [*own, *equal])
+    entries = heads.select("key", F.posexplode("bands").alias("band", "value"))
+    # the member with the smallest key leads its bucket
+    leaders = entries.groupBy("band", "value").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("band", "value", "a")
+    candidates = entries.join(leaders, ["band", "value"]).where("key <> a").select("a", F.col("key").alias("b"))
+    family = components(candidates).select(F.col("node").alias("key"), F.col("component").alias("family"))
+    size = classes.select("key", "n_shingles", F.col("class_id").alias("id"), "t1", "t2").join(family, "key")
     blocks = size.groupBy("family").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    wanted = size.join(blocks, "family").select("id", "family", "blocks")
-    sets = narrow.join(wanted, "id").select("id", "text", "family", "blocks").mapInArrow(_sets(shingle, counts), "id long, shingles binary, family long, blocks int")
+    wanted = size.join(blocks, "family").select(*own, "key", "family", "blocks")
+    sets = narrow.join(wanted, own).select(F.col("key").alias("id"), "text", "family", "blocks").mapInArrow(_sets(shingle, counts), "id long, shingles binary, family long, blocks int")
     sets = sets.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     meet = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meet = meet.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "block", "shingles")
     links = meet.groupBy("family", "i", "j").applyInArrow(_family(least), "a long, b long")
-    of = components(links)
-    done = member.join(of.withColumnRenamed("node", "class_id"), "class_id", "left")
-    component = F.coalesce("component", "class_id", "id")
-    return done.select("id", F.coalesce("class_id", "id").alias("class_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "n_shingles")
+    linked_keys = components(links).withColumnRenamed("node", "key").join(classes.select("key", "class_id"), "key").withColumn("salt", F.pmod("key", F.lit(RUNS)).cast("int"))
+    least_ids = linked_keys.groupBy("component", "salt").agg(F.min("class_id").alias("some")).groupBy("component").agg(F.min("some").alias("component_id"), F.collect_set("salt").alias("salts"))
+    of = linked_keys.join(least_ids.select("component", "component_id", F.explode("salts").alias("salt")), ["component", "salt"]).select("key", "component_id")
+    done = member.join(of, "key", "left").select(*own, "class_id", "component_id", "n_shingles")
+    bare = dealt.where("n_shingles = 0").select(*own, F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("component_id"), "n_shingles")  # they meet none
+    component = F.coalesce("component_id", "class_id", "id")
+    return done.union(bare).select(*own, F.coalesce("class_id", "id").alias("class_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "n_shingles")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one text of each component."""
-    stays = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col("id").alias("__id")).distinct()
-    return docs.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+def near_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, counts: bool = False,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one text of each component, each row judged by its own text."""
+    stays = _marked(docs, id_col, text_col, shingle, least, bands, rows, counts).where("kept").select("id", "t1", "t2").distinct()
+    same = [a.eqNullSafe(F.col(f"__{n}")) for a, n in zip((F.col(id_col).cast("long"), F.xxhash64(text_col), F.xxhash64(F.lit(29), text_col)), stays.columns, strict=True)]
+    return docs.join(stays.toDF(*[f"__{n}" for n in stays.columns]), same, "left_semi")
