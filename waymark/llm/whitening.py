@@ -102,8 +102,11 @@ def fit(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
         return None
     dims, n = most[0]["dims"], most[0]["count"]
     rows = rows.where(F.size("x") == dims)
-    one = rows.agg(F.max(F.array_max("x")).alias("high"), F.min(F.array_min("x")).alias("low"), *[F.sum(F.col("x")[i].cast("decimal(38,0)")).alias(f"s{i}") for i in range(dims)]).first()
-    sums = [int(one[f"s{i}"]) for i in range(dims)]
+    one = rows.agg(F.max(F.array_max("x")).alias("high"), F.min(F.array_min("x")).alias("low"), *[F.try_sum(F.col("x")[i]).alias(f"s{i}") for i in range(dims)]).first()
+    sums = [one[f"s{i}"] for i in range(dims)]
+    if None in sums:  # beyond a long
+        one_wide = rows.agg(*[F.sum(F.col("x")[i].cast("decimal(38,0)")).alias(f"s{i}") for i in range(dims)]).first()
+        sums = [int(v) for v in one_wide]
     shift = [s // n for s in sums]
     spread = one["high"] - one["low"] + 1
     kind = "bigint" if n * spread * spread < 1 << 63 else "decimal(38,0)"  # the sums fit, or are kept wider
