@@ -332,3 +332,102 @@ def test_lines_in_polygons_by_corners_and_edges(spark, polygons, size):
     lines = [[(-5, -5), (15, 15)], [(-5, 0), (15, 0)], [(-4, 4), (4, -4)], [(-4, 3), (3, -4)], [(13, 3), (17, 7)], [(3, 3), (4, 4)], [(-1, 12), (30, 12)], [(12, 4), (18, 4)]]
     got = {(x.pfi, x.polygon) for x in spatial.lines_in_polygons(frame(spark, rows_of(lines)), polygons, "polygon", size).collect()}
     assert got == {(0, "a"), (0, "b"), (1, "a"), (1, "b"), (2, "a"), (5, "a"), (7, "b")}
+
+
+def test_disc_shares_in_closed_form(spark, polygons):
+    """A half plane, a corner, a hole and whole discs, from points inside, outside and on the boundary."""
+    import math
+
+    r = 1.0
+    # area of a disc beyond a straight line at distance d, and a quarter-like corner by fine sums
+    beyond = lambda d: math.acos(d) - d * math.sqrt(1 - d * d)
+    corner = lambda x, y: sum(max(0.0, min(math.sqrt(max(0.0, 1 - t * t)), y + 5) + min(math.sqrt(max(0.0, 1 - t * t)), y)) for t in ((i + 0.5) / 200_000 * (1 + x) - x for i in range(200_000))) / 200_000 * (1 + x)
+    pts = {
+        "whole": (5, 5), "half": (5, 0), "quarter": (0, 0), "inside": (5, 0.25), "outside": (5, -0.25), "near corner": (0.3, 0.4), "beside hole": (14, 5), "in hole": (12.5, 5), "on hole": (12, 5), "hole corner": (12, 2), "far": (5, -2),
+    }
+    df = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in pts.items()], "pfi string, x double, y double")
+    for size in (1.0, 50.0):
+        got = {(x.pfi, x.polygon): x.area for x in spatial.disc_overlap(df, polygons, "pfi", "polygon", size, r).collect()}
+        want = {
+            ("whole", "a"): math.pi, ("half", "a"): math.pi / 2, ("quarter", "a"): math.pi / 4, ("inside", "a"): math.pi - beyond(0.25), ("outside", "a"): beyond(0.25), ("near corner", "a"): corner(0.3, 0.4),
+            ("in hole", "b"): beyond(0.5), ("on hole", "b"): math.pi / 2, ("hole corner", "b"): math.pi * 3 / 4,
+        }
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-5 if k[0] == "near corner" else 1e-7) for k in want)
+
+
+def test_projection_and_back(spark):
+    rows = spark.createDataFrame([(141.0, -39.2), (145.0, -37.0), (150.0, -34.0), (145.0, -10.0), (100.0, -60.0)], "lon double, lat double")
+    x, y = g.lambert(F.col("lon"), F.col("lat"))
+    lon, lat = g.lambert_inverse(F.col("x"), F.col("y"))
+    for r in rows.withColumns({"x": x, "y": y}).withColumns({"a": lon, "b": lat}).collect():
+        assert (r.a, r.b) == (pytest.approx(r.lon, abs=1e-11), pytest.approx(r.lat, abs=1e-11))
+    u, v = g.local_grid(F.col("lon"), F.col("lat"), east=100.0, north=-30.0, turn=90.0, scale=2.0)
+    first = rows.select(u.alias("u"), v.alias("v")).first()
+    assert (first.u, first.v) == (pytest.approx(2 * (-39.2 + 30)), pytest.approx(-2 * 41.0))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_nodes_within_a_tolerance(spark, seed):
+    r = random.Random(seed)
+    place = lambda: (r.randrange(4) + r.randrange(-9, 10) * 0.0023, r.randrange(3) + r.randrange(-9, 10) * 0.0023)
+    lines = [(i, *place(), *place()) for i in range(120)] + [(500, 10.0049, 0.0, 20.0, 0.0), (501, 10.0051, 0.0, 30.0, 0.0), (502, 10.0049, 0.0, 30.0, 0.011)]
+    got = {x.pfi: (tuple(x.src), tuple(x.dst)) for x in topology.tolerance_nodes(spark.createDataFrame(lines, "pfi int, x1 double, y1 double, x2 double, y2 double"), 0.01).collect()}
+    pts = sorted({q for _, *c in lines for q in (tuple(c[:2]), tuple(c[2:]))})
+    links = [(a, b) for a in pts for b in pts if a < b and (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2 <= 1e-4]
+    root, moved = {q: q for q in pts}, True
+    while moved:
+        moved = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            moved |= (root[a], root[b]) != (low, low)
+            root[a] = root[b] = low
+    assert got == {i: (root[tuple(c[:2])], root[tuple(c[2:])]) for i, *c in lines}
+    assert got[500][0] == got[501][0] == (10.0049, 0.0) and got[501][1] != got[502][1]
+
+
+def test_attempts_end_with_the_match(spark):
+    r = random.Random(7)
+    pts, segs = world(7, n=40, roads=30)
+    words = ["MILL", "HIGH HILL", "HILL", "STATION"]
+    a = spark.createDataFrame([(i, x, y, r.choice(words), "RD", r.randrange(12), "", r.choice(["UNKNOWN", "0", "1"])) for i, x, y in pts], "addr_pfi int, x double, y double, name string, type string, rnid int, soundex string, locality string")
+    al = spark.createDataFrame([(i, r.randrange(12), 0, 0, r.choice([*words, "UNNAMED"]), "RD", "") for i in range(30)], "pfi int, rnid int, alias_number int, route_flag int, name string, type string, soundex string")
+    loc = spark.createDataFrame([(i, str(i % 3)) for i in range(30)], "pfi int, locality string")
+    args = (a, frame(spark, segs), al, spark.createDataFrame(TABLE, rules.RULE_SCHEMA), loc)
+    match = {x.addr_pfi: (x.road_pfi, x.rule_rank, x.valid_attr, x.valid_spatial, x.side_of_road, x.geometry) for x in rules.match_addresses(*args).collect()}
+    log = {}
+    for x in sorted(rules.all_attempts(*args).collect(), key=lambda x: (x.addr_pfi, x.attempt)):
+        log.setdefault(x.addr_pfi, []).append(x)
+    assert log.keys() == match.keys() and max(map(len, log.values())) > 3
+    for i, rows in log.items():
+        last = rows[-1]
+        assert [x.attempt for x in rows] == list(range(1, len(rows) + 1)) and not any(x.valid_spatial for x in rows[:-1])
+        assert (last.road_pfi, last.rule_rank, last.valid_attr, last.valid_spatial, last.side_of_road, last.geometry) == match[i]
+        for x, y in zip(rows, rows[1:]):
+            assert not x.valid_attr or y.rule_rank > x.rule_rank  # a road that fits ends its rule
+
+
+def test_walks_as_lines(spark):
+    pts = lambda *q: [(float(x), float(y)) for x, y in q]
+    roads = spark.createDataFrame([(1, 1, 2, pts((0, 0), (5, 5), (10, 0))), (2, 3, 2, pts((30, 0), (10, 0))), (3, 3, 4, pts((30, 0), (30, 9))), (4, 4, 4, pts((30, 9), (31, 9), (30, 9)))], "pfi long, from_ufi long, to_ufi long, pts array<struct<x:double,y:double>>")
+    walks = [(1, "TO", 0, 1, 2, "BEGIN", None), (1, "TO", 1, 2, 3, "SAME_RNID", None), (1, "TO", 1, 2, 3, "XSTREET", 3), (1, "FROM", 0, 1, 1, "BEGIN", None), (4, "FROM", 0, 4, 4, "BEGIN", None)]
+    w = spark.createDataFrame(walks, "pfi long, node_type string, step int, traversal_pfi long, traversal_ufi long, how string, xstreet_pfi long")
+    got = {(x.pfi, x.node_type): (x.legs, round(x.length, 3), x.wkt, x.xstreet_wkt) for x in topology.walk_lines(w, roads).collect()}
+    half = pytest.approx(14.142)
+    assert got[1, "TO"] == (2, pytest.approx(34.142), "LINESTRING (0.000 0.000, 5.000 5.000, 10.000 0.000, 30.000 0.000)", "LINESTRING (30.000 0.000, 30.000 9.000)")
+    assert got[1, "FROM"] == (1, half, "LINESTRING (10.000 0.000, 5.000 5.000, 0.000 0.000)", None) and got[4, "FROM"][:2] == (1, 2.0)
+
+
+def test_clustered_tables_meet_where_they_lie(spark, tmp_path):
+    from waymark.plans.deliverables import clustered_totals
+    from waymark.sources import files
+
+    o = files.cluster_table(spark.range(50).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey"), "clustered_o", ["o_orderkey"], 4, str(tmp_path / "o"))
+    l = files.cluster_table(spark.range(200).selectExpr("id % 60 AS l_orderkey", "id AS l_quantity"), "clustered_l", ["l_orderkey"], 4, str(tmp_path / "l"))  # noqa: E741
+    try:
+        out = clustered_totals(o, l)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 50 and out.agg(F.sum("n_lines")).first()[0] == sum(i % 60 < 50 for i in range(200))
+    finally:
+        for n in ("o", "l"):
+            files.drop_table(spark, f"clustered_{n}", str(tmp_path / n))
+    assert not (tmp_path / "o").exists()

@@ -127,6 +127,17 @@ def line_measures(lines: DataFrame, key: str = "pfi", points: str = "pts") -> Da
     return lines.select(key, F.when(F.size(points) > 1, step).otherwise(0.0).alias("length"), F.greatest(F.size(points) - 1, F.lit(0)).alias("segments"))
 
 
+def path_length(points: Column) -> Column:
+    """The length of an array of points (x, y)."""
+    return F.when(F.size(points) > 1, F.aggregate(F.sequence(F.lit(1), F.size(points) - 1), F.lit(0.0), lambda total, i: total + distance(F.get(points, i - 1)["x"], F.get(points, i - 1)["y"], F.get(points, i)["x"], F.get(points, i)["y"]))).otherwise(0.0)
+
+
+def wkt_line(points: Column, digits: int = 3) -> Column:
+    """An array of points (x, y) as well-known text."""
+    spot = F.transform(points, lambda q: F.format_string(f"%.{digits}f %.{digits}f", q["x"], q["y"]))
+    return F.concat(F.lit("LINESTRING ("), F.array_join(spot, ", "), F.lit(")"))
+
+
 def project(points: DataFrame, segs: DataFrame, point_key: str, line_key: str = "pfi") -> DataFrame:
     """GE-6: for joined (point, segment) rows, the nearest point of each line: (keys, dist, along, nx, ny)."""
     t = fraction_along(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
@@ -206,8 +217,8 @@ def extend_short(x1: Column, y1: Column, x2: Column, y2: Column, shortest: float
     return F.when(d < shortest, x2 + by * (x2 - x1) / unit).otherwise(x2), F.when(d < shortest, y2 + by * (y2 - y1) / unit).otherwise(y2)
 
 
-def lambert(lon: Column, lat: Column, *, lat1: float = -36.0, lat2: float = -38.0, lat0: float = -37.0, lon0: float = 145.0, east: float = 2_500_000.0, north: float = 2_500_000.0) -> tuple[Column, Column]:
-    """GE-13: Lambert conformal conic with two parallels on GRS80; by default EPSG:3111, in metres."""
+def _cone(lat1: float, lat2: float, lat0: float) -> tuple[float, float, float, float, float]:
+    """The constants of a Lambert cone on GRS80: exponent, factor, radius of the origin's parallel, major axis, eccentricity."""
     a, f = 6_378_137.0, 1 / 298.257222101
     e = math.sqrt(2 * f - f * f)
 
@@ -221,7 +232,12 @@ def lambert(lon: Column, lat: Column, *, lat1: float = -36.0, lat2: float = -38.
     p0, p1, p2 = (math.radians(v) for v in (lat0, lat1, lat2))
     n = (math.log(m(p1)) - math.log(m(p2))) / (math.log(t(p1)) - math.log(t(p2)))
     big = m(p1) / (n * t(p1) ** n)
-    r0 = a * big * t(p0) ** n
+    return n, big, a * big * t(p0) ** n, a, e
+
+
+def lambert(lon: Column, lat: Column, *, lat1: float = -36.0, lat2: float = -38.0, lat0: float = -37.0, lon0: float = 145.0, east: float = 2_500_000.0, north: float = 2_500_000.0) -> tuple[Column, Column]:
+    """GE-13: Lambert conformal conic with two parallels on GRS80; by default EPSG:3111, in metres."""
+    n, big, r0, a, e = _cone(lat1, lat2, lat0)
     phi = F.radians(lat)
     s = F.sin(phi) * e
     ratio = F.tan(F.lit(math.pi / 4) - phi / 2) / F.pow((1 - s) / (1 + s), F.lit(e / 2))
@@ -229,9 +245,49 @@ def lambert(lon: Column, lat: Column, *, lat1: float = -36.0, lat2: float = -38.
     return r * F.sin(theta) + east, F.lit(r0 + north) - r * F.cos(theta)
 
 
-def disc_samples(radius: float = 2.5, rings: int = 6, spokes: int = 24) -> list[tuple[float, float]]:
-    """GE-17: equal-area sample points of a disc; the share of them inside a polygon estimates its share of the disc."""
-    return [
-        (radius * math.sqrt((i + 0.5) / rings) * math.cos(2 * math.pi * (j + 0.5 * (i % 2)) / spokes), radius * math.sqrt((i + 0.5) / rings) * math.sin(2 * math.pi * (j + 0.5 * (i % 2)) / spokes))
-        for i in range(rings) for j in range(spokes)
-    ]
+def chord(px: Column, py: Column, qx: Column, qy: Column, radius: float) -> tuple[Column, Column]:
+    """GE-17: the part of a segment, as fractions along it, that lies in the disc around the origin; two equal fractions if none does."""
+    dx, dy = qx - px, qy - py
+    a, b, c = dx * dx + dy * dy, px * dx + py * dy, px * px + py * py - radius * radius
+    root = b * b - a * c
+    some = (root > 0) & (a > 0)
+    safe, unit = F.sqrt(F.when(some, root).otherwise(0.0)), F.when(a > 0, a).otherwise(1.0)
+    ends = [F.when(some, F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))).otherwise(0.0) for t in ((-b - safe) / unit, (-b + safe) / unit)]
+    return ends[0], ends[1]
+
+
+def turned(ux: Column, uy: Column, vx: Column, vy: Column, near: float) -> Column:
+    """The angle from u to v as seen from the origin, in (-pi, pi); 0 where the origin lies on the straight line between them, to within ``near``."""
+    c = cross(ux, uy, vx, vy)
+    return F.when(segment_distance2(F.lit(0.0), F.lit(0.0), ux, uy, vx, vy) < near * near, 0.0).otherwise(F.atan2(c, ux * vx + uy * vy))
+
+
+def cap(ax: Column, ay: Column, bx: Column, by: Column, radius: float, near: float) -> Column:
+    """GE-17: what a ring edge with the chord a to b takes from the disc around the origin: the triangle over the chord less the sector over it."""
+    return (cross(ax, ay, bx, by) - turned(ax, ay, bx, by, near) * (radius * radius)) / 2
+
+
+def lambert_inverse(x: Column, y: Column, *, lat1: float = -36.0, lat2: float = -38.0, lat0: float = -37.0, lon0: float = 145.0, east: float = 2_500_000.0, north: float = 2_500_000.0, steps: int = 6) -> tuple[Column, Column]:
+    """S-8: (longitude, latitude) in degrees of a place of ``lambert``; the latitude by a fixed number of fixed-point steps, each of which gains over two digits."""
+    n, big, r0, a, e = _cone(lat1, lat2, lat0)
+    dx, dy = x - east, F.lit(r0 + north) - y
+    r = F.sqrt(dx * dx + dy * dy) * (1 if n > 0 else -1)
+    theta = F.atan2(dx * (1 if n > 0 else -1), dy * (1 if n > 0 else -1))
+    t = F.pow(r / (a * big), F.lit(1 / n))
+    phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
+    for _ in range(steps):
+        s = F.sin(phi) * e
+        phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t * F.pow((1 - s) / (1 + s), F.lit(e / 2)))
+    return F.degrees(theta / n) + lon0, F.degrees(phi)
+
+
+def local_grid(x: Column, y: Column, *, east: float, north: float, turn: float = 0.0, scale: float = 1.0) -> tuple[Column, Column]:
+    """S-8: a place on a grid of its own: moved to an origin, turned by ``turn`` degrees against the clock, and scaled."""
+    c, s = math.cos(math.radians(turn)) * scale, math.sin(math.radians(turn)) * scale
+    return (x - east) * c + (y - north) * s, (y - north) * c - (x - east) * s
+
+
+def local_grid_inverse(u: Column, v: Column, *, east: float, north: float, turn: float = 0.0, scale: float = 1.0) -> tuple[Column, Column]:
+    """S-8: the place that ``local_grid`` came from."""
+    c, s = math.cos(math.radians(turn)) / scale, math.sin(math.radians(turn)) / scale
+    return u * c - v * s + east, u * s + v * c + north

@@ -85,25 +85,54 @@ def match_addresses(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, r
     The rules are taken in tiers: a new one begins where a rule reaches farther than all before it, and only
     the addresses that no rule has accepted go on, so that few meet the roads within the longest distances.
     """
+    best = _in_tiers(addresses, segs, aliases, rules, in_locality, lambda *a: _decided(_judged(addresses, segs, aliases, _first_fits(*a))))
+    return _finished(_decided(best), addresses, segs)
+
+
+def all_attempts(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, rules: DataFrame, in_locality: DataFrame) -> DataFrame:
+    """R-3: every road that the cascade tries, for review: the columns of a match and ``attempt``, counted from 1 for each address.
+
+    Roads of a rule are tried in rings of 250 m, nearest first, up to and with the first that has a fitting alias;
+    rules in their order up to and with the first that accepts a road. The last attempt, or the only one that is
+    accepted, is the row of ``match_addresses``, but for an address that no rule accepts: there the row is the one that
+    fitted in the last rule that found a road, which is the last of its attempts as well. Takes what ``match_addresses`` takes.
+    """
+    def log(*a) -> DataFrame:
+        rows = _judged(addresses, segs, aliases, _tried(*a))
+        accepted = rows.where("valid_spatial").groupBy("addr_pfi").agg(F.min(F.struct("test_order", "code")).alias("stop"))
+        return rows.join(accepted, "addr_pfi", "left").where(F.col("stop").isNull() | (F.struct("test_order", "code") <= F.col("stop"))).drop("stop")
+
+    rows = _in_tiers(addresses, segs, aliases, rules, in_locality, log)
+    turn = Window.partitionBy("addr_pfi").orderBy("test_order", "code", "ring", "dist", F.col("pfi").cast("string"))
+    return _finished(rows.withColumn("attempt", F.row_number().over(turn)), addresses, segs, "attempt")
+
+
+def _in_tiers(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, rules: DataFrame, in_locality: DataFrame, attempts) -> DataFrame:
+    """The rows that ``attempts`` gives for each tier of rules and the addresses that no rule of the tiers before accepted."""
     table = rules.select(*[x.split()[0] for x in RULE_SCHEMA.split(", ")]).orderBy("test_order", "code").limit(MOST_RULES + 1).collect()
     if all(r["max_distance"] is None for r in table) or len(table) > MOST_RULES:  # the rules are broadcast
         raise ValueError(f"1 to {MOST_RULES} rules with a distance are needed")
     nameless = aliases.where(F.col("name").isin(*NAMELESS)).select("pfi").distinct()
     named = checkpoint(segs.join(nameless, "pfi", "left_anti"))
     local = in_locality.select("pfi", "locality", F.lit(True).alias("inside")).distinct()
-    left, best = addresses, None
+    left, out = addresses, None
     for tier, reach in _tiers(table):
         some = addresses.sparkSession.createDataFrame(tier, RULE_SCHEMA)
-        found = checkpoint(_attempts(left, segs, named, aliases, some, local, float(reach)))
-        best = found if best is None else best.union(found)
+        found = checkpoint(attempts(left, named, aliases, some, local, float(reach)))
+        out = found if out is None else out.union(found)
         left = left.join(found.where("valid_spatial").select("addr_pfi"), "addr_pfi", "left_anti")
+    return out
+
+
+def _finished(rows: DataFrame, addresses: DataFrame, segs: DataFrame, *more: str) -> DataFrame:
+    """The columns of a match; an address has at most one row that passes both tests."""
     spot = addresses.select("addr_pfi", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("rnid").alias("addr_rnid"), F.col("locality").alias("addr_locality_name"), F.col("soundex").alias("addr_soundex"))
-    best = checkpoint(_decided(best).join(spot, "addr_pfi"))
-    side = sides(best.where("valid_spatial").select("addr_pfi", "pfi", F.col("x0").alias("x"), F.col("y0").alias("y"), "along"), segs, "addr_pfi").select("addr_pfi", "side")
+    best = checkpoint(rows.join(spot, "addr_pfi"))
+    side = sides(best.where("valid_spatial").select("addr_pfi", "pfi", F.col("x0").alias("x"), F.col("y0").alias("y"), "along"), segs, "addr_pfi").select("addr_pfi", "side", F.lit(True).alias("valid_spatial"))
     far = extend_short(*(F.col(c) for c in ("x0", "y0", "nx", "ny")))
     end = [F.when(F.col("valid_spatial"), e).otherwise(F.col(c)) for e, c in zip(far, ("nx", "ny"), strict=True)]
-    return best.join(side, "addr_pfi", "left").select(
-        "addr_pfi", F.col("pfi").alias("road_pfi"), F.col("test_order").alias("rule_rank"), F.col("code").alias("rule_code"), F.col("score").alias("rule_score"), "valid_attr", "valid_spatial",
+    return best.join(side, ["addr_pfi", "valid_spatial"], "left").select(
+        "addr_pfi", *more, F.col("pfi").alias("road_pfi"), F.col("test_order").alias("rule_rank"), F.col("code").alias("rule_code"), F.col("score").alias("rule_score"), "valid_attr", "valid_spatial",
         "addr_rnid", F.col("t_rnid").alias("road_rnid"), "addr_locality_name", F.col("addr_locality_name").alias("road_locality_name"), "addr_soundex", F.col("t_soundex").alias("road_soundex"),
         "intersects", F.coalesce("side", F.lit("")).alias("side_of_road"), F.col("dist").alias("dist_from_road"), F.col("along").alias("dist_along_road"),
         F.format_string("LINESTRING (%.3f %.3f, %.3f %.3f)", "x0", "y0", *end).alias("geometry"), "crossed",
@@ -131,8 +160,11 @@ def _decided(rows: DataFrame) -> DataFrame:
     return rows.groupBy("addr_pfi").agg(F.coalesce(F.min(F.when(F.col("valid_spatial"), row)), F.max(row)).alias("b")).select("addr_pfi", "b.*")
 
 
-def _attempts(addresses: DataFrame, segs: DataFrame, named: DataFrame, aliases: DataFrame, rules: DataFrame, local: DataFrame, reach: float) -> DataFrame:
-    """The decided attempt (``ATTEMPT``) of each address under some of the rules, none of which reaches beyond ``reach``."""
+RULE = ("test_order", "code", "score", "match_spatial", "max_intersects", "max_distance")
+
+
+def _candidates(addresses: DataFrame, named: DataFrame, aliases: DataFrame, rules: DataFrame, local: DataFrame, reach: float) -> DataFrame:
+    """The roads that each rule would look at for each address, a row per alias, with ``fits``; no rule reaches beyond ``reach``."""
     near = distance_join(addresses, named, reach, "addr_pfi").join(addresses.drop("x", "y"), "addr_pfi")
     near = near.join(local, ["pfi", "locality"], "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
     tries = near.join(F.broadcast(rules), F.col("dist") <= F.col("max_distance")).where("inside or code = 'F_N' or locality = 'UNKNOWN'")
@@ -143,19 +175,33 @@ def _attempts(addresses: DataFrame, segs: DataFrame, named: DataFrame, aliases:
     tries = tries.where("match_spatial <> 'Nearest' or match_spatial is null or dist = closest or before = closest")
     road = aliases.select("pfi", *[F.col(c).alias(f"t_{c}") for c in ("rnid", "alias_number", "route_flag", "name", "type", "soundex")])
     fits = attribute_match(F.col("match_attribute"), {c: F.col(c) for c in ("name", "type", "rnid", "soundex")}, {c: F.col(f"t_{c}") for c in ("name", "type", "rnid", "soundex")})
-    text = F.concat_ws(",", "t_rnid", "t_alias_number", "t_route_flag")
-    attempt = F.struct("ring", "dist", F.col("pfi").cast("string").alias("txt"), text.alias("alias_text"), "pfi", "t_rnid", "t_soundex", "along", "nx", "ny")
-    rule = ["test_order", "code", "score", "match_spatial", "max_intersects", "max_distance"]
-    tried = tries.join(road, "pfi").withColumn("fits", F.coalesce(fits, F.lit(False))).groupBy("addr_pfi", *rule).agg(
-        F.min(F.when(F.col("fits"), attempt)).alias("first"), F.max(F.when(~F.col("fits"), attempt)).alias("last")
-    )
-    chosen = tried.select("addr_pfi", *rule, F.col("first").isNotNull().alias("valid_attr"), F.coalesce("first", "last").alias("f")).select("addr_pfi", *rule, "valid_attr", "f.*")
-    chosen = checkpoint(chosen)  # read twice
+    return tries.join(road, "pfi").withColumns({"fits": F.coalesce(fits, F.lit(False)), "alias_text": F.concat_ws(",", "t_rnid", "t_alias_number", "t_route_flag")})
+
+
+def _first_fits(*candidates) -> DataFrame:
+    """Per address and rule the road that decides it: the first that fits, else the last one tried."""
+    attempt = F.struct("ring", "dist", F.col("pfi").cast("string").alias("txt"), "alias_text", "pfi", "t_rnid", "t_soundex", "along", "nx", "ny")
+    tried = _candidates(*candidates).groupBy("addr_pfi", *RULE).agg(F.min(F.when(F.col("fits"), attempt)).alias("first"), F.max(F.when(~F.col("fits"), attempt)).alias("last"))
+    return tried.select("addr_pfi", *RULE, F.col("first").isNotNull().alias("valid_attr"), F.coalesce("first", "last").alias("f")).select("addr_pfi", *RULE, "valid_attr", "f.*")
+
+
+def _tried(*candidates) -> DataFrame:
+    """Per address and rule all roads up to the first that fits, each with its first fitting alias, else its last one."""
+    road = ["ring", "dist", "pfi", "along", "nx", "ny"]
+    alias = F.struct("alias_text", "t_rnid", "t_soundex")
+    each = _candidates(*candidates).groupBy("addr_pfi", *RULE, *road).agg(F.min(F.when(F.col("fits"), alias)).alias("first"), F.max(F.when(~F.col("fits"), alias)).alias("last"))
+    each = each.select("addr_pfi", *RULE, *road, F.col("first").isNotNull().alias("valid_attr"), F.coalesce("first", "last").alias("f")).select("addr_pfi", *RULE, *road, "valid_attr", "f.*")
+    before = Window.partitionBy("addr_pfi", "test_order", "code").orderBy("ring", "dist", F.col("pfi").cast("string")).rowsBetween(Window.unboundedPreceding, -1)
+    return each.withColumn("done", F.coalesce(F.max("valid_attr").over(before), F.lit(False))).where("not done").drop("done")
+
+
+def _judged(addresses: DataFrame, segs: DataFrame, aliases: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Attempts with their crossings, counted where the attributes fit, and the spatial test."""
+    chosen = checkpoint(attempts)  # read twice
     links = chosen.where("valid_attr").select("addr_pfi", "pfi", "nx", "ny").distinct().join(addresses.select("addr_pfi", "x", "y"), "addr_pfi")
     main = aliases.groupBy("pfi").agg(F.min_by("name", F.concat_ws(",", "rnid", "alias_number", "route_flag")).alias("road_name"))
     crossed = weighted_crossings(crossings(links, segs, ["addr_pfi", "pfi"], own="pfi"), main, ["addr_pfi", "pfi"])
     crossed = crossed.withColumn("valid_attr", F.lit(True))
     rows = chosen.join(crossed, ["addr_pfi", "pfi", "valid_attr"], "left").withColumns({"crossed": F.coalesce("crossed", F.lit(0)), "intersects": F.coalesce("intersects", F.lit(0))})
     ok = spatial_match(F.col("code"), F.col("match_spatial"), F.col("dist"), F.col("crossed"), F.col("max_distance"), F.col("max_intersects"))
-    rows = rows.withColumn("valid_spatial", F.col("valid_attr") & F.coalesce(ok, F.lit(False)))
-    return _decided(rows)
+    return rows.withColumn("valid_spatial", F.col("valid_attr") & F.coalesce(ok, F.lit(False)))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from ..functions.geometry import disc_samples, fraction_along, on_edge, ray_hit, segment_distance2
+from ..functions.geometry import fraction_along, on_edge, ray_hit, segment_distance2
 from .topology import checkpoint
 
 UNKNOWN = "UNKNOWN"
@@ -114,24 +114,49 @@ def point_in_polygon(points: DataFrame, edges: DataFrame, point_key: str, polygo
     return sums.where(inside | (F.col("edge") == 1) if closed else inside).select(point_key, polygon_key)
 
 
+def disc_overlap(points: DataFrame, edges: DataFrame, point_key: str, polygon_key: str, size: float, radius: float = 2.5) -> DataFrame:
+    """GE-17: (point_key, polygon_key, area): the area that the disc of ``radius`` around each point shares with each polygon, where they share any.
+
+    The disc less what the polygon's edges cut off: each edge within the radius takes the segment beyond its chord. From a
+    point inside the polygon all edges together turn once around it, from one outside not at all; only for a point on the
+    boundary (to a billionth of the radius) are the angles of all its polygon's edges added up. So a disc meets the edges near it and no others. Holes are rings that run the other way.
+    """
+    at = [F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]
+    way = edges.groupBy(polygon_key).agg(F.signum(F.sum(g.cross(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")))).alias("way"))
+    lo = {c: F.least(f"{c}1", f"{c}2") - radius for c in "xy"}
+    hi = {c: F.greatest(f"{c}1", f"{c}2") + radius for c in "xy"}
+    step, border = max(size, radius), radius * 1e-9
+    near = at_cell(points.select(point_key, "x", "y"), step).join(over_cells(edges.select(polygon_key, "x1", "y1", "x2", "y2"), step, lo["x"], lo["y"], hi["x"], hi["y"]), ["cx", "cy"])
+    near = near.where(segment_distance2(*at) < radius * radius)
+    from_point = lambda f, *more: f(*(F.col(f"{c}{i}") - F.col(c) for i in (1, 2) for c in "xy"), *more)
+    # in steps, each of which uses the columns of the one before several times
+    cut = near.select(point_key, polygon_key, *[(F.col(f"{c}{i}") - F.col(c)).alias(f"{e}{c}") for e, i in (("p", 1), ("q", 2)) for c in "xy"])
+    cut = cut.withColumns(dict(zip(("t", "u"), g.chord(*(F.col(c) for c in ("px", "py", "qx", "qy")), radius), strict=True)))
+    cut = cut.withColumns({f"{e}{c}": F.col(f"p{c}") + F.col(t) * (F.col(f"q{c}") - F.col(f"p{c}")) for e, t in (("a", "t"), ("b", "u")) for c in "xy"})
+    cut = cut.groupBy(point_key, polygon_key).agg(F.sum(g.cap(*(F.col(c) for c in ("ax", "ay", "bx", "by")), radius, border)).alias("cut"))
+    inside = point_in_polygon(points, edges, point_key, polygon_key, size).withColumn("turn", F.lit(2 * math.pi))
+    on = near.where(segment_distance2(*at) < border * border).select(point_key, polygon_key, "x", "y").distinct()
+    on = on.join(edges.select(polygon_key, "x1", "y1", "x2", "y2"), polygon_key).groupBy(point_key, polygon_key).agg(F.sum(from_point(g.turned, border)).alias("angles"))
+    both = cut.join(inside, [point_key, polygon_key], "full").join(on, [point_key, polygon_key], "left").join(way, polygon_key)
+    turn = F.coalesce(F.col("angles") * F.col("way"), "turn", F.lit(0.0))
+    area = turn * (radius * radius / 2) + F.coalesce("cut", F.lit(0.0)) * F.col("way")
+    return both.select(point_key, polygon_key, area.alias("area")).where(F.col("area") > 1e-12 * radius * radius)
+
+
 def locate(points: DataFrame, edges: DataFrame, names: DataFrame, point_key: str, polygon_key: str, size: float, by_overlap: bool = True, radius: float = 2.5) -> DataFrame:
     """J-11: (point_key, name, percent): UNKNOWN and 0 without a polygon; the only one and 100; of several, a tie rule.
 
     By overlap: the one with the largest share of the disc of ``radius`` around
-    the point, estimated on a fixed set of sample points, in percent, ties to the
+    the point, in percent; shares that agree in nine digits tie, and ties go to the
     first name. Else the alphabetically first, 100.
     """
     hits = point_in_polygon(points, edges, point_key, polygon_key, size).join(names.select(polygon_key, "name"), polygon_key)
     count = hits.groupBy(point_key).agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name"))
     one = count.where("n = 1" if by_overlap else "n >= 1").select(point_key, "name", F.lit(100.0).alias("percent"))
     if by_overlap:
-        several = points.join(count.where("n > 1").select(point_key), point_key).select(point_key, "x", "y")
-        spots = disc_samples(radius)
-        disc = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for i, (dx, dy) in enumerate(spots)]))
-        spot = F.struct(F.col(point_key).alias("k"), F.col("s.i").alias("i")).alias("spot")
-        tests = several.withColumn("s", disc).select(spot, (F.col("x") + F.col("s.dx")).alias("x"), (F.col("y") + F.col("s.dy")).alias("y"))
-        share = point_in_polygon(tests, edges, "spot", polygon_key, size).groupBy(F.col("spot.k").alias(point_key), polygon_key).agg((F.count(F.lit(1)) * (100.0 / len(spots))).alias("percent"))
-        ranked = hits.join(count.where("n > 1").select(point_key), point_key).join(share, [point_key, polygon_key], "left").withColumn("percent", F.coalesce("percent", F.lit(0.0)))
+        tied = count.where("n > 1").select(point_key)
+        area = disc_overlap(points.join(tied, point_key).select(point_key, "x", "y"), edges, point_key, polygon_key, size, radius)
+        ranked = hits.join(tied, point_key).join(area, [point_key, polygon_key]).withColumn("percent", F.round(F.col("area") * (100 / (math.pi * radius * radius)), 9))
         best = ranked.groupBy(point_key).agg(F.min(F.struct((-F.col("percent")).alias("p"), "name")).alias("b"))
         one = one.union(best.select(point_key, F.col("b.name").alias("name"), (-F.col("b.p")).alias("percent")))
     return points.select(point_key).join(one, point_key, "left").select(point_key, F.coalesce("name", F.lit(UNKNOWN)).alias("name"), F.coalesce("percent", F.lit(0.0)).alias("percent"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import turn_angle
+from ..functions.geometry import path_length, turn_angle, wkt_line
 from ..functions.keys import UNNAMED_ID
 from ..sources.files import scratch
 
@@ -155,12 +155,68 @@ def walk_distances(walks: DataFrame, lengths: DataFrame) -> DataFrame:
     return total.join(lengths.select("pfi", "length"), "pfi").select("pfi", "node_type", (F.col("total") - F.col("length")).alias("distance"))
 
 
+def walk_lines(walks: DataFrame, roads: DataFrame) -> DataFrame:
+    """GE-14, G-8: (pfi, node_type, legs, length, wkt, xstreet_wkt): the roads of each walk as one directed line, and the cross street it found.
+
+    ``roads``: (pfi, from_ufi, to_ufi, pts). A walk leaves every leg at a known node, so a leg runs forward if that is the road's
+    far end and backward if not; the legs then follow each other end to end, from the base road's other end to the last node.
+    Points that two legs share at a node come once. The row that repeats a walk's last leg for its cross street is no leg of its own.
+    """
+    line = roads.select(F.col("pfi").alias("traversal_pfi"), "to_ufi", "pts")
+    legs = walks.where("how <> 'XSTREET'").select("pfi", "node_type", "step", "traversal_pfi", "traversal_ufi").join(line, "traversal_pfi")
+    run = F.when(F.col("to_ufi") == F.col("traversal_ufi"), F.col("pts")).otherwise(F.reverse("pts"))
+    # a fold over at most LAST_STEP + 1 legs, in their order
+    parts = F.array_sort(F.collect_list(F.struct("step", run.alias("pts"))))
+    whole = legs.groupBy("pfi", "node_type").agg(parts.alias("parts"))
+    first = F.get("parts", F.lit(0))["pts"]
+    joined = F.aggregate(F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0))), first, lambda done, leg: F.concat(done, F.when(F.element_at(done, -1) == F.get(leg["pts"], F.lit(0)), F.slice(leg["pts"], F.lit(2), F.size(leg["pts"]))).otherwise(leg["pts"])))
+    out = whole.select("pfi", "node_type", F.size("parts").cast("long").alias("legs"), joined.alias("line"))
+    found = walks.where("how = 'XSTREET'").select("pfi", "node_type", F.col("xstreet_pfi").alias("traversal_pfi")).join(line, "traversal_pfi").select("pfi", "node_type", F.col("pts").alias("xpts"))
+    out = out.join(found, ["pfi", "node_type"], "left")
+    return out.select("pfi", "node_type", "legs", path_length(F.col("line")).alias("length"), wkt_line(F.col("line")).alias("wkt"), F.when(F.col("xpts").isNotNull(), wkt_line(F.col("xpts"))).alias("xstreet_wkt"))
+
+
 def snap(lines: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """G-10: edges (pfi, src, dst) between line ends that coincide on a grid of ``tolerance``."""
+    """Edges (pfi, src, dst) between line ends that round to the same place on a grid of ``tolerance``; see ``tolerance_nodes`` for a true distance."""
     node = lambda x, y: F.concat_ws(":", F.round(x / tolerance).cast("long"), F.round(y / tolerance).cast("long"))
     return lines.select("pfi", node(F.col("x1"), F.col("y1")).alias("src"), node(F.col("x2"), F.col("y2")).alias("dst"))
 
 
+def tolerance_nodes(lines: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """G-10: edges (pfi, src, dst) between nodes, where ends of lines within ``tolerance`` of each other, directly or by way of others, are one node.
+
+    ``lines``: (pfi, x1, y1, x2, y2). A node is the place struct(x, y) of its first end, by x and then y. Equal ends are one place from
+    the start. Cells are so small that all places in one are within the tolerance of each other: each is linked to the cell's
+    first only. Places of different cells meet where their cells lie near enough, and an exact distance decides, wherever
+    the borders of cells fall. The components of these links are the nodes.
+    """
+    side = tolerance / 1.5  # the diagonal is shorter than the tolerance
+    place = lambda i: F.struct(*[F.col(f"{c}{i}").cast("double").alias(c) for c in "xy"])
+    ends = lines.select("pfi", place(1).alias("src"), place(2).alias("dst"))
+    places = ends.select(F.explode(F.array("src", "dst")).alias("p")).distinct()
+    at = checkpoint(places.select("p", F.floor(F.col("p.x") / side).cast("long").alias("cx"), F.floor(F.col("p.y") / side).cast("long").alias("cy")))
+    within = at.join(at.groupBy("cx", "cy").agg(F.min("p").alias("first")), ["cx", "cy"]).select(F.col("p").alias("src"), F.col("first").alias("dst"))
+    # each pair of cells meets once: those up to two to the right, or above
+    around = [(dx, dy) for dx in range(3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
+    step = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in around])).alias("o")
+    asking = at.select("p", "cx", "cy", step).select(F.col("p").alias("a"), (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
+    d2 = F.expr("(a.x - p.x) * (a.x - p.x) + (a.y - p.y) * (a.y - p.y)")
+    across = asking.join(at, ["cx", "cy"]).where(d2 <= tolerance * tolerance).select(F.col("a").alias("src"), F.col("p").alias("dst"))
+    node = checkpoint(component_labels(within.union(across)))
+    out = ends.join(node.select(F.col("node").alias("src"), F.col("component").alias("s")), "src").join(node.select(F.col("node").alias("dst"), F.col("component").alias("d")), "dst")
+    return out.select("pfi", F.col("s").alias("src"), F.col("d").alias("dst"))
+
+
+def trace(lines: DataFrame, x: float, y: float, tolerance: float = 0.01) -> DataFrame:
+    """G-10: (pfi, status) of lines by whether they hang together, end to end within ``tolerance``, with the end nearest to a constant place."""
+    edges = checkpoint(tolerance_nodes(lines, tolerance))
+    places = edges.select(F.explode(F.array("src", "dst")).alias("ufi")).distinct().select("ufi", "ufi.x", "ufi.y")
+    start = nearest_to(places, x, y).select("ufi.x", "ufi.y").first()
+    if start is None:
+        return edges.select("pfi", F.lit("DISCONNECTED").alias("status"))
+    return connectivity(edges, F.struct(F.lit(start["x"]).alias("x"), F.lit(start["y"]).alias("y")))
+
+
 def component_labels(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable, by alternating stars, in a logarithmic number of rounds.
 
@@ -195,7 +251,7 @@ def connectivity(edges: DataFrame, seed, patches: DataFrame | None = None) -> Da
     if patches is not None:
         every = every.union(patches.select(F.lit(-1).cast(edges.schema["pfi"].dataType), "src", "dst"))
     labels = component_labels(every)
-    home = labels.where(F.col("node") == F.lit(seed)).select("component", F.lit("NETWORKED").alias("status"))  # at most one row
+    home = labels.where(F.col("node") == (seed if isinstance(seed, Column) else F.lit(seed))).select("component", F.lit("NETWORKED").alias("status"))  # at most one row
     inside = labels.join(F.broadcast(home), "component").select(F.col("node").alias("src"), "status")
     return every.join(inside, "src", "left").select("pfi", F.coalesce("status", F.lit("DISCONNECTED")).alias("status"))
 

@@ -520,9 +520,21 @@ def pip_tie_first(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.locate(p.read(spark, sf, p.POINT), edges, names, "pfi", "polygon", CELL, by_overlap=False)
 
 
-@query(f"""WITH {_PE}, h AS ({_pip_sql('pt', 'pfi')}), c AS (SELECT pfi, count(*) AS n FROM h GROUP BY 1), d AS (SELECT * FROM (VALUES {", ".join(f"({i}, CAST({dx!r} AS DOUBLE), CAST({dy!r} AS DOUBLE))" for i, (dx, dy) in enumerate(g.disc_samples()))}) v(i, dx, dy)),
-    sp AS (SELECT pt.pfi * 1000 + i AS k, x + dx AS x, y + dy AS y FROM pt JOIN c ON c.pfi = pt.pfi AND n > 1, d), sh AS ({_pip_sql('sp', 'k')}),
-    sc AS (SELECT h.pfi, h.polygon, n_name AS name, count(sh.k) * 100.0 / {len(g.disc_samples())} AS percent FROM h JOIN c ON c.pfi = h.pfi AND n > 1 JOIN nation ON n_nationkey = h.polygon LEFT JOIN sh ON CAST(floor(sh.k / 1000) AS BIGINT) = h.pfi AND sh.polygon = h.polygon GROUP BY 1, 2, 3),
+def _disc_sql(points: str, radius: float) -> str:
+    """(pfi, polygon, area) of the part of a disc around each point inside each polygon: signed triangles and sectors over all edges."""
+    angle = lambda u, v: f"CASE WHEN {u}x * {v}y - {u}y * {v}x = 0 THEN 0 ELSE atan2({u}x * {v}y - {u}y * {v}x, {u}x * {v}x + {u}y * {v}y) END"
+    r2 = radius * radius
+    return f"""SELECT pfi, polygon, abs(sum(({angle('p', 'a')} + {angle('b', 'q')}) * {r2} / 2 + (ax * by_ - ay * bx) / 2)) AS area FROM (
+        SELECT *, px + t * (qx - px) AS ax, py + t * (qy - py) AS ay, px + u * (qx - px) AS bx, py + u * (qy - py) AS by_ FROM (
+            SELECT *, CASE WHEN k > 0 THEN least(greatest((-b - sqrt(k)) / a, 0), 1) ELSE 0 END AS t, CASE WHEN k > 0 THEN least(greatest((-b + sqrt(k)) / a, 0), 1) ELSE 0 END AS u FROM (
+                SELECT *, b * b - a * (px * px + py * py - {r2}) AS k FROM (
+                    SELECT *, (qx - px) * (qx - px) + (qy - py) * (qy - py) AS a, px * (qx - px) + py * (qy - py) AS b FROM (
+                        SELECT p.pfi, e.pfi AS polygon, e.x1 - p.x AS px, e.y1 - p.y AS py, e.x2 - p.x AS qx, e.y2 - p.y AS qy FROM {points} p, e) d0) d1) d2) d3) d4
+        GROUP BY 1, 2""".replace("bx * qy - by *", "bx * qy - by_ *").replace("bx * qx + by * qy", "bx * qx + by_ * qy")
+
+
+@query(f"""WITH {_PE}, h AS ({_pip_sql('pt', 'pfi')}), c AS (SELECT pfi, count(*) AS n FROM h GROUP BY 1), tie AS (SELECT pt.* FROM pt JOIN c ON c.pfi = pt.pfi AND n > 1), da AS ({_disc_sql('tie', 2.5)}),
+    sc AS (SELECT h.pfi, h.polygon, n_name AS name, round(area * 100 / (pi() * 2.5 * 2.5), 9) AS percent FROM h JOIN da ON da.pfi = h.pfi AND da.polygon = h.polygon JOIN nation ON n_nationkey = h.polygon),
     rk AS (SELECT *, row_number() OVER (PARTITION BY pfi ORDER BY percent DESC, name) AS r FROM sc),
     one AS (SELECT pfi, name, percent FROM rk WHERE r = 1 UNION ALL SELECT h.pfi, n_name, 100.0 FROM h JOIN c ON c.pfi = h.pfi AND n = 1 JOIN nation ON n_nationkey = h.polygon)
     SELECT pt.pfi, coalesce(name, 'UNKNOWN') AS name, CAST(round(coalesce(percent, 0), 6) AS DOUBLE) AS percent FROM pt LEFT JOIN one ON one.pfi = pt.pfi""")
@@ -532,6 +544,16 @@ def pip_tie_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.locate(p.read(spark, sf, p.POINT), edges, names, "pfi", "polygon", CELL).withColumn("percent", F.round("percent", 6))
 
 
+#: Customers, and points on and beside the corners and edges of the polygons.
+_AROUND = f"SELECT pfi, x, y FROM ({p.POINT}) AS t UNION ALL SELECT -1 - pfi * 10 - seq, x1, y1 FROM ({p.EDGE}) AS e UNION ALL SELECT -5 - pfi * 10 - seq, (x1 + x2) / 2, (y1 + y2) / 2 FROM ({p.EDGE}) AS e"
+
+
+@query(f"WITH e AS ({p.EDGE}), pa AS ({_AROUND}), da AS ({_disc_sql('pa', 40.0)}) SELECT pfi, polygon, round(area, 4) AS area FROM da WHERE round(area, 4) > 0")
+def disc_overlap_area(spark: SparkSession, sf: str) -> DataFrame:
+    out = spatial.disc_overlap(p.read(spark, sf, _AROUND), p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon"), "pfi", "polygon", CELL, 40.0)
+    return out.withColumn("area", F.round("area", 4)).where("area > 0")
+
+
 @query(f"WITH {_PE} SELECT DISTINCT pfi FROM ({_pip_sql('pt', 'pfi', closed=True)}) h")
 def border_filter(spark: SparkSession, sf: str) -> DataFrame:
     edges = p.read(spark, sf, p.EDGE).withColumnRenamed("pfi", "polygon")
@@ -855,6 +877,32 @@ def rule_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({"dist_from_road": F.round("dist_from_road", 5), "dist_along_road": F.round("dist_along_road", 5)})
 
 
+@query(f"""WITH ad AS ({_ADDR}), s AS ({p.SEGMENT}), {L}, na AS ({_NAMES}), lo AS ({_LOCAL}), ru AS (SELECT * FROM (VALUES {", ".join(repr(r) for r in RULES)}) v(test_order, code, score, match_attribute, match_spatial, max_intersects, max_distance)),
+    pt AS (SELECT addr_pfi AS pfi, x, y FROM ad), s2 AS (SELECT * FROM s WHERE pfi NOT IN (SELECT pfi FROM na WHERE name IN ('UNNAMED', 'UNKNOWN'))),
+    {_DIST.format(r2=700 * 700).replace("FROM pt, s)", "FROM pt, s2 s)")}, nr AS (SELECT addr_pfi, pfi, sqrt(q) AS dist, cum_len + t * len AS along, x, y, nx, ny FROM d3 WHERE r = 1),
+    tr AS (SELECT nr.*, ru.*, CASE WHEN dist <= 250 THEN 1 ELSE CAST(ceil(dist / 250) AS INT) END AS ring FROM nr JOIN ad ON ad.addr_pfi = nr.addr_pfi JOIN ru ON dist <= max_distance
+        WHERE code = 'F_N' OR ad.locality = 'UNKNOWN' OR EXISTS (SELECT 1 FROM lo WHERE lo.pfi = nr.pfi AND lo.locality = ad.locality)),
+    tn AS (SELECT *, min(dist) OVER w AS closest, lag(dist) OVER w AS prev FROM tr WINDOW w AS (PARTITION BY addr_pfi, test_order, ring ORDER BY dist, CAST(pfi AS STRING))),
+    ft AS (SELECT tn.*, na.rnid AS road_rnid, {_ATTR} AS valid_attr, CAST(na.rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0' AS txt
+        FROM tn JOIN ad ON ad.addr_pfi = tn.addr_pfi JOIN na ON na.pfi = tn.pfi WHERE match_spatial <> 'Nearest' OR dist = closest OR prev = closest),
+    rd AS (SELECT addr_pfi, test_order, code, score, match_spatial, max_intersects, max_distance, ring, dist, along, pfi, x, y, nx, ny, bool_or(valid_attr) AS valid_attr, coalesce(min(CASE WHEN valid_attr THEN txt END), max(txt)) AS txt FROM ft GROUP BY ALL),
+    kp AS (SELECT *, sum(CASE WHEN valid_attr THEN 1 ELSE 0 END) OVER (PARTITION BY addr_pfi, test_order ORDER BY ring, dist, CAST(pfi AS STRING) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM rd),
+    c AS (SELECT * FROM kp WHERE coalesce(before, 0) = 0), main AS (SELECT pfi, name FROM (SELECT pfi, name, row_number() OVER (PARTITION BY pfi ORDER BY CAST(rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0') AS r FROM na) q WHERE r = 1),
+    cl AS (SELECT DISTINCT addr_pfi, pfi, x, y, nx, ny FROM c WHERE valid_attr), {_CROSS_TABLE.format(c="cl")}, cx AS ({_CROSSED}),
+    cc AS (SELECT addr_pfi, cx.pfi, CAST(floor(sum(CASE WHEN name IN ('UNNAMED', 'UNKNOWN') THEN 4 ELSE 10 END) / 10) AS INT) AS crossed, count(*) AS intersects FROM cx JOIN main ON main.pfi = other GROUP BY 1, 2),
+    ok AS (SELECT c.*, coalesce(crossed, 0) AS crossed, coalesce(intersects, 0) AS intersects, valid_attr AND (code = 'F_N' OR (dist < max_distance AND (coalesce(crossed, 0) <= max_intersects OR match_spatial = 'Nearest'))) AS valid_spatial
+        FROM c LEFT JOIN cc ON cc.addr_pfi = c.addr_pfi AND cc.pfi = c.pfi AND c.valid_attr), st AS (SELECT addr_pfi, min(test_order) AS stop FROM ok WHERE valid_spatial GROUP BY 1)
+    SELECT ok.addr_pfi, row_number() OVER (PARTITION BY ok.addr_pfi ORDER BY test_order, ring, dist, CAST(ok.pfi AS STRING)) AS attempt, ok.pfi AS road_pfi, test_order AS rule_rank, code AS rule_code, score AS rule_score, valid_attr, valid_spatial,
+        rn.rnid AS road_rnid, intersects, crossed, round(dist, 5) AS dist_from_road, round(along, 5) AS dist_along_road, printf('LINESTRING (%.3f %.3f, %.3f %.3f)', ok.x, ok.y, nx, ny) AS geometry
+    FROM ok LEFT JOIN st ON st.addr_pfi = ok.addr_pfi LEFT JOIN (SELECT pfi, rnid, CAST(rnid AS STRING) || ',' || CAST(alias_number AS STRING) || ',0' AS txt FROM na) rn ON rn.pfi = ok.pfi AND rn.txt = ok.txt WHERE test_order <= coalesce(stop, test_order)""")
+def cascade_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """All attempts of the cascade; connectors shorter than a centimetre, which are drawn out, don't occur in these tables."""
+    a = p.read(spark, sf, _ADDR).withColumn("soundex", k.soundex(F.col("name")))
+    names = p.read(spark, sf, _NAMES).withColumn("soundex", k.soundex(F.col("name")))
+    out = rules.all_attempts(a, p.read(spark, sf, p.SEGMENT), names, _rules(spark), p.read(spark, sf, _LOCAL))
+    return out.drop("addr_rnid", "addr_locality_name", "road_locality_name", "addr_soundex", "road_soundex", "side_of_road").withColumns({"dist_from_road": F.round("dist_from_road", 5), "dist_along_road": F.round("dist_along_road", 5)})
+
+
 # --- staging and files ----------------------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from ..operators import ranging, registers, resolution, roadnames, topology
 from ..sources import files
 from . import chains, outputs
 from . import proxies as p
-from .catalog import _CR, _EX, _SIDES, _TYPE, CELL, A, _component_sql, _excluded, _pip_sql, cte, query, soundex_sql
+from .catalog import _CR, _EX, _NET, _SIDES, _TYPE, _WALK, CELL, A, _component_sql, _excluded, _pip_sql, _walks, cte, query, soundex_sql
 
 _ST = "coalesce(house_prefix_1, '') || CAST(house_number_1 AS STRING) || coalesce(house_suffix_1, '')"
 _KEY = f"locality_name || '_' || road_name || '_' || road_type || '_' || coalesce(road_suffix, '') || '_' || ({_ST}) || '_'"
@@ -147,7 +147,81 @@ _GRID = "SELECT pfi, from_ufi * 10.0 + 0.004 AS x1, CAST(pfi % 2 AS DOUBLE) * 0.
 @query(f"WITH RECURSIVE road AS ({p.ROAD}), {_component_sql('SELECT pfi, from_ufi AS src, to_ufi AS dst FROM road')}")
 def snapped_component(spark: SparkSession, sf: str) -> DataFrame:
     """Ends that lie within the tolerance are one node: the same components as by node ids."""
-    return topology.connectivity(topology.snap(p.read(spark, sf, _GRID), tolerance=0.1), "100:0")
+    return topology.trace(p.read(spark, sf, _GRID), 10.0, 0.0, tolerance=0.01)
+
+
+#: Ends scattered around their nodes by steps of 2.3 mm, up to 9 mm, so that they straddle the borders of any cells and some hang together only by way of others.
+_SCATTER = "SELECT pfi, from_ufi + (pfi * 7 % 9 - 4) * CAST(0.0023 AS DOUBLE) AS x1, (pfi * 5 % 7 - 3) * CAST(0.0023 AS DOUBLE) AS y1, to_ufi + (pfi * 11 % 9 - 4) * CAST(0.0023 AS DOUBLE) AS x2, (pfi * 13 % 7 - 3) * CAST(0.0023 AS DOUBLE) AS y2 FROM ({r}) AS t".replace("{r}", p.ROAD)
+
+
+@query(f"""WITH RECURSIVE l AS ({_SCATTER}), pt AS (SELECT x1 AS x, y1 AS y FROM l UNION SELECT x2, y2 FROM l), pn AS (SELECT row_number() OVER (ORDER BY x, y) AS i, x, y FROM pt),
+    adj AS (SELECT a.i AS a, b.i AS b FROM pn a JOIN pn b ON b.x BETWEEN a.x - 0.011 AND a.x + 0.011 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.0001),
+    reach AS (SELECT i AS node, i AS n FROM pn UNION SELECT node, b FROM reach JOIN adj ON a = n), c AS (SELECT node, min(n) AS root FROM reach GROUP BY 1),
+    nd AS (SELECT pn.x, pn.y, r.x AS nx, r.y AS ny FROM pn JOIN c ON c.node = pn.i JOIN pn r ON r.i = c.root)
+    SELECT pfi, round(s.nx, 6) AS src_x, round(s.ny, 6) AS src_y, round(d.nx, 6) AS dst_x, round(d.ny, 6) AS dst_y FROM l JOIN nd s ON s.x = x1 AND s.y = y1 JOIN nd d ON d.x = x2 AND d.y = y2""")
+def tolerance_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = topology.tolerance_nodes(p.read(spark, sf, _SCATTER), 0.01)
+    return nodes.select("pfi", *[F.round(f"{e}.{c}", 6).alias(f"{e}_{c}") for e in ("src", "dst") for c in "xy"])
+
+
+#: Roads as bent lines between the places of their nodes.
+_SHAPE = "SELECT *, CAST(from_ufi % 40 * 10 AS DOUBLE) AS fx, CAST(floor(from_ufi / 40.0) * 10 AS DOUBLE) AS fy, CAST(from_ufi % 40 * 10 + pfi % 7 + 1 AS DOUBLE) AS mx, CAST(floor(from_ufi / 40.0) * 10 + pfi % 5 + 1 AS DOUBLE) AS my, CAST(to_ufi % 40 * 10 AS DOUBLE) AS tx, CAST(floor(to_ufi / 40.0) * 10 AS DOUBLE) AS ty FROM ({r}) AS t".replace("{r}", p.ROAD)
+_SPOT = lambda c: f"printf('%.3f %.3f', s.{c}x, s.{c}y)"
+_SHAPED = "sqrt((mx - fx) * (mx - fx) + (my - fy) * (my - fy)) + sqrt((tx - mx) * (tx - mx) + (ty - my) * (ty - my))"
+
+
+@query(f"""WITH RECURSIVE {_NET}, {_WALK}, s AS (SELECT *, {_SHAPED} AS len FROM ({_SHAPE}) AS q), g AS (SELECT t.pfi, t.node_type, count(*) AS legs, round(sum(len), 6) AS length, 'LINESTRING (' || string_agg(
+        CASE WHEN step > 0 THEN '' WHEN traversal_ufi = s.to_ufi THEN {_SPOT('f')} || ', ' ELSE {_SPOT('t')} || ', ' END || {_SPOT('m')} || ', ' || CASE WHEN traversal_ufi = s.to_ufi THEN {_SPOT('t')} ELSE {_SPOT('f')} END, ', ' ORDER BY step) || ')' AS wkt
+        FROM trav t JOIN s ON s.pfi = traversal_pfi WHERE how <> 'XSTREET' GROUP BY 1, 2)
+    SELECT g.*, x.wkt AS xstreet_wkt FROM g LEFT JOIN (SELECT t.pfi, node_type, 'LINESTRING (' || {_SPOT('f')} || ', ' || {_SPOT('m')} || ', ' || {_SPOT('t')} || ')' AS wkt FROM trav t JOIN s ON s.pfi = xstreet_pfi WHERE how = 'XSTREET') x ON x.pfi = g.pfi AND x.node_type = g.node_type""")
+def walk_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    pts = F.array(*[F.struct(F.col(f"{c}x").alias("x"), F.col(f"{c}y").alias("y")) for c in "fmt"]).alias("pts")
+    lines = topology.walk_lines(_walks(spark, sf), p.read(spark, sf, _SHAPE).select("pfi", "from_ufi", "to_ufi", pts))
+    return lines.withColumn("length", F.round("length", 6))
+
+
+_LL = "SELECT c_custkey AS pfi, 141 + c_custkey * 7919 % 9000 / 1000.0 AS lon, -39 + c_custkey * 104729 % 5000 / 1000.0 AS lat FROM {customer}"
+_PLANE = {"east": 2_500_000.0, "north": 2_500_000.0}
+_GRID_AT = {"east": 2_400_000.0, "north": 2_450_000.0, "turn": 30.0, "scale": 100.0}
+
+
+@query(f"""WITH k AS (SELECT sqrt(2 / 298.257222101 - 1 / (298.257222101 * 298.257222101)) AS e), a AS (SELECT e, radians(v) AS phi, i FROM k, (VALUES (0, -37), (1, -36), (2, -38)) q(i, v)),
+    mt AS (SELECT i, e, cos(phi) / sqrt(1 - e * e * sin(phi) * sin(phi)) AS m, tan(pi() / 4 - phi / 2) / pow((1 - e * sin(phi)) / (1 + e * sin(phi)), e / 2) AS t FROM a),
+    n AS (SELECT max(e) AS e, (ln(max(CASE WHEN i = 1 THEN m END)) - ln(max(CASE WHEN i = 2 THEN m END))) / (ln(max(CASE WHEN i = 1 THEN t END)) - ln(max(CASE WHEN i = 2 THEN t END))) AS n, max(CASE WHEN i = 1 THEN m END) AS m1, max(CASE WHEN i = 1 THEN t END) AS t1, max(CASE WHEN i = 0 THEN t END) AS t0 FROM mt),
+    pl AS (SELECT c.pfi, CAST(lon AS DOUBLE) AS lon, CAST(lat AS DOUBLE) AS lat, e, n, 6378137.0 * m1 / (n * pow(t1, n)) AS f, t0, tan(pi() / 4 - radians(lat) / 2) / pow((1 - e * sin(radians(lat))) / (1 + e * sin(radians(lat))), e / 2) AS t FROM ({_LL}) c, n),
+    xy AS (SELECT pfi, lon, lat, f * pow(t, n) * sin(n * radians(lon - 145)) + 2500000 AS x, 2500000 + f * pow(t0, n) - f * pow(t, n) * cos(n * radians(lon - 145)) AS y FROM pl)
+    SELECT pfi, round(x, 3) AS x, round(y, 3) AS y, round(lon, 7) AS lon, round(lat, 7) AS lat, round(((x - 2400000) * cos(radians(30)) + (y - 2450000) * sin(radians(30))) * 100, 1) AS u, round(((y - 2450000) * cos(radians(30)) - (x - 2400000) * sin(radians(30))) * 100, 1) AS v, true AS same FROM xy""")
+def reprojected_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Degrees to the plane while scanning, back from it, and to a local grid and back, all to under a micrometre."""
+    rows = p.read(spark, sf, _LL).select("pfi", F.col("lon").cast("double").alias("x"), F.col("lat").cast("double").alias("y"))
+    plane = files.scan_projected(rows, "x", "y", "plane", **_PLANE)
+    back = files.scan_projected(plane.withColumns({"lon": F.col("x"), "lat": F.col("y")}), "lon", "lat", "degrees", **_PLANE)
+    again = files.scan_projected(back.withColumns({"x2": F.col("lon"), "y2": F.col("lat")}), "x2", "y2", "plane", **_PLANE)
+    grid = files.scan_projected(again.withColumns({"u": F.col("x"), "v": F.col("y")}), "u", "v", "grid", **_GRID_AT)
+    home = files.scan_projected(grid.withColumns({"x3": F.col("u"), "y3": F.col("v")}), "x3", "y3", "grid_inverse", **_GRID_AT)
+    near = [F.abs(F.col(a) - F.col(b)) < 1e-6 for a, b in (("x", "x2"), ("y", "y2"), ("x", "x3"), ("y", "y3"))]
+    digits = {"x": 3, "y": 3, "lon": 7, "lat": 7, "u": 1, "v": 1}
+    return home.select("pfi", *[F.round(c, d).alias(c) for c, d in digits.items()], (near[0] & near[1] & near[2] & near[3]).alias("same"))
+
+
+@query("SELECT o_orderkey, o_custkey, count(*) AS n_lines, sum(l_quantity) AS quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def clustered_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables clustered by the same key are joined and grouped by it where their rows lie."""
+    folder, run = files.scratch(spark), uuid.uuid4().hex
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sides = {"orders": ("o_orderkey", ["o_orderkey", "o_custkey"]), "lineitem": ("l_orderkey", ["l_orderkey", "l_quantity"])}
+    at = {t: (f"waymark_{t}_{run}", f"{folder}/waymark-{t}-{run}") for t in sides}
+    o, l = (files.cluster_table(spark.read.parquet(f"{sf}/{t}.parquet").select(*cols), at[t][0], [key], buckets, at[t][1]) for t, (key, cols) in sides.items())  # noqa: E741
+    out = topology.checkpoint(clustered_totals(o, l))
+    for name, path in at.values():
+        files.drop_table(spark, name, path)
+    return out
+
+
+def clustered_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders with their lines' totals; the merge hint keeps both sides where they lie."""
+    met = orders.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return met.groupBy("o_orderkey", "o_custkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity"))
 
 
 _SPOTS = "SELECT pfi, 'a' AS tag, CAST(pfi % 2 AS DOUBLE) AS d FROM ({l}) AS t UNION ALL SELECT pfi, 'b', 2.5 FROM ({l}) AS t".replace("{l}", p.LINE_POINTS)

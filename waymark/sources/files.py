@@ -14,6 +14,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geometry as g
+
 
 def unpack(folder: str, into: str, allowed: Iterable[str]) -> tuple[list[str], set[str]]:
     """S-1: unpack the allowed archives of a folder (names compared without case), keeping the members' times.
@@ -97,6 +99,37 @@ def other_database(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(f"{database}.{table}")
 
 
+def scan_projected(df: DataFrame, x: str, y: str, to: str, **cone) -> DataFrame:
+    """S-8: a table with two coordinate columns taken to another system while it is read; other columns stay as they are.
+
+    ``to``: "plane" from degrees of longitude and latitude, "degrees" from the plane, "grid" from the plane to a local grid, "grid_inverse" back. What
+    the target needs (parallels and origin, or the grid's origin, turn and scale) comes as further arguments.
+    """
+    ways = {"plane": g.lambert, "degrees": g.lambert_inverse, "grid": g.local_grid, "grid_inverse": g.local_grid_inverse}
+    if to not in ways:
+        raise ValueError(f"{to} is none of {', '.join(ways)}")
+    return df.withColumns(dict(zip((x, y), ways[to](F.col(x), F.col(y), **cone), strict=True)))
+
+
+def cluster_table(df: DataFrame, name: str, key: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """W-11: save a table dealt out by its key into sorted buckets, one file each, and read it back.
+
+    Tables with equally many buckets join on the key, and any of them is grouped by it, without moving a row, as often as
+    they are read: what a clustered index did for the updates and joins by id.
+    """
+    writer = df.repartition(buckets, *key).write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """Drop a table and, where it lies in a folder of its own, that folder."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if path:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def report(df: DataFrame, path: str) -> None:
     """W-10: a small report as one CSV file with a header."""
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)
