@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from waymark.llm import _scan, exact_dedup, minhash_dedup, pq_dedup, substring_dedup
 from waymark.llm._spark import components
@@ -50,6 +51,13 @@ def test_exact_groups(spark, keep):
         assert got[i].text_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_exact_rounds_move_records_by_run_alone(spark):
+    rows = exact_dedup.digests(docs(spark, EXACT), runs=64).withColumnRenamed("id", "keep_id").withColumn("n", F.lit(1))
+    plan = exact_dedup._exchanged(rows, 0, 8, F.max)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+    assert len(exchanges) == 1 and re.search(r"hashpartitioning\(run#\d+, ", exchanges[0]) and len(re.findall(r"\bSort \[", plan)) == 1 and "SortAggregate" in plan
+
+
 def test_exact_dedup_keeps_rows_whole(spark):
     out = exact_dedup.exact_dedup(docs(spark, EXACT))
     assert out.columns == [c.split()[0] for c in DOCS.split(", ")] and sorted(r.doc_id for r in out.collect()) == [2, 4, 5, 6, 7, 10]

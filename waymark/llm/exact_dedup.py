@@ -4,10 +4,11 @@ Rows are dealt over ``fan_in ** levels`` runs by a hash of their id. A run
 holds one digest record per distinct digest of its rows, sorted by digest; no text leaves the
 scan. In round k, runs whose numbers differ only in their k-th digit (base
 ``fan_in``) exchange records: each keeps the digests whose own k-th digit is
-its. It merges the ``fan_in`` sorted runs it now holds by one streaming
-pass that keeps the identifier that stays and the number of rows of equal digests. The same
-pass runs before the exchange, so a text that a third of all rows share costs one
-record per task. After the last round equal digests have met in one run, and
+its. Records move by the number of their next run alone, so a task holds whole runs; it sorts
+what it got once and merges the ``fan_in`` runs it holds by one streaming
+pass that keeps the identifier that stays and the number of rows of equal digests. When runs are first formed
+records are combined before they move, so a text that a third of all rows share costs one
+record per task and run. After the last round equal digests have met in one run, and
 every run holds an equal part of the digests, so no task grows with the whole.
 The survivors then walk back down the same rounds, from a run to the ``fan_in``
 runs its records came from, so that rows meet their survivor on (run, digest) and
@@ -55,6 +56,12 @@ def _merged(runs: DataFrame, best, n) -> DataFrame:
     return met.select("run", *DIGEST, F.col("best.keep_id").alias("keep_id"), "n")
 
 
+def _exchanged(runs: DataFrame, k: int, fan_in: int, best) -> DataFrame:
+    """Round k: records go to their next run, keyed by its number alone, are sorted there once, and merge as they stream by."""
+    moved = runs.withColumn("run", _next_run(k, fan_in)).repartition("run").sortWithinPartitions("run", *DIGEST)
+    return _merged(moved, best, F.col("n"))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan_in: int = FAN_IN, levels: int | None = None, digest: bool = False) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256): one row per input row.
 
@@ -75,7 +82,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = cut(digests(docs, id_col, text_col, fan_in**levels))
     up = [cut(_merged(rows.withColumnRenamed("id", "keep_id"), rank, F.lit(1)))]
     for k in range(levels):
-        up.append(cut(_merged(up[-1].withColumn("run", _next_run(k, fan_in)), rank, F.col("n"))))
+        up.append(cut(_exchanged(up[-1], k, fan_in, rank)))
     known = up[-1].withColumnRenamed("n", "group_size")
     for k in reversed(range(levels)):
         down = up[k].select("run", _next_run(k, fan_in).alias("parent"), *DIGEST)
