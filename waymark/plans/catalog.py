@@ -826,9 +826,18 @@ _CATS = "SELECT * FROM (VALUES ('R', 'Road'), ('X', 'Other')) v(category_code, c
 RULES = [(1, "A_ID", 100, "RoadNameID", "Any", 2, 120), (2, "B_NT", 80, "RoadName", "Nearest", 1, 600), (3, "C_PA", 60, "Partial", "Any", 0, 300), (4, "D_NA", 40, "Named", "Nearest", 5, 250), (5, "F_N", 10, "None", "Nearest", 99, 700)]
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(repr(r) for r in RULES) + ") v(test_order, code, score, match_attribute, match_spatial, max_intersects, max_distance)")
+@query("""SELECT CAST(n_nationkey * 7 % 25 AS INT) AS test_order, n_name AS code, CAST(100 - n_nationkey AS INT) AS score, CASE WHEN n_nationkey % 3 = 0 THEN 'RoadName' ELSE 'Soundex' END AS match_attribute,
+    CASE WHEN n_nationkey % 2 = 0 THEN 'Nearest' ELSE 'Any' END AS match_spatial, CAST(n_nationkey % 4 AS INT) AS max_intersects, CAST(n_nationkey * 50 AS INT) AS max_distance FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA'""")
 def rules_in_order(spark: SparkSession, sf: str) -> DataFrame:
-    return _rules(spark)
+    """Regions stand for categories, nations for the rules in them."""
+    nation, region = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("nation", "region"))
+    cats = region.select(F.col("r_name").alias("category_code"))
+    order = nation.join(region, F.col("r_regionkey") == F.col("n_regionkey")).selectExpr("r_name AS category_code", "n_name AS rule_code", "cast(n_nationkey * 7 % 25 as int) AS test_order")
+    table = nation.selectExpr(
+        "n_name AS code", "cast(100 - n_nationkey as int) AS score", "if(n_nationkey % 3 = 0, 'RoadName', 'Soundex') AS match_attribute", "if(n_nationkey % 2 = 0, 'Nearest', 'Any') AS match_spatial",
+        "cast(n_nationkey % 4 as int) AS max_intersects", "cast(n_nationkey * 50 as int) AS max_distance",
+    )
+    return rules.rules_in_order(cats, order, table, "ASIA")
 
 
 def _rules(spark: SparkSession) -> DataFrame:
