@@ -254,8 +254,7 @@ def imported_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 150000")
 def filtered_scan(spark: SparkSession, sf: str) -> DataFrame:
-    out = files.scan(spark.read.parquet(f"{sf}/orders.parquet"), ["o_orderkey", "o_totalprice"], "o_orderstatus = 'F' AND o_totalprice < 150000", order=["o_orderkey"])
-    return files.clustered(out, ["o_orderkey"])
+    return files.scan(spark.read.parquet(f"{sf}/orders.parquet"), ["o_orderkey", "o_totalprice"], "o_orderstatus = 'F' AND o_totalprice < 150000", order=["o_orderkey"])
 
 
 @query("SELECT r_regionkey, r_name FROM region")
