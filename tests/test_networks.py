@@ -431,3 +431,68 @@ def test_clustered_tables_meet_where_they_lie(spark, tmp_path):
         for n in ("o", "l"):
             files.drop_table(spark, f"clustered_{n}", str(tmp_path / n))
     assert not (tmp_path / "o").exists()
+
+
+def union_of(polygons):
+    """Area and boundary length of a union of polygons without vertical edges, slab by slab between all their vertices and crossings."""
+    edges = [(p, q, k) for k, rings in enumerate(polygons) for ring in rings for p, q in zip(ring, ring[1:] + ring[:1])]
+    cuts = {x for p, q, _ in edges for x, _ in (p, q)}
+    slope = lambda p, q: Fraction(q[1] - p[1], q[0] - p[0])
+    for i, (p, q, _) in enumerate(edges):
+        for r, s, _ in edges[i + 1 :]:
+            if slope(p, q) != slope(r, s):
+                x = (r[1] - slope(r, s) * r[0] - p[1] + slope(p, q) * p[0]) / (slope(p, q) - slope(r, s))
+                if max(min(p[0], q[0]), min(r[0], s[0])) < x < min(max(p[0], q[0]), max(r[0], s[0])):
+                    cuts.add(x)
+    area = length = 0.0
+    for lo, hi in zip(sorted(cuts), sorted(cuts)[1:]):
+        mid, steps = (Fraction(lo) + hi) / 2, {}
+        for k in range(len(polygons)):
+            here = sorted((p[1] + slope(p, q) * (mid - p[0]), slope(p, q)) for p, q, o in edges if o == k and min(p[0], q[0]) < mid < max(p[0], q[0]))
+            for n, (y, m) in enumerate(here):
+                steps[y] = (steps.get(y, (0, m))[0] + (1 if n % 2 == 0 else -1), m)
+        depth, below = 0, None
+        for y in sorted(steps):
+            before, depth = depth, depth + steps[y][0]
+            if (before == 0) != (depth == 0):
+                length += float(hi - lo) * float(1 + steps[y][1] ** 2) ** 0.5
+                if depth == 0:
+                    area += float((y - below) * (hi - lo))
+                below = y
+    return area, length
+
+
+def dissolved(spark, polygons, **more):
+    rows = [(k, "g", r, i, *map(float, p), *map(float, q)) for k, rings in enumerate(polygons) for r, ring in enumerate(rings) for i, (p, q) in enumerate(zip(ring, ring[1:] + ring[:1]))]
+    edges = spark.createDataFrame(rows, "poly long, grp string, ring int, seq int, x1 double, y1 double, x2 double, y2 double")
+    got = spatial.union_boundary(edges, "poly", "grp", **more).collect()
+    return sum(r.x1 * r.y2 - r.y1 * r.x2 for r in got) / 2, sum(((r.x2 - r.x1) ** 2 + (r.y2 - r.y1) ** 2) ** 0.5 for r in got)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_union_of_triangles(spark, seed):
+    rng = random.Random(seed)
+    polygons = []
+    while len(polygons) < 14:
+        t = [(rng.randrange(30), rng.randrange(30)) for _ in range(3)]
+        if len({x for x, _ in t}) == 3 and (t[1][0] - t[0][0]) * (t[2][1] - t[0][1]) != (t[1][1] - t[0][1]) * (t[2][0] - t[0][0]):
+            polygons += [[t]] * (2 if len(polygons) % 5 == 0 else 1)
+    for size in (None, 50.0):
+        assert dissolved(spark, polygons, size=size) == pytest.approx(union_of(polygons), rel=1e-5)
+
+
+def test_union_by_cases(spark):
+    square = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w)]
+    assert dissolved(spark, [[square(0, 0, 2)], [square(2, 0, 2)[::-1]]]) == (8, 12)  # a shared border goes, whichever way each runs
+    assert dissolved(spark, [[square(0, 0, 2)], [square(2, 1, 2)]]) == (8, 14)  # a border shared in part
+    assert dissolved(spark, [[square(0, 0, 2)], [square(2, 2, 2)]]) == (8, 16)  # a corner only
+    assert dissolved(spark, [[square(0, 0, 9)], [square(2, 2, 2)], [square(0, 0, 9)]]) == (81, 36)  # one inside, one repeated
+    holed = [square(0, 0, 9), square(3, 3, 3)[::-1]]
+    assert dissolved(spark, [holed]) == (72, 48)
+    assert dissolved(spark, [holed, [square(3, 3, 3)]]) == (81, 36)  # a hole filled
+    assert dissolved(spark, [holed, [square(4, 4, 1)], [[(0, 0), (1, 1), (2, 2)]]]) == (73, 52)  # an island, and a polygon without area
+    assert dissolved(spark, [[square(0, 0, 1)], []]) == (1, 4)
+    empty = spark.createDataFrame([], "poly long, grp string, ring int, seq int, x1 double, y1 double, x2 double, y2 double")
+    assert spatial.union_boundary(empty, "poly", "grp").count() == 0
+    null = spark.createDataFrame([(1, None, 0, i, *map(float, p), *map(float, q)) for i, (p, q) in enumerate(zip(square(0, 0, 1), square(0, 0, 1)[1:] + square(0, 0, 1)[:1]))] + [(2, "h", 0, 0, None, 1.0, 2.0, 3.0)], empty.schema)
+    assert [r.grp for r in spatial.union_boundary(null, "poly", "grp").collect()] == [None] * 4  # no group is a group of its own

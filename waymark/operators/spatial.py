@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
@@ -94,17 +94,24 @@ def nearest(points: DataFrame, sites: DataFrame, point_key: str, site_key: str,
         radius *= 4
 
 
-def point_in_polygon(points: DataFrame, edges: DataFrame, point_key: str, polygon_key: str, size: float, closed: bool = False) -> DataFrame:
+def _boxes(edges: DataFrame, *key: str) -> DataFrame:
+    """(key, min_x, min_y, max_x, max_y) of polygons."""
+    return edges.groupBy(*key).agg(*[f(F.least(f"{c}1", f"{c}2") if f is F.min else F.greatest(f"{c}1", f"{c}2")).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in "xy"])
+
+
+def point_in_polygon(points: DataFrame, edges: DataFrame, point_key: str, polygon_key: str, size: float, closed: bool = False, within: str | None = None) -> DataFrame:
     """J-10, J-12, GE-4: the (point_key, polygon_key) pairs with the point inside.
 
     ``edges``: (polygon_key, ring, seq, x1, y1, x2, y2), holes as further rings. A point
-    on the boundary is outside, or inside if ``closed``. Candidates come from the
+    on the boundary is outside, or inside if ``closed``. ``within``: a column of both, in which a point
+    and its polygons agree. Candidates come from the
     cells of bounding boxes; each then meets only the edges of its polygon in
     its own strip of y, and the parity of ray hits decides.
     """
-    box = edges.groupBy(polygon_key).agg(*[f(F.least(f"{c}1", f"{c}2") if f is F.min else F.greatest(f"{c}1", f"{c}2")).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in "xy"])
+    same = [within] if within else []
+    box = _boxes(edges, polygon_key, *same)
     boxes = over_cells(box, size, *(F.col(c) for c in ("min_x", "min_y", "max_x", "max_y")))
-    near = at_cell(points.select(point_key, "x", "y"), size).join(boxes, ["cx", "cy"]).where("x between min_x and max_x and y between min_y and max_y")
+    near = at_cell(points.select(point_key, *same, "x", "y"), size).join(boxes, ["cx", "cy", *same]).where("x between min_x and max_x and y between min_y and max_y")
     near = near.select(point_key, polygon_key, "x", "y", "cy")
     strips = edges.select(polygon_key, "x1", "y1", "x2", "y2", F.explode(F.sequence(cell(F.least("y1", "y2"), size), cell(F.greatest("y1", "y2"), size))).alias("cy"))
     at = [F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]
@@ -240,3 +247,55 @@ def lines_in_polygons(segs: DataFrame, edges: DataFrame, polygon_key: str, size:
     s = along_cells(segs.select(line_key, *coordinates), size, *(F.col(c) for c in coordinates))
     hit = g.segments_meet(tuple(F.col(c) for c in coordinates), tuple(F.col(f"e_{c}") for c in coordinates))
     return inside.union(s.join(bounds, ["cx", "cy"]).where(hit).select(line_key, polygon_key)).distinct()
+
+
+def _split_nodes(segs: DataFrame, size: float, digits: int) -> DataFrame:
+    """(grp, a, b, p): the nodes of segments from a to b: their ends and where others of their group cross, end on, or begin to run along them."""
+    ends = lambda t: tuple(F.col(f"{t}_{e}.{c}") for e in "ab" for c in "xy")
+    at = along_cells(segs, size, *(F.col(f"{e}.{c}") for e in "ab" for c in "xy"))
+    side = lambda t: at.select("grp", "cx", "cy", F.col("a").alias(f"{t}_a"), F.col("b").alias(f"{t}_b"))
+    met = side("s").join(side("o"), ["grp", "cx", "cy"]).where((F.col("s_a") != F.col("o_a")) | (F.col("s_b") != F.col("o_b")))
+    # the place of a crossing from the two segments in the same order for both, so that both get the same digits
+    turned = F.struct("s_a", "s_b") > F.struct("o_a", "o_b")
+    first, second = ([F.when(turned, y).otherwise(x) for x, y in zip(ends(t), ends(u), strict=True)] for t, u in ("so", "os"))
+    dx, dy, ex, ey = first[2] - first[0], first[3] - first[1], second[2] - second[0], second[3] - second[1]
+    slope = g.cross(dx, dy, ex, ey)
+    t = g.cross(second[0] - first[0], second[1] - first[1], ex, ey) / F.when(slope != 0, slope)
+    place = F.struct(*[(F.round(v, digits) + F.lit(0.0)).alias(c) for c, v in (("x", first[0] + t * dx), ("y", first[1] + t * dy))])
+    s, o = ends("s"), ends("o")
+    found = F.array(F.when(g.segments_cross(s, o) & t.isNotNull(), place), *[F.when(on_edge(o[i], o[i + 1], *s), F.col(f"o_{e}")) for i, e in ((0, "a"), (2, "b"))])
+    inner = met.select("grp", F.col("s_a").alias("a"), F.col("s_b").alias("b"), F.explode(F.filter(found, lambda p: p.isNotNull())).alias("p"))
+    return inner.union(segs.select("grp", "a", "b", F.explode(F.array("a", "b")).alias("p"))).distinct()
+
+
+def union_boundary(edges: DataFrame, polygon_key: str, group_key: str, size: float | None = None, digits: int = 6) -> DataFrame:
+    """A-10: (group_key, x1, y1, x2, y2): the boundary of the union of each group's polygons, its inside on the left.
+
+    ``edges``: (polygon_key, group_key, ring, seq, x1, y1, x2, y2); a polygon's holes run the other way than its outer rings, either way
+    round. Coordinates are rounded to ``digits`` decimals, crossings too, so places nearer than that are one. Edges are split
+    where they meet others of their group. A piece is boundary if the union lies on one side of it: all polygons that it borders lie on the same
+    side, and no other polygon holds its midpoint. Equal pieces come once, so polygons that repeat, overlap, touch or share borders count
+    once; a border between two that touch goes. Polygons without area, edges without length and edges with a null coordinate are left out.
+    """
+    coordinates = ("x1", "y1", "x2", "y2")
+    known = edges.select(F.struct(group_key).alias("grp"), F.col(polygon_key).alias("poly"), *[(F.round(F.col(c).cast("double"), digits) + F.lit(0.0)).alias(c) for c in coordinates]).dropna(subset=list(coordinates))
+    known = known.where("x1 <> x2 or y1 <> y2")
+    area = known.groupBy("grp", "poly").agg(F.sum(g.cross(*(F.col(c) for c in coordinates))).alias("area")).where("area <> 0")
+    known = known.join(area, ["grp", "poly"]).withColumn("of", F.struct("grp", "poly"))
+    p, q = (F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2))
+    # polygons run counter-clockwise; a segment has its smaller end first, and its owners say which way they run
+    owned = checkpoint(known.select("grp", "of", F.least(p, q).alias("a"), F.greatest(p, q).alias("b"), ((p < q) == (F.col("area") > 0)).alias("ahead"), *coordinates))
+    segs = owned.select("grp", "a", "b").distinct()
+    nodes = _split_nodes(segs, size or mean_length(owned), digits)
+    along = (F.col("p.x") - F.col("a.x")) * (F.col("b.x") - F.col("a.x")) + (F.col("p.y") - F.col("a.y")) * (F.col("b.y") - F.col("a.y"))
+    cut = nodes.withColumn("q", F.lead("p").over(Window.partitionBy("grp", "a", "b").orderBy(along, "p"))).where("q is not null")
+    # rounding may turn a steep piece round
+    cut = cut.select("grp", "a", "b", F.struct("grp", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi")).alias("piece"), (F.col("p") < F.col("q")).alias("way"))
+    borders = checkpoint(cut.join(owned.select("grp", "a", "b", "of", "ahead"), ["grp", "a", "b"]).select("piece", "of", (F.col("ahead") == F.col("way")).alias("ahead")).distinct())
+    single = borders.groupBy("piece").agg(F.min("ahead").alias("ahead"), F.max("ahead").alias("other")).where("ahead = other")
+    middle = single.select("piece", "piece.grp", *[((F.col(f"piece.lo.{c}") + F.col(f"piece.hi.{c}")) / 2).alias(c) for c in "xy"])
+    extent = _boxes(owned, "of").agg(F.avg(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))).alias("v")).first()["v"] or 1.0
+    covered = point_in_polygon(middle, owned.select("of", "grp", *coordinates), "piece", "of", extent / 8, within="grp").join(borders.select("piece", "of"), ["piece", "of"], "left_anti")
+    kept = single.join(covered.select("piece").distinct(), "piece", "left_anti")
+    ends = [F.when(F.col("ahead") == first, F.col(f"piece.lo.{c}")).otherwise(F.col(f"piece.hi.{c}")).alias(f"{c}{i}") for first, i in ((True, 1), (False, 2)) for c in "xy"]
+    return kept.select(F.col(f"piece.grp.{group_key}").alias(group_key), *ends)

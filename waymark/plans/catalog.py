@@ -652,6 +652,25 @@ def lattice_lines_in_squares(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.lines_in_polygons(p.read(spark, sf, p.LATTICE_SEGMENT), p.read(spark, sf, p.LATTICE_EDGE), "polygon", 4.0)
 
 
+#: The lattice square's quarters between its diagonals: a place inside each, the quarter beyond its outer side, and the next one round.
+_QUARTER = "(VALUES (0, 0.5, 0.2, 0, -1, 2), (1, 0.8, 0.5, 1, 0, 3), (2, 0.5, 0.8, 0, 1, 0), (3, 0.2, 0.5, -1, 0, 1)) AS k(q, u, v, di, dj, opposite)"
+
+
+@query(f"""WITH plot AS ({p.PLOT}), spot AS (SELECT plot.*, i, j, q, i + u AS x, j + v AS y FROM (SELECT *, unnest(range(x0, x1)) AS i FROM plot) AS plot, range(0, 40) AS r(j), {_QUARTER} WHERE j >= y0 AND j < y1),
+    cov AS (SELECT DISTINCT block, i, j, q FROM spot WHERE x + y > x0 + y0 + cut AND x + y < x1 + y1 - cut AND x - y < x1 - y0 - cut AND x - y > x0 - y1 + cut AND NOT (holed AND x > x0 + 3 AND x < x1 - 3 AND y > y0 + 3 AND y < y1 - 3)),
+    rim AS (SELECT c.block, CASE WHEN o.q IS NULL THEN 1 ELSE 0 END AS sides, CASE WHEN l.q IS NULL THEN 1 ELSE 0 END + CASE WHEN n.q IS NULL THEN 1 ELSE 0 END AS halves FROM cov c JOIN {_QUARTER} ON k.q = c.q
+        LEFT JOIN cov o ON o.block = c.block AND o.i = c.i + di AND o.j = c.j + dj AND o.q = opposite
+        LEFT JOIN cov l ON l.block = c.block AND l.i = c.i AND l.j = c.j AND l.q = (c.q + 3) % 4 LEFT JOIN cov n ON n.block = c.block AND n.i = c.i AND n.j = c.j AND n.q = (c.q + 1) % 4)
+    SELECT t.block, plots, area, boundary FROM (SELECT block, round(count(*) / 4.0, 4) AS area, round(sum(sides) + sum(halves) * sqrt(0.5), 4) AS boundary FROM rim GROUP BY 1) AS t
+    JOIN (SELECT block, count(*) AS plots FROM plot GROUP BY 1) AS n ON n.block = t.block""")
+def dissolved_boundary(spark: SparkSession, sf: str) -> DataFrame:
+    """A-10: area and length of the boundary of all plots of a block taken as one."""
+    edges = p.read(spark, sf, p.PLOT_EDGE)
+    at = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
+    whole = spatial.union_boundary(edges, "pfi", "block").groupBy("block").agg(F.round(F.sum(g.cross(*at)) / 2, 4).alias("area"), F.round(F.sum(g.distance(*at)), 4).alias("boundary"))
+    return whole.join(edges.groupBy("block").agg(F.countDistinct("pfi").alias("plots")), "block").select("block", "plots", "area", "boundary")
+
+
 # --- topology -----------------------------------------------------------------------------------
 
 _NET = cte(road=p.ROAD, bear=p.BEARING, node=p.NODE, alias=p.ALIAS)

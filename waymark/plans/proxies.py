@@ -110,6 +110,23 @@ LATTICE_EDGE = """
     FROM (SELECT DISTINCT CAST(floor(p_partkey / 40.0) AS BIGINT) AS block FROM {part}) AS t, (SELECT n_nationkey AS i FROM {nation} WHERE n_nationkey < 4) AS k
 """
 
+#: Plots with cut corners per part, in blocks of 20 on a lattice, which overlap, touch and repeat each other; larger ones have a square hole.
+PLOT = """
+    SELECT pfi, block, x0, y0, x0 + w AS x1, y0 + h AS y1, cut, w >= 8 AND h >= 8 AS holed
+    FROM (SELECT p_partkey AS pfi, block, block * 40 + k * 7 % 23 AS x0, k * 11 % 23 AS y0, 4 + k % 9 AS w, 4 + k * 5 % 8 AS h, k % 3 AS cut
+        FROM (SELECT p_partkey, CAST(floor(p_partkey / 20.0) AS BIGINT) AS block, p_partkey - p_partkey % 20 + p_partkey % 20 % 17 AS k FROM {part}) AS t) AS u
+"""
+_RIM = [("x0 + cut", "y0"), ("x1 - cut", "y0"), ("x1", "y0 + cut"), ("x1", "y1 - cut"), ("x1 - cut", "y1"), ("x0 + cut", "y1"), ("x0", "y1 - cut"), ("x0", "y0 + cut")]
+_HOLE = [("x0 + 3", "y0 + 3"), ("x0 + 3", "y1 - 3"), ("x1 - 3", "y1 - 3"), ("x1 - 3", "y0 + 3")]
+#: Their edges; plots of odd keys run the other way round.
+PLOT_EDGE = " UNION ALL ".join(
+    f"SELECT pfi, block, {ring} AS ring, {i} AS seq, "
+    + ", ".join(f"CAST(CASE WHEN pfi % 2 = 0 THEN {a} ELSE {b} END AS DOUBLE) AS {n}" for n, a, b in (("x1", p[0], q[0]), ("y1", p[1], q[1]), ("x2", q[0], p[0]), ("y2", q[1], p[1])))
+    + f" FROM ({PLOT}) AS t" + (" WHERE holed" if ring else "")
+    for ring, corners in enumerate((_RIM, _HOLE))
+    for i, (p, q) in enumerate(zip(corners, corners[1:] + corners[:1], strict=True))
+)
+
 #: A quadrilateral per nation; neighbours overlap a little.
 CORNERS = """
     SELECT n_nationkey AS pfi, n_name AS name, n_nationkey % 5 * 2000.0 AS ax, CAST(floor(n_nationkey / 5.0) AS BIGINT) * 2000.0 AS ay,
