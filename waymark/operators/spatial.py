@@ -255,15 +255,15 @@ def _split_nodes(segs: DataFrame, size: float, digits: int) -> DataFrame:
     at = along_cells(segs, size, *(F.col(f"{e}.{c}") for e in "ab" for c in "xy"))
     side = lambda t: at.select("grp", "cx", "cy", F.col("a").alias(f"{t}_a"), F.col("b").alias(f"{t}_b"))
     met = side("s").join(side("o"), ["grp", "cx", "cy"]).where((F.col("s_a") != F.col("o_a")) | (F.col("s_b") != F.col("o_b")))
-    # the place of a crossing from the two segments in the same order for both, so that both get the same digits
+    # the place of a crossing from the two segments in the same order for both, so that both get the same digits; in
+    # steps, each of which uses the columns of the one before several times
     turned = F.struct("s_a", "s_b") > F.struct("o_a", "o_b")
-    first, second = ([F.when(turned, y).otherwise(x) for x, y in zip(ends(t), ends(u), strict=True)] for t, u in ("so", "os"))
-    dx, dy, ex, ey = first[2] - first[0], first[3] - first[1], second[2] - second[0], second[3] - second[1]
-    slope = g.cross(dx, dy, ex, ey)
-    t = g.cross(second[0] - first[0], second[1] - first[1], ex, ey) / F.when(slope != 0, slope)
-    place = F.struct(*[(F.round(v, digits) + F.lit(0.0)).alias(c) for c, v in (("x", first[0] + t * dx), ("y", first[1] + t * dy))])
+    met = met.withColumn("turned", turned).withColumns({f"{n}{i}": F.when(F.col("turned"), y).otherwise(x) for n, t, u in (("f", "s", "o"), ("g", "o", "s")) for i, (x, y) in enumerate(zip(ends(t), ends(u), strict=True))})
+    met = met.withColumns({"dx": F.expr("f2 - f0"), "dy": F.expr("f3 - f1"), "ex": F.expr("g2 - g0"), "ey": F.expr("g3 - g1")}).withColumn("slope", F.expr("nullif(dx * ey - dy * ex, 0)"))
+    met = met.withColumn("t", F.expr("((g0 - f0) * ey - (g1 - f1) * ex) / slope"))
+    place = F.struct(*[(F.round(F.expr(v), digits) + F.lit(0.0)).alias(c) for c, v in (("x", "f0 + t * dx"), ("y", "f1 + t * dy"))])
     s, o = ends("s"), ends("o")
-    found = F.array(F.when(g.segments_cross(s, o) & t.isNotNull(), place), *[F.when(on_edge(o[i], o[i + 1], *s), F.col(f"o_{e}")) for i, e in ((0, "a"), (2, "b"))])
+    found = F.array(F.when(g.segments_cross(s, o) & F.col("t").isNotNull(), place), *[F.when(on_edge(o[i], o[i + 1], *s), F.col(f"o_{e}")) for i, e in ((0, "a"), (2, "b"))])
     inner = met.select("grp", F.col("s_a").alias("a"), F.col("s_b").alias("b"), F.explode(F.filter(found, lambda p: p.isNotNull())).alias("p"))
     return inner.union(segs.select("grp", "a", "b", F.explode(F.array("a", "b")).alias("p"))).distinct()
 

@@ -118,14 +118,14 @@ PLOT = """
 """
 _RIM = [("x0 + cut", "y0"), ("x1 - cut", "y0"), ("x1", "y0 + cut"), ("x1", "y1 - cut"), ("x1 - cut", "y1"), ("x0 + cut", "y1"), ("x0", "y1 - cut"), ("x0", "y0 + cut")]
 _HOLE = [("x0 + 3", "y0 + 3"), ("x0 + 3", "y1 - 3"), ("x1 - 3", "y1 - 3"), ("x1 - 3", "y0 + 3")]
+_RINGS = [(ring, *pair) for ring in (_RIM, _HOLE) for pair in zip(ring, ring[1:] + ring[:1], strict=True)]
+_CORNER = lambda end, axis: "CASE i " + " ".join(f"WHEN {i} THEN {r[end][axis]}" for i, r in enumerate(_RINGS)) + " END"
 #: Their edges; plots of odd keys run the other way round.
-PLOT_EDGE = " UNION ALL ".join(
-    f"SELECT pfi, block, {ring} AS ring, {i} AS seq, "
-    + ", ".join(f"CAST(CASE WHEN pfi % 2 = 0 THEN {a} ELSE {b} END AS DOUBLE) AS {n}" for n, a, b in (("x1", p[0], q[0]), ("y1", p[1], q[1]), ("x2", q[0], p[0]), ("y2", q[1], p[1])))
-    + f" FROM ({PLOT}) AS t" + (" WHERE holed" if ring else "")
-    for ring, corners in enumerate((_RIM, _HOLE))
-    for i, (p, q) in enumerate(zip(corners, corners[1:] + corners[:1], strict=True))
-)
+PLOT_EDGE = (
+    "SELECT pfi, block, CASE WHEN i < 8 THEN 0 ELSE 1 END AS ring, i AS seq, "
+    + ", ".join(f"CAST(CASE WHEN pfi % 2 = 0 THEN {_CORNER(a, axis)} ELSE {_CORNER(3 - a, axis)} END AS DOUBLE) AS {n}" for n, a, axis in (("x1", 1, 0), ("y1", 1, 1), ("x2", 2, 0), ("y2", 2, 1)))
+    + f" FROM ({PLOT}) AS t, (SELECT n_nationkey AS i FROM {{nation}} WHERE n_nationkey < 12) AS k WHERE i < 8 OR holed"
+)
 
 #: A quadrilateral per nation; neighbours overlap a little.
 CORNERS = """
