@@ -323,6 +323,16 @@ def test_discriminant_by_direct_densities():
     assert m(x) == pytest.approx(1 / (1 + np.exp(density(0) - density(1))), abs=1e-9)
 
 
+def test_quality_of_few_labels():
+    x = np.random.default_rng(4).normal(0, 1, (12, 14))
+    y = np.arange(12) % 4 == 0  # three of one label, then one
+    x[y] += 0.7
+    for own in (y, y & (np.arange(12) == 4)):
+        score = quality.fit(x, own.astype(int))(x)
+        assert len(set(score)) > 6 and score[own].min() > score[~y].max()
+    assert len(set(quality.fit(x, np.zeros(12, int))(x))) == 1
+
+
 def test_quality_statistics_are_finite():
     c = next(_scan.chunks(pa.array(["", None, "a", "A B\nA B\n", "é" * 9, "x " * 999])))
     assert np.isfinite(quality.measure(c)).all()

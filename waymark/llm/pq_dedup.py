@@ -44,6 +44,8 @@ SAMPLE = 20_000
 SAMPLE_BYTES = 32 << 20
 MOST_LISTS = 4096
 LIST_SIZE = 1024
+#: Parts in which the share of sampled vectors is counted.
+FINE = 1 << 40
 SUBSPACES, WORDS = 8, 64
 MEMBERS, PROBERS = 2048, 4096
 
@@ -112,11 +114,16 @@ class Index:
         """Per subspace, the squared distances of each residual to each code word."""
         return [((residual[:, None, a:b] - w[None]) ** 2).sum(2) for a, b, w in zip(self.cuts, self.cuts[1:], self.words, strict=False)]
 
-    def probes(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    def apart(self) -> np.ndarray:
+        """The distances between centroids, which a task makes once for all its batches."""
+        square = (self.centroids**2).sum(1)
+        return np.sqrt(np.maximum(square[:, None] + square - 2 * self.centroids @ self.centroids.T, 0))
+
+    def probes(self, x: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
         """(own list, lists to probe) of each unit vector; of two linked vectors one at least probes the other's list."""
+        apart = self.apart() if apart is None else apart
         d2 = np.maximum((x * x).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * x @ self.centroids.T, 0)
         own = d2.argmin(1)
-        apart = np.sqrt(np.maximum(((self.centroids**2).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * self.centroids @ self.centroids.T), 0))
         need = d2 - d2[np.arange(len(x)), own][:, None] <= self.radius * apart[own] + 1e-9
         need[np.arange(len(x)), own] = True
         return own, [np.flatnonzero(r) for r in need]
@@ -154,11 +161,13 @@ def _bits(probes: np.ndarray, lists: int) -> bytes:
 
 def _assign(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart = None
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
+                apart = index.apart() if apart is None else apart
                 part = batch.slice(at, 1024)
                 u = _unit(_vectors(part.column(2), index.centroids.shape[1]))
-                own, probes = index.probes(u)
+                own, probes = index.probes(u, apart)
                 codes, error = index.code(u - index.centroids[own])
                 offs = np.append(0, np.cumsum([len(p) for p in probes]))
                 yield pa.RecordBatch.from_arrays(
@@ -260,13 +269,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     for dim, total in sorted((r["dim"], r["count"]) for r in classes.groupBy("dim").count().collect()):  # one row per length of vectors
         some = min(sample, max(256, SAMPLE_BYTES // (8 * dim)))
         own = reps.where(F.col("dim") == dim).drop("dim")
-        share = int(min(1.0, some / total) * (1 << 20))
+        share = -(-min(some, total) * FINE // total)
         def rows(df: DataFrame, dim: int = dim) -> list[np.ndarray]:
             return [np.frombuffer(r["vec"], np.float32 if len(r["vec"]) == 4 * dim else np.float64).astype(np.float64) for r in df.orderBy("id").select("vec").collect()]
 
-        x = rows(own.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) < share))
-        if not x:
-            x = rows(own.orderBy("id").limit(256))
+        x = rows(own.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(FINE)) < share))
         index = fit(_unit(np.stack(x)), least, lists or max(1, min(MOST_LISTS, -(-total // LIST_SIZE))))
         at = cut(own.mapInArrow(_assign(index), "id long, n long, vec binary, list int, probes array<int>, codes binary, error double, seen binary"))
         inside = at.groupBy("list").agg(F.count(F.lit(1)).alias("members")).withColumnRenamed("list", "at")

@@ -95,8 +95,11 @@ class Discriminant:
 
 
 def fit(x: np.ndarray, y: np.ndarray, pooled: float = 0.3, ridge: float = 0.02, temper: float = 0.5) -> Discriminant | Constant:
-    """``pooled``, ``ridge``: weights of the pooled covariance and of the identity in each class's; ``temper`` scales log density differences, whose statistics aren't independent."""
-    if min((y == 0).sum(), (y == 1).sum()) < 5:
+    """``pooled``, ``ridge``: weights, for very many labels, of the pooled covariance and of the identity in each class's; ``temper`` scales log density differences, whose statistics aren't independent.
+
+    Both weights rise as labels get fewer than dimensions, so that a class of one label has the pooled covariance alone; no density is known of a class without any.
+    """
+    if min((y == 0).sum(), (y == 1).sum()) == 0:
         return Constant(float((y.sum() + 1) / (len(y) + 2)))
     centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.clip((x - centre) / scale, -12, 12)
@@ -104,8 +107,11 @@ def fit(x: np.ndarray, y: np.ndarray, pooled: float = 0.3, ridge: float = 0.02,
     counts = np.array([(y == k).sum() for k in (0, 1)])
     both = (covs[0] * counts[0] + covs[1] * counts[1]) / counts.sum()
     factors = []
-    for cov in covs:
-        cov = (1 - pooled) * cov + pooled * both
+    dims = x.shape[1]
+    ridge = ridge ** (len(y) / (len(y) + dims))
+    for cov, n in zip(covs, counts, strict=True):
+        share = pooled ** ((n - 1) / (n - 1 + dims))
+        cov = (1 - share) * cov + share * both
         factors.append(np.linalg.cholesky((1 - ridge) * cov + ridge * max(np.trace(cov) / len(cov), 1e-3) * np.eye(len(cov))))
     offset = np.array([-np.log(np.diag(f)).sum() + np.log(c / counts.sum()) for f, c in zip(factors, counts, strict=True)])
     return Discriminant(centre, scale, np.stack([z[y == k].mean(0) for k in (0, 1)]), np.stack([np.linalg.solve(f, np.eye(len(f))) for f in factors]), offset, temper)
@@ -116,7 +122,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
     Every whole text gets a score in 0 to 1; null counts as empty, and empty
     texts are scored like others. Labels come only from rows that aren't held
-    out. With fewer than five of either label the score is a constant, their
+    out. Without any of one label the score is a constant, their
     smoothed share. Rows that repeat count by themselves; an empty table gives
     an empty result; further columns are ignored.
     """
