@@ -53,8 +53,12 @@ def exclusions(addresses: DataFrame, manual: DataFrame | None = None, second_sou
 
 
 def duplicates(addresses: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """A-7: the rows whose key occurs at least twice; nulls equal nulls."""
-    return addresses.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*key))).where("__n > 1").drop("__n")
+    """A-7: the rows whose key occurs at least twice; nulls equal nulls.
+
+    The rows keep their partitions, here and in the windows over the same key: put together to few tasks, each task would sort more the more rows there are.
+    """
+    n = int(addresses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return addresses.repartition(n, *key).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*key))).where("__n > 1").drop("__n")
 
 
 def _ranking() -> list[Column]:
